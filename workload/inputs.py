@@ -175,6 +175,79 @@ INPUTS: dict[str, str] = {
             concat(' mx', cast(o_custkey % 9 AS string), '.mail.net') AS mx_txt,
             cast(o_custkey % 4 * 100 AS int) AS a_ttl, o_orderkey
         FROM {orders}""",
+    "alias_obs": """
+        SELECT concat('h', cast(p_partkey AS string), '.net') AS name, 'CNAME' AS rtype,
+            CASE WHEN p_partkey % 61 = 7 THEN 'NXDOMAIN' ELSE 'NOERROR' END AS rcode,
+            CASE WHEN p_partkey % 61 = 7 THEN '' WHEN p_partkey % 50 = 0 THEN concat('h', cast(p_partkey AS string), '.net.')
+                 WHEN p_partkey % 50 = 1 THEN concat('end', cast(p_partkey % 3 AS string), '.org')
+                 WHEN p_partkey % 97 = 5 THEN concat('h', cast(p_partkey + 1 AS string), '.net')
+                 WHEN p_partkey % 97 = 6 THEN concat('h', cast(p_partkey - 1 AS string), '.net')
+                 ELSE concat('h', cast(cast(floor(p_partkey / 2) AS bigint) AS string), '.net.|ignored.org') END AS answers_txt,
+            300 AS ttl, 1 AS seq FROM {part}""",
+    "zone_obs": """
+        SELECT CASE page_id % 5 WHEN 0 THEN host WHEN 1 THEN 'com' WHEN 2 THEN 'example.net' WHEN 3 THEN 'org'
+                ELSE concat('no-', host) END AS name,
+            'SOA' AS rtype, CASE WHEN page_id % 7 = 0 THEN 'NODATA' ELSE 'NOERROR' END AS rcode,
+            CASE WHEN page_id % 7 = 0 THEN '' ELSE concat('ns', cast(page_id % 3 AS string), '. x ', cast(page_id AS string))
+                END AS answers_txt,
+            cast(page_id % 100 AS int) AS ttl, page_id AS seq FROM {page_hosts}""",
+    "reverse_obs": """
+        SELECT concat('1.', cast(o_custkey % 256 AS string), '.0.10.in-addr.arpa') AS name, 'PTR' AS rtype,
+            CASE WHEN o_custkey % 256 % 5 = 0 THEN 'NXDOMAIN' ELSE 'NOERROR' END AS rcode,
+            CASE WHEN o_custkey % 256 % 5 = 0 THEN ''
+                ELSE concat('host', cast(o_custkey % 256 AS string), '.isp', cast(o_custkey % 4 AS string), '.co.uk.') END
+                AS answers_txt, 60 AS ttl, 1 AS seq FROM {orders}
+        UNION ALL
+        SELECT concat('2.', cast(o_orderkey % 50 AS string), '.1.10.in-addr.arpa'), 'PTR', 'NOERROR',
+            concat('srv', cast(o_orderkey % 50 % 9 AS string), '.net'), 30, 1 FROM {orders}""",
+    "host_obs": """
+        SELECT concat('www.', domain) AS name, 'A' AS rtype,
+            CASE WHEN c_custkey % 3 = 0 THEN 'NXDOMAIN' ELSE 'NOERROR' END AS rcode,
+            CASE WHEN c_custkey % 3 = 0 THEN '' ELSE concat('198.51.100.', cast(c_custkey % 250 AS string), '|198.51.101.1')
+                END AS answers_txt, 60 AS ttl, 1 AS seq FROM {mail_facts}
+        UNION ALL
+        SELECT concat('www.', domain), CASE WHEN c_custkey % 2 = 0 THEN 'CNAME' ELSE 'AAAA' END, 'NOERROR',
+            CASE WHEN c_custkey % 2 = 0 THEN concat('cdn', cast(c_custkey % 5 AS string), '.net.') ELSE '2001:db8::9' END,
+            60, 1 FROM {mail_facts}
+        UNION ALL
+        SELECT concat('mail.', domain), CASE WHEN c_custkey % 5 = 0 THEN 'A' ELSE 'AAAA' END, 'NOERROR', '203.0.113.77',
+            60, 1 FROM {mail_facts}
+        UNION ALL
+        SELECT lower(mx_host_norm), 'A', 'NOERROR', concat('203.0.113.', cast(c_custkey % 3 AS string), '|203.0.114.1'), 600, 1
+        FROM {mail_facts}
+        UNION ALL
+        SELECT lower(mx_host_norm), 'AAAA', CASE WHEN c_custkey % 3 = 1 THEN 'SERVFAIL' ELSE 'NOERROR' END,
+            CASE WHEN c_custkey % 3 = 1 THEN '' ELSE '2001:db8::a' END, 601, 1 FROM {mail_facts}""",
+    "text_obs": """
+        SELECT CASE c_custkey % 4 WHEN 0 THEN domain WHEN 1 THEN concat('_dmarc.', domain)
+                WHEN 2 THEN concat('default._bimi.', domain) ELSE domain END AS name, 'TXT' AS rtype, 'NOERROR' AS rcode,
+            CASE c_custkey % 4 WHEN 0 THEN 'V=spf1 a|v=DMARC1 own' WHEN 1 THEN 'x v=DMARC1; p=reject'
+                WHEN 2 THEN 'v=BIMI1; l=https' ELSE 'other|v=spf1 -all' END AS answers_txt,
+            cast(c_custkey % 50 AS int) AS ttl, 1 AS seq FROM {mail_facts}
+        UNION ALL
+        SELECT concat('_mta-sts.', domain), 'TXT', CASE WHEN c_custkey % 3 = 0 THEN 'NODATA' ELSE 'NOERROR' END,
+            CASE WHEN c_custkey % 3 = 0 THEN '' ELSE concat('v=mta-sts: |id=', cast(c_custkey AS string)) END, 5, 1
+        FROM {mail_facts}
+        UNION ALL
+        SELECT concat('_smtp._tls.', domain), 'TXT', 'NOERROR', concat('v=TLSRPT1; rua=mailto:', domain), 5, 1
+        FROM {mail_facts}""",
+    "asked_names": """
+        SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN domain ELSE concat('a.', domain) END AS domain,
+            domain AS registered_domain FROM {mail_facts}""",
+    "service_obs": """
+        SELECT event_id, concat(CASE event_id % 3 WHEN 0 THEN '_xmpp._tcp.' WHEN 1 THEN '_sip._tcp.' ELSE '_ldap._tcp.' END,
+                'u', cast(user_id AS string), '.example.com') AS name,
+            CASE event_type WHEN 'view' THEN 'A' ELSE 'SRV' END AS rtype,
+            CASE WHEN (user_id + event_id % 3) % 4 = 0 THEN 'NXDOMAIN' ELSE 'NOERROR' END AS rcode,
+            CASE WHEN (user_id + event_id % 3) % 4 = 0 THEN '' ELSE '1 1 5060 sip.example.com' END AS answers_txt,
+            60 AS ttl, event_id AS seq, user_id FROM {events}""",
+    "keyed_obs": """
+        SELECT event_id, CASE WHEN rtype = 'TXT' THEN 'DNSKEY' ELSE rtype END AS rtype, name, rcode, answers_txt FROM {obs}""",
+    "chunk_runs": """
+        SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'com' WHEN '2-HIGH' THEN 'uk' ELSE 'rest' END AS bucket,
+            o_custkey % 40 AS chunk,
+            CASE o_orderpriority WHEN '1-URGENT' THEN 100 WHEN '2-HIGH' THEN 12 ELSE 200 END AS target_qps,
+            o_orderkey % 10 AS start_s, 10 + o_orderkey % 7 + o_custkey % 40 AS end_s FROM {orders}""",
 }
 
 
@@ -234,3 +307,11 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "suffix_list")
+
+
+def seq_observations(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Observation table out of an input that numbers its rows instead of timing them."""
+    return load(spark, sf_dir, name).select(
+        "name", "rtype", "rcode", listed("answers_txt").alias("answers"), "ttl",
+        F.timestamp_seconds("seq").alias("observed_ts"),
+    )

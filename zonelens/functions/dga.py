@@ -7,65 +7,61 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from zonelens.functions.hosts import labels, strip, strip_dots
+from zonelens.functions.hosts import strip, strip_dots
 
 DGA_VERSION = "2025.10.20-rc1"
 
 
 def second_level_label(regdom: Column) -> Column:
     """Leftmost label of a registered domain, '' where there is none (H1)."""
-    return F.coalesce(F.get(labels(regdom), F.lit(0)), F.lit(""))
+    return F.regexp_extract(tidy_host(regdom), r"([^.]+)", 1)
 
 
 def entropy(s: Column) -> Column:
-    """Shannon entropy of the characters, base 2; '' -> 0 (H3)."""
-    n = F.length(s).cast("double")
-
-    def add(total: Column, ch: Column) -> Column:
-        p = (F.length(s) - F.length(F.replace(s, ch, F.lit("")))) / n
-        return total - p * F.log2(p)
+    """Shannon entropy of the characters, base 2; '' -> 0 (H3).
 
-    return F.when(F.length(s) > 0, F.aggregate(F.array_distinct(F.split(s, "")), F.lit(0.0), add)).otherwise(F.lit(0.0))
+    Characters are sorted, so that equal ones form runs; only runs of two or more add to the sum of c * log2(c).
+    """
+    n = F.length(s).cast("double")
+    in_order = F.array_join(F.sort_array(F.split(s, "")), "")
+    runs = F.regexp_extract_all(in_order, F.lit(r"(?s)(.)\1+"), F.lit(0))
+    repeats = F.aggregate(runs, F.lit(0.0), lambda total, r: total + F.length(r) * F.log2(F.length(r).cast("double")))
+    return F.when(n > 0, F.log2(n) - repeats / n).otherwise(F.lit(0.0))
 
 
-def share_of(s: Column, char_class: str) -> Column:
-    """Share of characters in a class; '' -> 0 (H4, H5)."""
-    kept = F.length(F.regexp_replace(s, f"[^{char_class}]", ""))
-    return F.when(F.length(s) > 0, kept / F.length(s)).otherwise(F.lit(0.0))
+def share_of(s: Column, characters: str) -> Column:
+    """Share of the given characters; '' -> 0 (H4, H5)."""
+    hits = F.length(s) - F.length(F.translate(s, characters, ""))
+    return F.when(F.length(s) > 0, hits / F.length(s)).otherwise(F.lit(0.0))
 
 
-def _tidy(c: Column) -> Column:
+def tidy_host(c: Column) -> Column:
     return F.lower(strip(F.coalesce(c, F.lit(""))))
 
 
-def _outside(host: Column, regdom: Column) -> Column:
-    """Labels in front of the registered domain, for a host that ends with it."""
-    front = strip_dots(F.substring(host, F.lit(1), F.length(host) - F.length(regdom)))
-    return F.filter(F.split(front, r"\."), lambda x: x != "")
+def subdomain_labels(host: Column, regdom: Column) -> Column:
+    """Struct of the labels that count as subdomain, and whether the host is a foreign one.
 
-
-def subdomain_depth(host: Column, regdom: Column) -> Column:
-    """Labels before the registered domain; the suffix test is a plain text test (H6)."""
-    h, rd = _tidy(host), _tidy(regdom)
-    return (
-        F.when((h == "") | (rd == ""), F.lit(0))
-        .when(~h.endswith(rd), F.greatest(F.size(labels(h)) - 2, F.lit(0)))
-        .otherwise(F.size(_outside(h, rd)))
+    Both inputs are tidy.  The suffix test is a plain text test; a foreign host gives all its labels.
+    """
+    own = host.endswith(regdom)
+    front = F.when(own, F.substring(host, F.lit(1), F.length(host) - F.length(regdom))).otherwise(host)
+    blank = (host == "") | (regdom == "")
+    found = F.array_remove(F.split(strip_dots(front), r"\."), "")
+    return F.struct(
+        F.when(blank, F.array().cast("array<string>")).otherwise(found).alias("labels"), (~own).alias("is_foreign")
     )
 
 
-def subdomain_max_label(host: Column, regdom: Column) -> Column:
-    """Longest label before the registered domain, over all labels for a foreign host (H7)."""
-    h, rd = _tidy(host), _tidy(regdom)
+def subdomain_depth(labels: Column) -> Column:
+    """Number of subdomain labels; a foreign host is taken to have a two-label domain (H6)."""
+    n = F.size(labels["labels"])
+    return F.when(labels["is_foreign"], F.greatest(n - 2, F.lit(0))).otherwise(n)
 
-    def longest(parts: Column) -> Column:
-        return F.coalesce(F.array_max(F.transform(parts, F.length)), F.lit(0))
 
-    return (
-        F.when((h == "") | (rd == ""), F.lit(0))
-        .when(~h.endswith(rd), longest(labels(h)))
-        .otherwise(longest(_outside(h, rd)))
-    )
+def subdomain_max_label(labels: Column) -> Column:
+    """Length of the longest subdomain label (H7)."""
+    return F.coalesce(F.array_max(F.transform(labels["labels"], F.length)), F.lit(0))
 
 
 def row_max(values: Sequence[Column]) -> Column:

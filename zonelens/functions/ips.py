@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from zonelens.functions import let
 from zonelens.functions.hosts import strip
 
 _OCTET = r"(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
@@ -16,13 +17,40 @@ def is_ipv4(c: Column) -> Column:
     return c.rlike(IPV4)
 
 
+def _hex_text(text: Column) -> Column:
+    """IPv6 text with a dotted tail written as two hex groups."""
+
+    def convert(quad: Column) -> Column:
+        byte = [F.coalesce(F.get(quad, F.lit(i)).try_cast("int"), F.lit(0)) for i in range(4)]
+        two = F.concat_ws(":", F.lower(F.hex(byte[0] * 256 + byte[1])), F.lower(F.hex(byte[2] * 256 + byte[3])))
+        return F.concat(F.regexp_replace(text, r"\d+\.\d+\.\d+\.\d+$", ""), two)
+
+    quad = F.split(F.regexp_extract(text, r"(\d+\.\d+\.\d+\.\d+)$", 1), r"\.")
+    dotted = F.when(text.rlike(_QUAD_TAIL), let(quad, convert)).otherwise(F.lit(""))
+    return F.when(F.contains(text, F.lit(".")), dotted).otherwise(text)
+
+
+def _expand(text: Column) -> Column:
+    """Groups of lower-case IPv6 text without leading zeros, '::' filled up to eight; null for a bad shape."""
+    present = F.size(F.array_remove(F.split(text, ":"), ""))
+    gap = F.contains(text, F.lit("::"))
+    shape = text.rlike("^[0-9a-f:]+$") & ~text.rlike(r":::|::.*::|^:[^:]|[^:]:$")
+    fill = F.concat(F.lit(":"), F.repeat(F.lit("0:"), F.greatest(F.lit(8) - present, F.lit(0))))
+    full = F.trim(F.replace(text, F.lit("::"), fill), F.lit(":"))
+    groups = F.transform(F.split(full, ":"), lambda g: F.regexp_replace(g, "^0+(?=.)", ""))
+    long_groups = F.exists(F.split(text, ":"), lambda g: F.length(g) > 4)
+    counted = (gap & (present <= 7)) | (~gap & (present == 8))
+    return F.when(shape & counted & ~long_groups, groups)
+
+
+def ipv6_groups(c: Column) -> Column:
+    """The eight groups of an IPv6 address, or null."""
+    return F.when(F.contains(c, F.lit(":")), let(let(F.lower(c), _hex_text), _expand))
+
+
 def is_ipv6(c: Column) -> Column:
     """Eight groups, or fewer around one '::'; the last two groups may be a dotted quad."""
-    groups = _groups(c)
-    shape = c.rlike("^[0-9A-Fa-f:.]+$") & ~c.rlike(r":::|::.*::|^:[^:]|[^:]:$")
-    tail = ~F.contains(c, F.lit(".")) | c.rlike(_QUAD_TAIL)
-    count = (F.size(groups) == 8) & (~F.contains(c, F.lit("::")) | (_present(_hex_text(c)) <= 7))
-    return F.contains(c, F.lit(":")) & shape & tail & count & F.forall(groups, lambda g: g.rlike("^[0-9a-f]{1,4}$"))
+    return F.coalesce(ipv6_groups(c).isNotNull(), F.lit(False))
 
 
 def valid_ips(c: Column) -> Column:
@@ -46,42 +74,25 @@ def int_to_ipv4(c: Column) -> Column:
     return F.concat_ws(".", *[(F.shiftright(c, 24 - 8 * i).bitwiseAND(F.lit(255))).cast("string") for i in range(4)])
 
 
-def _hex_text(c: Column) -> Column:
-    """Lower-case IPv6 text with a dotted tail written as two hex groups."""
-    text = F.lower(c)
-    quad = F.split(F.regexp_extract(text, r"(\d+\.\d+\.\d+\.\d+)$", 1), r"\.")
-    byte = [F.coalesce(F.get(quad, F.lit(i)).try_cast("int"), F.lit(0)) for i in range(4)]
-    two = F.concat_ws(":", F.lower(F.hex(byte[0] * 256 + byte[1])), F.lower(F.hex(byte[2] * 256 + byte[3])))
-    dotted = F.concat(F.regexp_replace(text, r"\d+\.\d+\.\d+\.\d+$", ""), two)
-    return F.when(F.contains(text, F.lit(".")), dotted).otherwise(text)
-
-
-def _present(text: Column) -> Column:
-    return F.size(F.filter(F.split(text, ":"), lambda g: g != ""))
-
-
-def _groups(c: Column) -> Column:
-    """The groups of an IPv6 text as hex without leading zeros, '::' filled up to eight."""
-    text = _hex_text(c)
-    fill = F.concat(F.lit(":"), F.repeat(F.lit("0:"), F.greatest(F.lit(8) - _present(text), F.lit(0))))
-    full = F.trim(F.replace(text, F.lit("::"), fill), F.lit(":"))
-    return F.transform(F.split(full, ":"), lambda g: F.regexp_replace(g, "^0+(?=.)", ""))
-
-
 def _compress(joined: Column) -> Column:
     """Replace the first longest run of two or more zero groups by '::'."""
-    out = joined
-    for run in range(2, 9):  # the longest run is tried first because it becomes the outermost branch
-        pattern = rf"^(.*?)(?:^|:)0(?::0){{{run - 1}}}(?:$|:)(.*)$"
-        short = F.concat(F.regexp_extract(joined, pattern, 1), F.lit("::"), F.regexp_extract(joined, pattern, 2))
-        out = F.when(joined.rlike(rf"(^|:)0(:0){{{run - 1}}}($|:)"), short).otherwise(out)
-    return out
+
+    def shorten(text: Column) -> Column:
+        out = text
+        for run in range(2, 9):  # the longest run is tried first because it becomes the outermost branch
+            pattern = rf"^(.*?)(?:^|:)0(?::0){{{run - 1}}}(?:$|:)(.*)$"
+            short = F.concat(F.regexp_extract(text, pattern, 1), F.lit("::"), F.regexp_extract(text, pattern, 2))
+            out = F.when(text.rlike(rf"(^|:)0(:0){{{run - 1}}}($|:)"), short).otherwise(out)
+        return F.when(text.rlike("(^|:)0:0($|:)"), out).otherwise(text)
+
+    return let(joined, shorten)
 
 
 def canonical_ip(c: Column) -> Column:
     """One spelling per address; text that is no address is only trimmed."""
     ip = strip(c)
-    return F.when(is_ipv6(ip), _compress(F.array_join(_groups(ip), ":"))).otherwise(ip)
+    v6 = let(ipv6_groups(ip), lambda g: F.when(g.isNotNull(), _compress(F.array_join(g, ":"))))
+    return F.when(F.contains(ip, F.lit(":")), F.coalesce(v6, ip)).otherwise(ip)
 
 
 def ip_version(c: Column) -> Column:
@@ -94,31 +105,42 @@ def reverse_pointer(c: Column) -> Column:
     """Owner name of the PTR record; null for text that is no address."""
     ip = strip(c)
     v4 = F.concat(F.array_join(F.reverse(F.split(ip, r"\.")), "."), F.lit(".in-addr.arpa"))
-    nibbles = F.array_join(F.transform(_groups(ip), lambda g: F.lpad(g, 4, "0")), "")
-    v6 = F.concat(F.array_join(F.reverse(F.split(nibbles, "")), "."), F.lit(".ip6.arpa"))
-    return F.when(is_ipv4(ip), v4).when(is_ipv6(ip), v6)
+
+    def v6(groups: Column) -> Column:
+        nibbles = F.array_join(F.transform(groups, lambda g: F.lpad(g, 4, "0")), "")
+        name = F.concat(F.array_join(F.reverse(F.split(nibbles, "")), "."), F.lit(".ip6.arpa"))
+        return F.when(groups.isNotNull(), name)
+
+    return F.when(F.contains(ip, F.lit(":")), let(ipv6_groups(ip), v6)).when(is_ipv4(ip), v4)
+
+
+def _block_start(number: Column, bits: Column) -> Column:
+    return number - F.pmod(number, F.pow(F.lit(2.0), bits).cast("bigint"))
 
 
 def canonical_prefix(c: Column) -> Column:
     """Network form of a CIDR text: host bits cleared; a bare address gets its full length."""
     text = strip(c)
-    addr = F.substring_index(text, "/", 1)
-    plen = F.when(F.contains(text, F.lit("/")), F.substring_index(text, "/", -1).try_cast("int"))
-    len4 = F.coalesce(plen, F.lit(32))
-    len6 = F.coalesce(plen, F.lit(128))
-    block = F.pow(F.lit(2.0), 32 - len4).cast("bigint")
-    v4 = F.concat_ws("/", int_to_ipv4(ipv4_to_int(addr) - F.pmod(ipv4_to_int(addr), block)), len4.cast("string"))
-
-    def keep_bits(group: Column, i: Column) -> Column:
-        bits = F.greatest(F.least(len6 - i * 16, F.lit(16)), F.lit(0))
-        size = F.pow(F.lit(2.0), 16 - bits).cast("bigint")
-        value = F.conv(group, 16, 10).cast("bigint")
-        return F.lower(F.hex(value - F.pmod(value, size)))
-
-    v6 = F.concat_ws("/", _compress(F.array_join(F.transform(_groups(addr), keep_bits), ":")), len6.cast("string"))
-    good_len = plen.isNotNull() | ~F.contains(text, F.lit("/"))
-    return (
-        F.when(good_len & is_ipv4(addr) & len4.between(0, 32), v4)
-        .when(good_len & is_ipv6(addr) & len6.between(0, 128), v6)
-        .otherwise(text)
-    )
+    pieces = F.split(text, "/", 2)
+
+    def network(p: Column) -> Column:
+        bare = F.size(p) == 1
+        plen = F.get(p, F.lit(1)).try_cast("int")
+        addr = F.get(p, F.lit(0))
+        len4 = F.when(bare, F.lit(32)).otherwise(plen)
+        len6 = F.when(bare, F.lit(128)).otherwise(plen)
+
+        def v6(groups: Column) -> Column:
+            def masked(group: Column, i: Column) -> Column:
+                keep = F.greatest(F.least(len6 - i * 16, F.lit(16)), F.lit(0))
+                return F.lower(F.hex(_block_start(F.conv(group, 16, 10).cast("bigint"), 16 - keep)))
+
+            shown = F.concat_ws("/", _compress(F.array_join(F.transform(groups, masked), ":")), len6.cast("string"))
+            return F.when(groups.isNotNull() & len6.between(0, 128), shown)
+
+        v4 = F.concat_ws("/", let(_block_start(ipv4_to_int(addr), 32 - len4), int_to_ipv4), len4.cast("string"))
+        return F.when(F.contains(addr, F.lit(":")), let(ipv6_groups(addr), v6)).when(
+            is_ipv4(addr) & len4.between(0, 32), v4
+        )
+
+    return F.coalesce(let(pieces, network), text)

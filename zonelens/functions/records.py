@@ -7,17 +7,35 @@ from pyspark.sql import functions as F
 
 from zonelens.functions.hosts import ascii_host, strip_dots
 
+_MX = r"^([+-]?\d{1,9}):(.*)$"
 _SRV = r"^(\d+)\s+(\d+)\s+(\d+)\s+(\S+)$"
 _CAA = r'^(\d+)\s+(\w+)\s+"?(.*?)"?$'
 _NAPTR = r'^(\d+)\s+(\d+)\s+"(.*?)"\s+"(.*?)"\s+"(.*?)"\s+(\S+)$'
 
 
-def _part(c: Column, pattern: str, group: int) -> Column:
-    return F.regexp_extract(c, pattern, group)
+_SEP = "\x01\x02"  # never part of a record text
 
 
-def _number(c: Column, pattern: str, group: int) -> Column:
-    return _part(c, pattern, group).try_cast("int")
+def _pieces(items: Column, pattern: str, groups: int) -> Column:
+    """Captured groups of every item; an item that does not match is its own single piece.
+
+    One pattern match and one split per item, however many fields are read from it.
+    """
+    marked = _SEP.join(f"${i}" for i in range(1, groups + 1))
+    return F.transform(items, lambda x: F.split(F.regexp_replace(x, pattern, marked), _SEP))
+
+
+def _text_at(p: Column, i: int, groups: int, default: str | None = "") -> Column:
+    return F.when(F.size(p) == groups, F.get(p, F.lit(i))).otherwise(F.lit(default))
+
+
+def _int_at(p: Column, i: int, groups: int) -> Column:
+    return _text_at(p, i, groups, None).try_cast("int")
+
+
+def _rest_at(p: Column, i: int, groups: int) -> Column:
+    """Last field, or the whole item where it did not match."""
+    return F.when(F.size(p) == groups, F.get(p, F.lit(i))).otherwise(F.get(p, F.lit(0)))
 
 
 def parse_mx(items: Column, default_preference: int | None = None) -> Column:
@@ -27,28 +45,29 @@ def parse_mx(items: Column, default_preference: int | None = None) -> Column:
     """
     missing = F.lit(default_preference).cast("int")
 
-    def one(item: Column) -> Column:
-        pref = F.when(F.contains(item, F.lit(":")), F.substring_index(item, ":", 1).try_cast("int"))
-        rest = F.substring(item, F.instr(item, ":") + 1, F.length(item))
+    def one(p: Column) -> Column:
         return F.struct(
-            F.coalesce(pref, missing).alias("preference"),
-            strip_dots(F.when(pref.isNotNull(), rest).otherwise(item)).alias("exchange"),
+            F.coalesce(_int_at(p, 0, 2), missing).alias("preference"),
+            strip_dots(_rest_at(p, 1, 2)).alias("exchange"),
         )
 
-    return F.transform(items, one)
+    return F.transform(_pieces(items, _MX, 2), one)
 
 
-def sort_mx(parsed: Column) -> Column:
-    """Lowest preference first, input order on ties."""
-    placed = F.transform(
+def _ranked(parsed: Column) -> Column:
+    return F.transform(
         parsed, lambda m, i: F.struct(F.coalesce(m["preference"], F.lit(0)).alias("p"), i.alias("i"), m.alias("m"))
     )
-    return F.transform(F.array_sort(placed), lambda x: x["m"])
+
+
+def sort_mx(parsed: Column) -> Column:
+    """Lowest preference first, input order on ties."""
+    return F.transform(F.sort_array(_ranked(parsed)), lambda x: x["m"])
 
 
 def primary_mx(parsed: Column) -> Column:
     """Lowest preference, first on ties."""
-    return F.get(sort_mx(parsed), F.lit(0))
+    return F.array_min(_ranked(parsed))["m"]
 
 
 def parse_srv(items: Column, owner: Column | None = None, ttl: Column | None = None) -> Column:
@@ -58,50 +77,45 @@ def parse_srv(items: Column, owner: Column | None = None, ttl: Column | None = N
     proto = F.get(owner_labels, F.lit(1)) if owner is not None else F.lit(None).cast("string")
     seconds = ttl.cast("int") if ttl is not None else F.lit(None).cast("int")
 
-    def one(item: Column) -> Column:
-        target = F.when(item.rlike(_SRV), _part(item, _SRV, 4)).otherwise(item)
+    def one(p: Column) -> Column:
         return F.struct(
-            _number(item, _SRV, 1).alias("priority"),
-            _number(item, _SRV, 2).alias("weight"),
-            _number(item, _SRV, 3).alias("port"),
-            strip_dots(target).alias("target"),
+            _int_at(p, 0, 4).alias("priority"),
+            _int_at(p, 1, 4).alias("weight"),
+            _int_at(p, 2, 4).alias("port"),
+            strip_dots(_rest_at(p, 3, 4)).alias("target"),
             service.alias("service"),
             proto.alias("proto"),
             seconds.alias("ttl"),
         )
 
-    return F.transform(items, one)
+    return F.transform(_pieces(items, _SRV, 4), one)
 
 
 def parse_caa(items: Column) -> Column:
     """``flags tag "value"`` items; other text becomes the value."""
 
-    def one(item: Column) -> Column:
-        hit = item.rlike(_CAA)
+    def one(p: Column) -> Column:
         return F.struct(
-            _number(item, _CAA, 1).alias("flags"),
-            _part(item, _CAA, 2).alias("tag"),
-            F.when(hit, _part(item, _CAA, 3)).otherwise(item).alias("value"),
+            _int_at(p, 0, 3).alias("flags"), _text_at(p, 1, 3).alias("tag"), _rest_at(p, 2, 3).alias("value")
         )
 
-    return F.transform(items, one)
+    return F.transform(_pieces(items, _CAA, 3), one)
 
 
 def parse_naptr(items: Column) -> Column:
     """``order pref "flags" "services" "regexp" replacement`` items."""
 
-    def one(item: Column) -> Column:
-        hit = item.rlike(_NAPTR)
+    def one(p: Column) -> Column:
         return F.struct(
-            _number(item, _NAPTR, 1).alias("order"),
-            _number(item, _NAPTR, 2).alias("preference"),
-            _part(item, _NAPTR, 3).alias("flags"),
-            _part(item, _NAPTR, 4).alias("services"),
-            _part(item, _NAPTR, 5).alias("regexp"),
-            strip_dots(F.when(hit, _part(item, _NAPTR, 6)).otherwise(item)).alias("replacement"),
+            _int_at(p, 0, 6).alias("order"),
+            _int_at(p, 1, 6).alias("preference"),
+            _text_at(p, 2, 6).alias("flags"),
+            _text_at(p, 3, 6).alias("services"),
+            _text_at(p, 4, 6).alias("regexp"),
+            strip_dots(_rest_at(p, 5, 6)).alias("replacement"),
         )
 
-    return F.transform(items, one)
+    return F.transform(_pieces(items, _NAPTR, 6), one)
 
 
 def parse_soa(text: Column) -> Column:

@@ -16,7 +16,7 @@ TTL_DROP = 0.5  # a TTL that fell to half of the earlier one, or below, counts a
 
 
 def _sorted(c: Column) -> Column:
-    return F.array_sort(F.coalesce(c, F.array().cast("array<string>")))
+    return F.sort_array(F.coalesce(c, F.array().cast("array<string>")))
 
 
 def differs(rcode: Column, answers: Column, old_rcode: Column, old_answers: Column) -> Column:

@@ -19,20 +19,27 @@ def with_dga_features(df: DataFrame) -> DataFrame:
     if "registered_domain" not in df.columns:
         fallback = F.lower("domain") if "domain" in df.columns else F.lit("")
         df = df.withColumn("registered_domain", fallback)
-    regdom = F.col("registered_domain")
-    hosts = [F.col(c) for c in HOST_COLUMNS if c in df.columns]
+    hosts = [c for c in HOST_COLUMNS if c in df.columns]
+    # Each step feeds several columns of the next one, so every part is evaluated once per row.
+    tidy = df.withColumns({f"__{c}": D.tidy_host(F.col(c)) for c in (*hosts, "registered_domain")})
+    parts = tidy.withColumns(
+        {
+            "dga_sld": D.second_level_label(F.col("__registered_domain")),
+            **{f"__{c}": D.subdomain_labels(F.col(f"__{c}"), F.col("__registered_domain")) for c in hosts},
+        }
+    )
     sld = F.col("dga_sld")
-    with_label = df.withColumn("dga_sld", D.second_level_label(regdom))
-    with_features = with_label.withColumns(
+    labels = [F.col(f"__{c}") for c in hosts]
+    with_features = parts.withColumns(
         {
             "dga_sld_length": F.length(sld),
             "dga_sld_entropy": D.entropy(sld),
-            "dga_sld_digit_ratio": D.share_of(sld, "0-9"),
+            "dga_sld_digit_ratio": D.share_of(sld, "0123456789"),
             "dga_sld_vowel_ratio": D.share_of(F.lower(sld), "aeiou"),
-            "subdomain_depth": D.row_max([D.subdomain_depth(h, regdom) for h in hosts]),
-            "subdomain_max_label": D.row_max([D.subdomain_max_label(h, regdom) for h in hosts]),
+            "subdomain_depth": D.row_max([D.subdomain_depth(x) for x in labels]),
+            "subdomain_max_label": D.row_max([D.subdomain_max_label(x) for x in labels]),
         }
-    )
+    ).drop(*[f"__{c}" for c in (*hosts, "registered_domain")])
     points = D.dga_points(
         F.col("dga_sld_entropy"),
         F.col("dga_sld_length"),

@@ -247,7 +247,7 @@ def srv_errors(srv: DataFrame) -> DataFrame:
     """Failed services per domain as a map and as text."""
     failed = srv.filter(~is_positive(F.col("rcode"), _answers())).select("domain", "service", "rcode").distinct()
     newest = failed.groupBy("domain", "service").agg(F.max("rcode").alias("rcode"))
-    pairs = newest.groupBy("domain").agg(F.array_sort(F.collect_set(F.struct("service", "rcode"))).alias("__e"))
+    pairs = newest.groupBy("domain").agg(F.sort_array(F.collect_set(F.struct("service", "rcode"))).alias("__e"))
     return pairs.select(
         "domain",
         F.map_from_entries("__e").alias("srv_errors"),

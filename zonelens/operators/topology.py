@@ -344,7 +344,7 @@ def attach_ptr(df: DataFrame, obs: DataFrame, suffixes: DataFrame, name: str = "
     table = with_registered_domain(table, suffixes, host="ptr", regdom="ptr_regdom", tld=None)
     found = spread_join(pairs, table, ["ip"], [name], how="inner")
     per_domain = found.groupBy(name).agg(
-        F.array_sort(F.collect_set(F.struct("ip", "ptr", "ptr_regdom"))).alias("__p")
+        F.sort_array(F.collect_set(F.struct("ip", "ptr", "ptr_regdom"))).alias("__p")
     )
     out = df.join(per_domain, name, "left")
     none = F.array().cast("array<struct<ip:string,ptr:string,ptr_regdom:string>>")
@@ -358,9 +358,9 @@ def attach_ptr(df: DataFrame, obs: DataFrame, suffixes: DataFrame, name: str = "
         {
             "ptr": F.map_from_entries(F.transform(known, lambda p: F.struct(p["ip"], p["ptr"]))),
             "mx_ptr": of("mx_ips", "ptr"),
-            "mx_ptr_regdom": F.array_sort(F.array_distinct(of("mx_ips", "ptr_regdom"))),
+            "mx_ptr_regdom": F.sort_array(F.array_distinct(of("mx_ips", "ptr_regdom"))),
             "ns_ptr": of("ns_ips", "ptr"),
-            "ns_ptr_regdom": F.array_sort(F.array_distinct(of("ns_ips", "ptr_regdom"))),
+            "ns_ptr_regdom": F.sort_array(F.array_distinct(of("ns_ips", "ptr_regdom"))),
         }
     ).drop("__p")
 
@@ -372,8 +372,8 @@ def ptr_summary(ptr_pairs: DataFrame, key: str = "mx_host") -> DataFrame:
     """
     rows = ptr_pairs.filter(F.coalesce(F.col("ptr"), F.lit("")) != "").select(key, "ptr", "ptr_regdom").distinct()
     lists = rows.groupBy(key).agg(
-        F.array_sort(F.collect_set("ptr")).alias("ptr_hosts"),
-        F.array_sort(F.collect_set(F.nullif("ptr_regdom", F.lit("")))).alias("ptr_regdoms"),
+        F.sort_array(F.collect_set("ptr")).alias("ptr_hosts"),
+        F.sort_array(F.collect_set(F.nullif("ptr_regdom", F.lit("")))).alias("ptr_regdoms"),
     )
     return lists.withColumns(
         {

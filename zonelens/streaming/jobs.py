@@ -29,7 +29,7 @@ def dedupe_lookups(obs: DataFrame, horizon: str = "1 hour", keys: Sequence[str]
 
 def _compact(obs: DataFrame) -> DataFrame:
     """Observation columns that the state functions need; answers as sorted JSON text, time in microseconds."""
-    answers = F.array_sort(F.coalesce("answers", F.array().cast("array<string>")))
+    answers = F.sort_array(F.coalesce("answers", F.array().cast("array<string>")))
     return obs.select(
         *KEY,
         F.coalesce("rcode", F.lit("")).alias("rcode"),

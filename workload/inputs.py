@@ -134,7 +134,7 @@ INPUTS: dict[str, str] = {
                  WHEN event_id % 3 = 0 AND event_type = 'signup' THEN 'ERROR'
                  WHEN user_id % 40 = 0 AND event_type = 'purchase' THEN 'ERROR' ELSE 'OK' END AS status,
             CASE WHEN user_id % 40 = 0 AND event_type = 'purchase' THEN 'SERVFAIL' ELSE 'NOERROR' END AS rcode,
-            value / 16 AS response_time
+            value / 16 + 0.0000123 AS response_time
         FROM {events}""",
     "banner_facts": """
         SELECT s_suppkey, concat('mx', cast(s_suppkey AS string), '.',
@@ -260,12 +260,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table or a derived input as a DataFrame."""
+def load(spark: SparkSession, sf_dir: str, name: str, streams: tuple[str, ...] = ()) -> DataFrame:
+    """A given table or a derived input as a DataFrame; tables named in ``streams`` are read as streams."""
+    if name in streams:
+        schema = table(spark, sf_dir, name).schema
+        # A glob, because a stream takes no plain file as its path; it fits a file and a folder.
+        return spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet*")
     if name in TABLES:
         return table(spark, sf_dir, name)
     sql = INPUTS[name]
-    return spark.sql(sql, **{p: load(spark, sf_dir, p) for p in dict.fromkeys(parts(sql))})
+    return spark.sql(sql, **{p: load(spark, sf_dir, p, streams) for p in dict.fromkeys(parts(sql))})
 
 
 @lru_cache(maxsize=None)
@@ -296,9 +300,9 @@ def listed(c: str):
     return F.when(F.col(c) == "", F.array().cast("array<string>")).otherwise(F.split(c, r"\|"))
 
 
-def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Observation table out of the events."""
-    raw = load(spark, sf_dir, "obs")
+def observations(spark: SparkSession, sf_dir: str, streams: tuple[str, ...] = ()) -> DataFrame:
+    """Observation table, or stream, out of the events."""
+    raw = load(spark, sf_dir, "obs", streams)
     return raw.select(
         "name", "rtype", "rcode", listed("answers_txt").alias("answers"), "ttl",
         F.col("observed_ts").cast("timestamp").alias("observed_ts"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from workload.inputs import listed, load, observations, suffixes
-from workload.q_observations import _LATEST
+from workload.q_observations import _LATEST, _PIVOT, _USABLE
 from workload.registry import query
 from zonelens.operators import rows
 from zonelens.plans import batch, scored
@@ -141,20 +141,43 @@ def domain_profile(spark, sf):
     return out.select(*keep, F.lit(width).alias("n_columns"))
 
 
-@query("record_envelopes")
+@query("record_envelopes", f"""
+    WITH {_PIVOT},
+    m AS (SELECT name, answers_txt AS mx FROM latest WHERE rtype = 'MX' AND rcode = 'NOERROR' AND answers_txt <> ''),
+    u AS (SELECT p.*, m.mx, {_USABLE} AS usable FROM p LEFT JOIN m ON m.name = p.domain)
+    SELECT domain, CASE WHEN ns_rcode = 'NXDOMAIN' AND soa_rcode = 'NXDOMAIN' AND a_rcode = 'NXDOMAIN' THEN 'dormant'
+            WHEN usable THEN 'alive' ELSE 'needs_retry' END AS status,
+        CASE WHEN ns_rcode = 'NOERROR' THEN nullif(ns_txt, '') END AS ns, CASE WHEN a_rcode = 'NOERROR' THEN nullif(a_txt, '') END AS a,
+        mx, domain AS registered_domain, ns_rcode, cast(a_ttl AS varchar) AS a_ttl, NOT usable AS core_failed FROM u""", "obs")
 def record_envelopes(spark, sf):
     obs = observations(spark, sf)
     domains = obs.select(F.col("name").alias("domain"))
-    return rows.to_result_rows(batch.to_records(batch.domain_wide(domains, obs, suffixes(spark, sf))))
+    records = batch.to_records(batch.domain_wide(domains, obs, suffixes(spark, sf)))
+    fields = [F.array_join(F.element_at("records", k), "|").alias(k) for k in ("ns", "a", "mx", "registered_domain")]
+    meta = [F.element_at("meta", k).alias(k) for k in ("ns_rcode", "a_ttl")]
+    return records.select(
+        "domain", "status", *fields, *meta, F.element_at("errors", "core").isNotNull().alias("core_failed")
+    )
 
 
-@query("scored_profiles")
+@query("scored_profiles", f"""
+    WITH {_LATEST}, d AS (SELECT DISTINCT name AS domain FROM obs),
+    a AS (SELECT name, split_part(answers_txt, '|', 1) AS ip FROM latest
+        WHERE rtype = 'A' AND rcode = 'NOERROR' AND answers_txt <> ''),
+    i AS (SELECT d.domain, cast(split_part(a.ip, '.', 1) AS bigint) * 16777216 + cast(split_part(a.ip, '.', 2) AS bigint) * 65536
+            + cast(split_part(a.ip, '.', 3) AS bigint) * 256 + cast(split_part(a.ip, '.', 4) AS bigint) AS ip_int,
+            CASE WHEN (length(split_part(d.domain, '.', 1)) - 1) / length(split_part(d.domain, '.', 1)) > 0.3 THEN 2 ELSE 0 END AS points
+        FROM d LEFT JOIN a ON a.name = d.domain)
+    SELECT i.domain, i.domain AS registered_domain, cast(NULL AS varchar) AS mx_provider_name,
+        cast(NULL AS varchar) AS ns_provider_name, r.asn, i.points AS subdomain_points, i.points AS risk_score,
+        'low' AS risk_level, '' AS risk_reasons, '2025.10.20-rc1' AS score_version
+    FROM i LEFT JOIN asn_ranges r ON i.ip_int BETWEEN r.start_int AND r.end_int""", "obs", "asn_ranges")
 def scored_profiles(spark, sf):
     obs = observations(spark, sf)
     wide = batch.domain_wide(obs.select(F.col("name").alias("domain")), obs, suffixes(spark, sf))
-    profile = rows.to_domain_profile(wide)
     out = scored.scored_profiles(
-        profile, load(spark, sf, "mx_catalog"), load(spark, sf, "provider_catalog"), load(spark, sf, "asn_ranges")
+        rows.to_domain_profile(wide), load(spark, sf, "mx_catalog"), load(spark, sf, "provider_catalog"),
+        load(spark, sf, "asn_ranges"),
     )
     return out.select("domain", "registered_domain", "mx_provider_name", "ns_provider_name", "asn", "subdomain_points",
                       "risk_score", "risk_level", "risk_reasons", "score_version")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from workload.inputs import CUT, NOW, listed, load, observations, seq_observations, suffixes
 from workload.registry import query
 from zonelens.operators import change, resolve, topology
+from zonelens.operators.joins import hot_keys
 from zonelens.sources.writers import flat_mx_hosts
 
 _NOW = datetime.fromisoformat(NOW)
@@ -339,8 +340,9 @@ def mta_sts(spark, sf):
 def attach_subhost(spark, sf):
     answers = topology.host_answers(seq_observations(spark, sf, "host_obs"))
     base = load(spark, sf, "mail_facts").select("c_custkey", "domain", "registered_domain")
-    out = topology.attach_subhost(base, answers, "www", hot_from=base)
-    out = topology.attach_subhost(out, answers, "mail", hot_from=base)
+    hot = hot_keys(base, ["registered_domain"])
+    out = topology.attach_subhost(base, answers, "www", hot=hot)
+    out = topology.attach_subhost(out, answers, "mail", hot=hot)
     aaaa = F.coalesce(F.array_join("www_aaaa_list", "|"), F.lit("")).alias("www_aaaa")
     return out.select("c_custkey", "www_a", "www_cname", aaaa, "www_exists", "mail_a", "mail_exists")
 

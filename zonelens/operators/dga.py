@@ -35,7 +35,7 @@ def with_dga_features(df: DataFrame) -> DataFrame:
             "dga_sld_length": F.length(sld),
             "dga_sld_entropy": D.entropy(sld),
             "dga_sld_digit_ratio": D.share_of(sld, "0123456789"),
-            "dga_sld_vowel_ratio": D.share_of(F.lower(sld), "aeiou"),
+            "dga_sld_vowel_ratio": D.share_of(sld, "aeiou"),
             "subdomain_depth": D.row_max([D.subdomain_depth(x) for x in labels]),
             "subdomain_max_label": D.row_max([D.subdomain_max_label(x) for x in labels]),
         }

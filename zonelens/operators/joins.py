@@ -12,10 +12,13 @@ list of hot keys, which has a fixed number of rows (a key outside the list canno
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from zonelens.session import shared_dir
 
 HOT_ROWS = 1_000_000
 AT_MOST = 256
@@ -34,6 +37,25 @@ def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> Data
     )
 
 
+def hot_key_table(df: DataFrame, columns: Mapping[str, Column], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Hot keys of several columns in one pass: kind, key; at most ``AT_MOST`` rows per kind."""
+    pairs = [F.struct(F.lit(k).alias("kind"), c.cast("string").alias("key")) for k, c in columns.items()]
+    counted = (
+        df.select(F.inline(F.array(*pairs)))
+        .filter(F.col("key").isNotNull())
+        .groupBy("kind", "key")
+        .agg(F.count("*").alias("__rows"))
+        .filter(F.col("__rows") >= hot_rows)
+    )
+    rank = F.row_number().over(Window.partitionBy("kind").orderBy(F.desc("__rows"), "key"))
+    return counted.withColumn("__rank", rank).filter(F.col("__rank") <= AT_MOST).select("kind", "key")
+
+
+def hot_of(table: DataFrame, kind: str, column: str) -> DataFrame:
+    """Hot keys of one kind, ready for :func:`spread_join` on ``column``."""
+    return table.filter(F.col("kind") == kind).select(F.col("key").alias(column), F.lit(True).alias("__hot"))
+
+
 def spread_join(
     left: DataFrame,
     right: DataFrame,
@@ -42,18 +64,19 @@ def spread_join(
     how: str = "left",
     ways: int = WAYS,
     hot_rows: int = HOT_ROWS,
-    hot_from: DataFrame | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Join where hot keys of the left side are spread over ``ways`` partitions.
 
     The salt is a hash of ``spread_by`` columns, so a task that runs again gives every row the same salt.
     Right rows are repeated for hot keys only.  Null keys match nothing and are spread as well.
-    Hot keys are counted in ``hot_from`` (the left side where absent); a caller that chains joins passes the
-    scan-like frame at the start of the chain, so that counting never repeats earlier joins.
+    ``hot`` is a list from :func:`hot_keys` or :func:`hot_of`; without it the left side is counted here, so a
+    caller that chains joins makes the list once, at the start of the chain.
     """
     on = list(on)
-    counted = left if hot_from is None else hot_from
-    hot = F.broadcast(hot_keys(counted.filter(" AND ".join(f"`{c}` IS NOT NULL" for c in on)), on, hot_rows))
+    if hot is None:
+        hot = hot_keys(left.filter(" AND ".join(f"`{c}` IS NOT NULL" for c in on)), on, hot_rows)
+    hot = F.broadcast(hot)
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(ways)).cast("int")
     blank = F.lit(False)
     for c in on:
@@ -68,11 +91,13 @@ def spread_join(
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint where the cluster names a shared folder, else the frame itself."""
+    """Write the frame below the cluster's shared folder and read it back; without such a folder, the frame itself.
+
+    A Parquet table keeps later scans pruned to their columns and tells the optimizer its size.
+    """
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", "")
-    if not folder:
+    if not spark.conf.get("spark.checkpoint.dir", None):
         return df
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
+    path = shared_dir(spark, "stage")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

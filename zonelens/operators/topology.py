@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from zonelens.functions import hosts as H
 from zonelens.functions import policies as P
 from zonelens.functions.ips import reverse_pointer, valid_ips
-from zonelens.operators.joins import cut_lineage, spread_join
+from zonelens.operators.joins import cut_lineage, hot_keys, spread_join
 from zonelens.operators.resolve import is_positive, latest_observation
 from zonelens.operators.suffixes import with_registered_domain
 
@@ -57,12 +57,12 @@ def alias_edges(obs: DataFrame) -> DataFrame:
     return edges.filter((F.col("target") != "") & (F.col("target") != F.col("name")))
 
 
-def _extend(first: DataFrame, second: DataFrame, hot_from: DataFrame) -> DataFrame:
+def _extend(first: DataFrame, second: DataFrame, hot: DataFrame) -> DataFrame:
     """Paths of ``first`` carried on by the paths of ``second``."""
     onward = second.select(
         F.col("name").alias("target"), F.col("target").alias("__target"), F.col("chain").alias("__chain")
     )
-    joined = spread_join(first, onward, ["target"], ["name"], hot_from=hot_from)
+    joined = spread_join(first, onward, ["target"], ["name"], hot=hot)
     return joined.select(
         "name",
         F.coalesce("__target", "target").alias("target"),
@@ -76,13 +76,14 @@ def alias_paths(edges: DataFrame, max_hops: int = 8) -> DataFrame:
     Path lengths are doubled: eight hops take three joins of the edge table, not eight.
     """
     power = edges.select("name", "target", F.array("target").alias("chain"))
+    hot = hot_keys(edges, ["target"])
     total, length, left = None, 1, max_hops
     while left:
         if left & length:
-            total = power if total is None else _extend(total, power, edges)
+            total = power if total is None else _extend(total, power, hot)
             left -= length
         if left:
-            power = cut_lineage(_extend(power, power, edges))
+            power = cut_lineage(_extend(power, power, hot))
             length *= 2
     return total
 
@@ -94,13 +95,13 @@ def cname_chain(
     max_hops: int = 8,
     include_start: bool = False,
     spread_by: Sequence[str] = ("domain",),
-    hot_from: DataFrame | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Final host, chain, hop count and alias flag of a host column."""
     paths = alias_paths(edges, max_hops).select(
         F.col("name").alias(host), F.col("target").alias("__end"), F.col("chain").alias("__chain")
     )
-    out = spread_join(df, paths, [host], spread_by, hot_from=hot_from).withColumn("__chain", F.coalesce("__chain", _empty()))
+    out = spread_join(df, paths, [host], spread_by, hot=hot).withColumn("__chain", F.coalesce("__chain", _empty()))
     start = F.when(F.coalesce(F.col(host), F.lit("")) != "", F.array(F.col(host))).otherwise(_empty())
     return out.withColumns(
         {
@@ -155,8 +156,8 @@ def txt_apex_fallback(df: DataFrame, obs: DataFrame, name: str = "domain", apex:
         F.col("name").alias("__apex"), F.col("answers").alias("__up"), F.col("ttl").alias("__up_ttl")
     )
     keyed = own.withColumn("__apex", F.when(asks_apex, F.col(apex)))
-    hot = df.filter(has_apex).select(F.col(apex).alias("__apex"))
-    out = spread_join(keyed, side, ["__apex"], [name], hot_from=hot)
+    hot = hot_keys(df.filter(has_apex).select(F.col(apex).alias("__apex")), ["__apex"])
+    out = spread_join(keyed, side, ["__apex"], [name], hot=hot)
     return out.withColumns(
         {
             "txt": F.coalesce("__own", "__up", _empty()),
@@ -173,7 +174,7 @@ def mail_policies(
     obs: DataFrame,
     name: str = "domain",
     apex: str = "registered_domain",
-    hot_from: DataFrame | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """SPF, DMARC and BIMI texts.
 
@@ -194,7 +195,7 @@ def mail_policies(
         P.first_containing(F.col("__bimi"), "v=bimi").alias("__bimi"),
     )
     own = df.join(txt.select(F.col("name").alias(name), F.col("answers").alias("__txt")), name, "left")
-    out = spread_join(own, owners, [apex], [name], hot_from=df if hot_from is None else hot_from)
+    out = spread_join(own, owners, [apex], [name], hot=hot_keys(df, [apex]) if hot is None else hot)
     has_own = F.col("__txt").isNotNull()
 
     def pick(text: Column, fallback: str) -> Column:
@@ -216,7 +217,7 @@ def mta_sts(
     strict: bool = False,
     name: str = "domain",
     apex: str = "registered_domain",
-    hot_from: DataFrame | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """MTA-STS and TLS-RPT fields from policy owner names and stored policy files."""
     txt = positive_answers(obs, "TXT")
@@ -239,7 +240,7 @@ def mta_sts(
         P.mta_sts_max_age(F.col("policy_text")).alias("mta_sts_max_age"),
         P.tlsrpt_rua(F.col("__rpt"), strict).alias("tlsrpt_rua"),
     )
-    return spread_join(df, fields, [apex], [name], hot_from=hot_from)
+    return spread_join(df, fields, [apex], [name], hot=hot)
 
 
 def attach_subhost(
@@ -248,11 +249,11 @@ def attach_subhost(
     prefix: str,
     name: str = "domain",
     apex: str = "registered_domain",
-    hot_from: DataFrame | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Addresses and alias of ``prefix.registered_domain``, only where it has an A record.
 
-    ``answers`` comes from :func:`host_answers`.
+    ``answers`` comes from :func:`host_answers`; ``hot`` lists crowded registered domains.
     """
     owner = f"__{prefix}"
     side = answers.filter(F.size("a") > 0).select(
@@ -262,8 +263,8 @@ def attach_subhost(
         F.col("cname").alias(f"{prefix}_cname"),
     )
     key = F.when(F.col(apex) != "", F.concat(F.lit(prefix + "."), F.col(apex))).alias(owner)
-    counted = (df if hot_from is None else hot_from).select(key)
-    out = spread_join(df.withColumn(owner, key), side, [owner], [name], hot_from=counted)
+    crowded = (hot_keys(df, [apex]) if hot is None else hot).select(key, "__hot")
+    out = spread_join(df.withColumn(owner, key), side, [owner], [name], hot=crowded)
     return out.withColumns(
         {
             f"{prefix}_a": F.coalesce(F.get(f"{prefix}_a_list", F.lit(0)), F.lit("")),
@@ -279,11 +280,11 @@ def attach_host_ips(
     host: str,
     into: str,
     spread_by: Sequence[str] = ("domain",),
-    hot_from: DataFrame | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """A and AAAA addresses of a host column, A first."""
     side = answers.select(F.col("name").alias(host), F.concat("a", "aaaa").alias(into))
-    out = spread_join(df, side, [host], spread_by, hot_from=hot_from)
+    out = spread_join(df, side, [host], spread_by, hot=hot)
     return out.withColumn(into, F.coalesce(into, _empty()))
 
 

@@ -26,15 +26,22 @@ def bag(df):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_spread_join_equals_plain_join(spark, how):
+@pytest.mark.parametrize("hot", [None, [], [7, 3]])
+def test_spread_join_equals_plain_join(spark, how, hot):
     left = spark.range(4000).select(
         "id", F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 10 == 1, F.lit(None)).otherwise(F.col("id") % 50).alias("k"))
     right = spark.range(60).select((F.col("id") % 40).alias("k"), F.col("id").alias("v"))
-    got = joins.spread_join(left, right, ["k"], ["id"], how=how, ways=5, hot_rows=20)
+    got = joins.spread_join(left, right, ["k"], ["id"], how=how, ways=5, hot_rows=20, hot=hot)
     assert bag(got.select("id", "k", "v")) == bag(left.join(right, "k", how).select("id", "k", "v"))
     assert joins.hot_keys(left.filter("k is not null"), ["k"], 1000).collect()[0].k == 7
 
 
+def test_hot_lists_count_all_columns_at_once(spark):
+    df = spark.range(300).select(F.when(F.col("id") < 200, F.lit("a")).otherwise(F.lit(None)).alias("x"), (F.col("id") % 3).cast("string").alias("y"))
+    assert joins.hot_lists(df, {"x": F.col("x"), "y": F.col("y")}, hot_rows=100) == {"x": ["a"], "y": ["0", "1", "2"]}
+    assert joins.hot_lists(df, {"x": F.col("x")}, hot_rows=201) == {"x": []}
+
+
 def test_spread_join_splits_the_hot_key(spark):
     left = spark.range(2000).select("id", F.lit(1).alias("k"))
     right = spark.range(3).select(F.col("id").alias("k"))

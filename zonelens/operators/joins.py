@@ -51,9 +51,12 @@ def hot_key_table(df: DataFrame, columns: Mapping[str, Column], hot_rows: int =
     return counted.withColumn("__rank", rank).filter(F.col("__rank") <= AT_MOST).select("kind", "key")
 
 
-def hot_of(table: DataFrame, kind: str, column: str) -> DataFrame:
-    """Hot keys of one kind, ready for :func:`spread_join` on ``column``."""
-    return table.filter(F.col("kind") == kind).select(F.col("key").alias(column), F.lit(True).alias("__hot"))
+def hot_lists(df: DataFrame, columns: Mapping[str, Column], hot_rows: int = HOT_ROWS) -> dict[str, list[str]]:
+    """Hot keys per column as short lists, counted in one pass; at most ``AT_MOST`` keys per column come back."""
+    found: dict[str, list[str]] = {kind: [] for kind in columns}
+    for row in hot_key_table(df, columns, hot_rows).collect():
+        found[row["kind"]].append(row["key"])
+    return found
 
 
 def spread_join(
@@ -64,30 +67,36 @@ def spread_join(
     how: str = "left",
     ways: int = WAYS,
     hot_rows: int = HOT_ROWS,
-    hot: DataFrame | None = None,
+    hot: DataFrame | Sequence | None = None,
 ) -> DataFrame:
     """Join where hot keys of the left side are spread over ``ways`` partitions.
 
     The salt is a hash of ``spread_by`` columns, so a task that runs again gives every row the same salt.
     Right rows are repeated for hot keys only.  Null keys match nothing and are spread as well.
-    ``hot`` is a list from :func:`hot_keys` or :func:`hot_of`; without it the left side is counted here, so a
-    caller that chains joins makes the list once, at the start of the chain.
+    ``hot`` names the hot keys: a frame from :func:`hot_keys`, or a list of values for a join on one column.
+    Without it the left side is counted here, so a caller that chains joins makes the list once, at the start of
+    the chain.
     """
     on = list(on)
-    if hot is None:
-        hot = hot_keys(left.filter(" AND ".join(f"`{c}` IS NOT NULL" for c in on)), on, hot_rows)
-    hot = F.broadcast(hot)
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(ways)).cast("int")
     blank = F.lit(False)
     for c in on:
         blank = blank | F.col(c).isNull()
-    salted_left = left.join(hot, on, "left").withColumn(
-        "__salt", F.when(F.col("__hot") | blank, salt).otherwise(F.lit(0))
-    )
-    copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(ways - 1))).otherwise(F.array(F.lit(0)))
-    salted_right = right.join(hot, on, "left").withColumn("__salt", F.explode(copies))
-    joined = salted_left.drop("__hot").join(salted_right.drop("__hot"), [*on, "__salt"], how)
-    return joined.drop("__salt")
+    if hot is None:
+        hot = hot_keys(left.filter(~blank), on, hot_rows)
+    if isinstance(hot, DataFrame):
+        flags = F.broadcast(hot)
+        left, right = left.join(flags, on, "left"), right.join(flags, on, "left")
+    else:
+        named = F.col(on[0]).isin(list(hot)) if hot else F.lit(False)
+        left, right = left.withColumn("__hot", named), right.withColumn("__hot", named)
+    salt = F.pmod(F.xxhash64(*spread_by), F.lit(ways)).cast("int")
+    salted_left = left.withColumn("__salt", F.when(F.col("__hot") | blank, salt).otherwise(F.lit(0))).drop("__hot")
+    if isinstance(hot, DataFrame) or hot:
+        copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(ways - 1))).otherwise(F.array(F.lit(0)))
+        salted_right = right.withColumn("__salt", F.explode(copies)).drop("__hot")
+    else:
+        salted_right = right.withColumn("__salt", F.lit(0)).drop("__hot")
+    return salted_left.join(salted_right, [*on, "__salt"], how).drop("__salt")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

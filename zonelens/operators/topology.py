@@ -14,10 +14,13 @@ from pyspark.sql import functions as F
 from zonelens.functions import hosts as H
 from zonelens.functions import policies as P
 from zonelens.functions.ips import reverse_pointer, valid_ips
-from zonelens.operators.joins import cut_lineage, hot_keys, spread_join
+from zonelens.operators.joins import cut_lineage, hot_keys, hot_lists, spread_join
 from zonelens.operators.resolve import is_positive, latest_observation
 from zonelens.operators.suffixes import with_registered_domain
 
+# Crowded join keys: a frame of them, a short list, or None for "count them here".
+Hot = DataFrame | Sequence | None
+
 
 def _empty() -> Column:
     return F.array().cast("array<string>")
@@ -57,7 +60,7 @@ def alias_edges(obs: DataFrame) -> DataFrame:
     return edges.filter((F.col("target") != "") & (F.col("target") != F.col("name")))
 
 
-def _extend(first: DataFrame, second: DataFrame, hot: DataFrame) -> DataFrame:
+def _extend(first: DataFrame, second: DataFrame, hot: Sequence) -> DataFrame:
     """Paths of ``first`` carried on by the paths of ``second``."""
     onward = second.select(
         F.col("name").alias("target"), F.col("target").alias("__target"), F.col("chain").alias("__chain")
@@ -76,7 +79,7 @@ def alias_paths(edges: DataFrame, max_hops: int = 8) -> DataFrame:
     Path lengths are doubled: eight hops take three joins of the edge table, not eight.
     """
     power = edges.select("name", "target", F.array("target").alias("chain"))
-    hot = hot_keys(edges, ["target"])
+    hot = hot_lists(edges, {"target": F.col("target")})["target"]
     total, length, left = None, 1, max_hops
     while left:
         if left & length:
@@ -95,7 +98,7 @@ def cname_chain(
     max_hops: int = 8,
     include_start: bool = False,
     spread_by: Sequence[str] = ("domain",),
-    hot: DataFrame | None = None,
+    hot: Hot = None,
 ) -> DataFrame:
     """Final host, chain, hop count and alias flag of a host column."""
     paths = alias_paths(edges, max_hops).select(
@@ -174,7 +177,7 @@ def mail_policies(
     obs: DataFrame,
     name: str = "domain",
     apex: str = "registered_domain",
-    hot: DataFrame | None = None,
+    hot: Hot = None,
 ) -> DataFrame:
     """SPF, DMARC and BIMI texts.
 
@@ -217,7 +220,7 @@ def mta_sts(
     strict: bool = False,
     name: str = "domain",
     apex: str = "registered_domain",
-    hot: DataFrame | None = None,
+    hot: Hot = None,
 ) -> DataFrame:
     """MTA-STS and TLS-RPT fields from policy owner names and stored policy files."""
     txt = positive_answers(obs, "TXT")
@@ -249,7 +252,7 @@ def attach_subhost(
     prefix: str,
     name: str = "domain",
     apex: str = "registered_domain",
-    hot: DataFrame | None = None,
+    hot: Hot = None,
 ) -> DataFrame:
     """Addresses and alias of ``prefix.registered_domain``, only where it has an A record.
 
@@ -263,7 +266,9 @@ def attach_subhost(
         F.col("cname").alias(f"{prefix}_cname"),
     )
     key = F.when(F.col(apex) != "", F.concat(F.lit(prefix + "."), F.col(apex))).alias(owner)
-    crowded = (hot_keys(df, [apex]) if hot is None else hot).select(key, "__hot")
+    if hot is None:
+        hot = hot_keys(df, [apex])
+    crowded = hot.select(key, "__hot") if isinstance(hot, DataFrame) else [f"{prefix}.{value}" for value in hot]
     out = spread_join(df.withColumn(owner, key), side, [owner], [name], hot=crowded)
     return out.withColumns(
         {
@@ -280,7 +285,7 @@ def attach_host_ips(
     host: str,
     into: str,
     spread_by: Sequence[str] = ("domain",),
-    hot: DataFrame | None = None,
+    hot: Hot = None,
 ) -> DataFrame:
     """A and AAAA addresses of a host column, A first."""
     side = answers.select(F.col("name").alias(host), F.concat("a", "aaaa").alias(into))

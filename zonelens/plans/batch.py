@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from zonelens.functions import hosts as H
 from zonelens.functions import records as R
 from zonelens.operators import change, crawl, graph, resolve, rows, topology
-from zonelens.operators.joins import cut_lineage, hot_key_table, hot_of
+from zonelens.operators.joins import cut_lineage, hot_lists
 from zonelens.operators.normalize import clean_domains
 from zonelens.operators.resolve import is_positive
 from zonelens.operators.suffixes import with_registered_domain
@@ -74,21 +74,18 @@ def domain_wide(
     answers = topology.host_answers(obs)
     # All crowded keys of the joins below, counted in one pass over the base.
     mx_host = F.nullif("mx_host", F.lit(""))
-    hot = cut_lineage(
-        hot_key_table(base, {"mx": mx_host, "ns": F.col("ns_host_final"), "apex": F.col("registered_domain")})
-    )
-    apex = hot_of(hot, "apex", "registered_domain")
+    hot = hot_lists(base, {"mx": mx_host, "ns": F.col("ns_host_final"), "apex": F.col("registered_domain")})
     out = topology.cname_chain(
-        base.withColumn("host", mx_host), topology.alias_edges(obs), "host", max_hops, hot=hot_of(hot, "mx", "host")
+        base.withColumn("host", mx_host), topology.alias_edges(obs), "host", max_hops, hot=hot["mx"]
     )
     out = out.withColumnsRenamed({"final_host": "mx_host_final", "cname_chain": "mx_cname_chain"}).drop("host")
     out = with_registered_domain(out, suffixes, host="mx_host_final", regdom="mx_regdom_final", tld=None)
-    out = topology.attach_host_ips(out, answers, "mx_host_final", "mx_ips", hot=hot_of(hot, "mx", "mx_host_final"))
-    out = topology.attach_host_ips(out, answers, "ns_host_final", "ns_ips", hot=hot_of(hot, "ns", "ns_host_final"))
+    out = topology.attach_host_ips(out, answers, "mx_host_final", "mx_ips", hot=hot["mx"])
+    out = topology.attach_host_ips(out, answers, "ns_host_final", "ns_ips", hot=hot["ns"])
     for prefix in ("www", "mail"):
-        out = topology.attach_subhost(out, answers, prefix, hot=apex)
-    out = topology.mail_policies(out, obs, hot=apex)
-    out = topology.mta_sts(out, obs, policies, hot=apex)
+        out = topology.attach_subhost(out, answers, prefix, hot=hot["apex"])
+    out = topology.mail_policies(out, obs, hot=hot["apex"])
+    out = topology.mta_sts(out, obs, policies, hot=hot["apex"])
     out = topology.attach_ptr(cut_lineage(out), obs, suffixes)
     return topology.mx_ownership(out).withColumn("soa_text", F.get("soa", F.lit(0)))
 

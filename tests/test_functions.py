@@ -249,5 +249,10 @@ def test_signature_and_keys(spark):
         ids = column(spark, [left, right], lambda c: ID.entity_id("ip", c))
         assert ids[0] == ids[1]
     assert column(spark, ["AB:CD ef"], lambda c: ID.entity_key("cert", c)) == ["abcdef"]
+    xxhash = pytest.importorskip("xxhash")
+    names = ["Example.com ", "a.b", None]
+    got = column(spark, names, lambda c: ID.entity_id_seed0("domain", c))
+    assert [g if g is None else g % 2**64 for g in got] == [
+        n and xxhash.xxh64(n.strip().lower().encode()).intdigest() for n in names]
     with pytest.raises(ValueError):
         ID.entity_key("nope", F.lit(1))

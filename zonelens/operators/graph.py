@@ -64,8 +64,8 @@ def entity_ips(records: DataFrame, now: datetime | Column) -> DataFrame:
         .cast("tinyint")
         .alias("ip_version"),
     )
-    return rows.groupBy("ip_id").agg(
-        F.min("ip").alias("ip"),
+    # Equal ids have equal text, so the text can be part of the key: the aggregation then hashes, it need not sort.
+    return rows.groupBy("ip_id", "ip").agg(
         F.min("ip_version").alias("ip_version"),
         _at(now).alias("first_seen_ts"),
         _at(now).alias("last_seen_ts"),

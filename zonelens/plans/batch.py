@@ -11,7 +11,7 @@ from zonelens.functions import hosts as H
 from zonelens.functions import records as R
 from zonelens.operators import change, crawl, graph, resolve, rows, topology
 from zonelens.operators.joins import cut_lineage, hot_lists
-from zonelens.operators.normalize import clean_domains
+from zonelens.operators.normalize import clean_domains, normalize_hosts
 from zonelens.operators.resolve import is_positive
 from zonelens.operators.suffixes import with_registered_domain
 from zonelens.sources import writers
@@ -44,7 +44,7 @@ def _good(t: str) -> Column:
 
 def domain_base(domains: DataFrame, obs: DataFrame, suffixes: DataFrame) -> DataFrame:
     """One row per distinct domain: its newest answers, status, registered domain, mail and name-server host."""
-    names = clean_domains(domains.select("domain")).distinct()
+    names = normalize_hosts(clean_domains(domains.select("domain")), ["domain"]).filter("domain <> ''").distinct()
     wide = wide_answers(obs)
     fill = {}
     for t in TYPES:

@@ -82,6 +82,22 @@ def test_update_log_keeps_the_newest(spark, slices, tmp_path):
     assert spark.read.parquet(str(tmp_path / "o")).select("batch_id").distinct().count() > 1
 
 
+def test_retry_queue_feeds_the_next_round(spark, tmp_path):
+    from zonelens.operators import resolve
+
+    schema = S.DNS_RECORDS + ", attempt int"
+    rows = [("a", "alive", {}, {}, {}, 0), ("b", "needs_retry", {}, {}, {}, None), ("c", "alive", {}, {"exception": "x"}, {}, 1), ("d", None, {}, None, {}, 0)]
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "in"))
+    out = str(tmp_path / "out")
+    jobs.retry_requeue(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), out, str(tmp_path / "c"), retry_limit=1)
+    got = {(r.domain, r.part, r.attempt) for r in spark.read.parquet(out).select("domain", "part", "attempt").collect()}
+    assert got == {("a", "done", 0), ("b", "queued", 1), ("c", "used_up", 2), ("d", "done", 0)}
+    queued = jobs.queued_records(spark, out)
+    assert [(r.domain, r.attempt, r.pause_s) for r in queued.collect()] == [("b", 1, 0.0)]
+    done, again, used_up = resolve.retry_round(queued.drop("pause_s"), retry_limit=3)
+    assert (done.count(), [(r.attempt, r.pause_s) for r in again.collect()], used_up.count()) == (0, [(2, 0.4)], 0)
+
+
 def test_readers_and_writers(spark, tmp_path):
     p = lambda n: str(tmp_path / n)
     spark.createDataFrame([("a.com", "n", "1.1.1.1", "de", 5)], "domain string, ns string, ip string, country_dm string, x int").write.parquet(p("crawl.parquet"))

@@ -197,11 +197,7 @@ def split_retries(spark, sf):
        "records")
 def retry_round(spark, sf):
     rows = _records(spark, sf).select("domain", "status", "errors", "attempt")
-    done, queued, used_up = resolve.retry_round(rows, retry_limit=2)
-    out = done.withColumns({"part": F.lit("done"), "pause_s": F.lit(None).cast("double")})
-    out = out.unionByName(queued.withColumn("part", F.lit("queued")))
-    last = used_up.withColumns({"part": F.lit("used_up"), "pause_s": F.lit(None).cast("double")})
-    return out.unionByName(last).drop("errors")
+    return resolve.retry_parts(rows, retry_limit=2).drop("errors")
 
 
 @query("srv_scope", """

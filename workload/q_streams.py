@@ -149,11 +149,8 @@ def stream_retry(spark, sf):
     )
     base = shared_dir(spark, "retry")
     jobs.retry_requeue(rows, f"{base}/out", f"{base}/checkpoint", retry_limit=1)
-    parts = [
-        spark.read.parquet(f"{base}/out/{folder}").select("domain", F.lit(folder).alias("part"), "attempt")
-        for folder in ("done", "queued", "used_up")
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    out = spark.read.option("basePath", f"{base}/out").parquet(f"{base}/out")
+    return out.select("domain", "part", "attempt")
 
 
 @query("stream_score", SCORED_SQL, "page_hosts", "suffix_list")

@@ -205,15 +205,39 @@ def split_retries(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     return marked.filter(~again), marked.filter(again)
 
 
-def retry_round(records: DataFrame, retry_limit: int = 1) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Done rows, rows for another attempt with a longer pause, and rows that used up their attempts."""
-    done, again = split_retries(records)
+RETRY_PARTS = ("done", "queued", "used_up")
+
+
+def retry_parts(records: DataFrame, retry_limit: int = 1) -> DataFrame:
+    """All records with the part they go to, the attempt counted up and the pause before the next one.
+
+    Done rows stay as they are; rows to look up again are queued until their attempts are used up.
+    """
+    failed = F.coalesce(F.element_at("errors", "exception").isNotNull(), F.lit(False))
+    again = failed | F.coalesce(F.col("status") == "needs_retry", F.lit(False))
     attempt = F.coalesce(F.col("attempt"), F.lit(0)) if "attempt" in records.columns else F.lit(0)
-    counted = again.withColumn("attempt", attempt + 1)
+    marked = records.withColumns(
+        {
+            "status": F.when(again, F.lit("needs_retry")).otherwise(F.col("status")),
+            "attempt": F.when(again, attempt + 1).otherwise(attempt),
+        }
+    )
+    part = (
+        F.when(F.col("status") != "needs_retry", F.lit("done"))
+        .when(F.col("status").isNull(), F.lit("done"))
+        .when(F.col("attempt") <= retry_limit, F.lit("queued"))
+        .otherwise(F.lit("used_up"))
+    )
     # The first repeat goes out at once, each later one waits 0.2 s more per attempt.
     pause = F.when(F.col("attempt") > 1, F.lit(0.2) * F.col("attempt")).otherwise(F.lit(0.0))
-    queued = counted.filter(F.col("attempt") <= retry_limit).withColumn("pause_s", pause)
-    return done, queued, counted.filter(F.col("attempt") > retry_limit)
+    return marked.withColumn("part", part).withColumn("pause_s", F.when(F.col("part") == "queued", pause))
+
+
+def retry_round(records: DataFrame, retry_limit: int = 1) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Done rows, rows for another attempt with a longer pause, and rows that used up their attempts."""
+    parts = retry_parts(records, retry_limit)
+    done, queued, used_up = (parts.filter(F.col("part") == p).drop("part") for p in RETRY_PARTS)
+    return done.drop("pause_s"), queued, used_up.drop("pause_s")
 
 
 def dnssec_flag(obs: DataFrame, name: str = "domain") -> DataFrame:

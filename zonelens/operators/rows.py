@@ -16,9 +16,24 @@ _NO_ITEMS = "array<string>"
 RECORD_TTLS = ("a_ttl", "aaaa_ttl", "mx_ttl", "txt_ttl", "caa_ttl", "naptr_ttl")
 
 
+# Keys of the record map that the flat row shapes read.
+RECORD_KEYS = (
+    "registered_domain ns ns1 soa a aaaa mx mail_mx txt cname caa naptr srv ptr www www_cname www_a www_ptr mail_a "
+    "mail_cname mail_spf mail_dmarc spf dmarc bimi mx_host_final mx_regdom_final mx_domain mx_ips mx_ptr mx_ptr_regdom "
+    "ns_ips ns_ptr ns_ptr_regdom ns_host_final ns_regdom_final"
+).split()
+
+
+def _lifted(records: DataFrame) -> DataFrame:
+    """Record lists as columns of their own: each key is looked up once per row; empty lists become null."""
+    found = {k: F.element_at("records", k) for k in RECORD_KEYS}
+    lists = records.withColumns({f"__{k}": c for k, c in found.items()})
+    return lists.withColumns({f"__{k}": F.when(F.size(f"__{k}") > 0, F.col(f"__{k}")) for k in RECORD_KEYS})
+
+
 def _pick(*keys: str) -> Column:
-    """Record list under the first key that has items; null where none has."""
-    return F.coalesce(*[F.when(F.size(F.element_at("records", k)) > 0, F.element_at("records", k)) for k in keys])
+    """Record list under the first key that has items; null where none has.  Reads lifted columns."""
+    return F.coalesce(*[F.col(f"__{k}") for k in keys])
 
 
 def _text(*keys: str) -> Column:
@@ -72,7 +87,7 @@ def to_expanded_rows(records: DataFrame) -> DataFrame:
         "errors_json": _json("errors"),
         "meta_json": _json("meta"),
     }
-    return records.select(*[c.alias(n) for n, c in columns.items()])
+    return _lifted(records).select(*[c.alias(n) for n, c in columns.items()])
 
 
 def to_signature_rows(records: DataFrame) -> DataFrame:
@@ -99,7 +114,7 @@ def to_signature_rows(records: DataFrame) -> DataFrame:
         "mx_regdom_final": _text("mx_regdom_final", "mx_domain"),
         "ns_ip_int": ipv4_to_int(F.get(_items("ns_ips"), F.lit(0))),
     }
-    return records.select(*[c.alias(n) for n, c in columns.items()])
+    return _lifted(records).select(*[c.alias(n) for n, c in columns.items()])
 
 
 def _first(name: str) -> Column:

@@ -37,9 +37,12 @@ def write_retries(records: DataFrame, path: str, mode: str = "overwrite") -> Non
 
 def append_activity_delta(delta: DataFrame, path: str) -> None:
     """Append changed domains to the activity log (A13); nothing is written where nothing changed."""
-    rows = delta.select(*DELTA_COLUMNS)
-    if not rows.isEmpty():
-        rows.write.mode("append").option("header", True).csv(path)
+    rows = delta.select(*DELTA_COLUMNS).persist()
+    try:
+        if not rows.isEmpty():
+            rows.write.mode("append").option("header", True).csv(path)
+    finally:
+        rows.unpersist()
 
 
 def write_ptr(rows: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -9,14 +9,14 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from zonelens.functions.identity import dns_signature, entity_id, entity_key
 from zonelens.operators.change import is_active
 from zonelens.operators.penalty import penalty_measures, penalty_verdict
-from zonelens.operators.resolve import KEY, retry_round
+from zonelens.operators.resolve import KEY, retry_parts
 from zonelens.plans.scored import scored_hosts
 from zonelens.streaming.sinks import each_batch
 
@@ -188,18 +188,24 @@ def entity_edges(edges: DataFrame) -> DataFrame:
 
 
 def retry_requeue(records: DataFrame, out: str, checkpoint: str, retry_limit: int = 1) -> None:
-    """Split arriving records into done, queued for another attempt, and used up.
+    """Split arriving records into done, queued for another attempt, and used up, in one write per batch.
 
-    The queue folder is a dataset of its own that the next run reads as a source.
+    Rows lie below ``batch_id=<n>/part=<part>``; a batch that runs again replaces its own folder.  The next run
+    reads the queued part as its source, see :func:`queued_records`.
     """
 
     def split(batch: DataFrame, number: int) -> None:
-        for folder, rows in zip(("done", "queued", "used_up"), retry_round(batch, retry_limit)):
-            rows.write.mode("overwrite").parquet(f"{out}/{folder}/batch_id={number}")
+        parts = retry_parts(batch, retry_limit)
+        parts.write.mode("overwrite").partitionBy("part").parquet(f"{out}/batch_id={number}")
 
     each_batch(records, split, checkpoint)
 
 
+def queued_records(spark: SparkSession, out: str) -> DataFrame:
+    """Rows that wait for another attempt; only their folders are read."""
+    return spark.read.option("basePath", out).parquet(out).filter(F.col("part") == "queued").drop("batch_id", "part")
+
+
 def score_stream(hosts: DataFrame, suffixes: DataFrame, host: str = "host", profile: str = "default") -> DataFrame:
     """Score every arriving host; lookups are static tables (I8)."""
     return scored_hosts(hosts, suffixes, host, profile)

@@ -474,11 +474,11 @@ def crawl_plan(spark, sf):
             CASE bucket WHEN 'uk' THEN 12 WHEN 'de' THEN 12 WHEN 'highrisk' THEN 128 ELSE 200 END AS qps FROM c)),
     t AS (SELECT * FROM e UNION ALL SELECT 'total', cast(sum(domains) AS bigint), cast(sum(chunks) AS bigint), NULL,
         sum(processing_time), sum(cooldown_time), NULL, sum(total_time) FROM e)
-    SELECT bucket, domains, chunks, qps, round(processing_time, 6) AS processing_time, cooldown_time, chunk_size,
-        round(total_time, 6) AS total_time FROM t""", "crawl_orders")
+    SELECT bucket, domains, chunks, qps, round(processing_time, 9) AS processing_time, cooldown_time, chunk_size,
+        round(total_time, 9) AS total_time FROM t""", "crawl_orders")
 def crawl_estimate(spark, sf):
     out = crawl.crawl_estimate(crawl.tld_bucket_counts(load(spark, sf, "crawl_orders")))
-    return out.withColumns({c: F.round(c, 6) for c in ("processing_time", "total_time")})
+    return out.withColumns({c: F.round(c, 9) for c in ("processing_time", "total_time")})
 
 
 @query("batch_metrics", """

@@ -264,8 +264,10 @@ def load(spark: SparkSession, sf_dir: str, name: str, streams: tuple[str, ...] =
     """A given table or a derived input as a DataFrame; tables named in ``streams`` are read as streams."""
     if name in streams:
         schema = table(spark, sf_dir, name).schema
-        # A glob, because a stream takes no plain file as its path; it fits a file and a folder.
-        return spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet*")
+        # A glob, because a stream takes no plain file as its path; it fits a file and a folder.  The file limit
+        # bounds what one key can bring to a stateful function in one trigger.
+        reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64)
+        return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet*")
     if name in TABLES:
         return table(spark, sf_dir, name)
     sql = INPUTS[name]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
@@ -12,7 +12,7 @@ from zonelens.operators import change, resolve, topology
 from zonelens.operators.joins import hot_keys
 from zonelens.sources.writers import flat_mx_hosts
 
-_NOW = datetime.fromisoformat(NOW)
+_NOW = datetime.fromisoformat(NOW).replace(tzinfo=timezone.utc)
 
 # The newest row per key; ties in time do not occur in the event table.
 _LATEST = """

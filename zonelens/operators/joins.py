@@ -25,8 +25,9 @@ AT_MOST = 256
 WAYS = 64
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int | None = None) -> DataFrame:
     """The keys with at least ``hot_rows`` rows, at most ``AT_MOST`` of them, the fullest first."""
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     return (
         df.groupBy(*on)
         .agg(F.count("*").alias("__rows"))
@@ -37,8 +38,9 @@ def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> Data
     )
 
 
-def hot_key_table(df: DataFrame, columns: Mapping[str, Column], hot_rows: int = HOT_ROWS) -> DataFrame:
+def hot_key_table(df: DataFrame, columns: Mapping[str, Column], hot_rows: int | None = None) -> DataFrame:
     """Hot keys of several columns in one pass: kind, key; at most ``AT_MOST`` rows per kind."""
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     pairs = [F.struct(F.lit(k).alias("kind"), c.cast("string").alias("key")) for k, c in columns.items()]
     counted = (
         df.select(F.inline(F.array(*pairs)))
@@ -51,7 +53,7 @@ def hot_key_table(df: DataFrame, columns: Mapping[str, Column], hot_rows: int =
     return counted.withColumn("__rank", rank).filter(F.col("__rank") <= AT_MOST).select("kind", "key")
 
 
-def hot_lists(df: DataFrame, columns: Mapping[str, Column], hot_rows: int = HOT_ROWS) -> dict[str, list[str]]:
+def hot_lists(df: DataFrame, columns: Mapping[str, Column], hot_rows: int | None = None) -> dict[str, list[str]]:
     """Hot keys per column as short lists, counted in one pass; at most ``AT_MOST`` keys per column come back."""
     found: dict[str, list[str]] = {kind: [] for kind in columns}
     for row in hot_key_table(df, columns, hot_rows).collect():
@@ -66,7 +68,7 @@ def spread_join(
     spread_by: Sequence[str],
     how: str = "left",
     ways: int = WAYS,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
     hot: DataFrame | Sequence | None = None,
 ) -> DataFrame:
     """Join where hot keys of the left side are spread over ``ways`` partitions.

@@ -17,11 +17,17 @@ from zonelens.session import shared_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+# Bounds of what goes to a Python worker at once, whatever the length of the texts.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+
+
 def ship(spark: SparkSession) -> None:
-    """Give executors this package (once per context), as ``spark-submit --py-files`` would.
+    """Give executors this package (once per context), as ``spark-submit --py-files`` would, and bound Arrow batches.
 
     The archive is written in the driver's own temporary folder; Spark serves it to the executors.
     """
+    for key, value in BATCHES.items():
+        spark.conf.set(key, value)
     context = spark.sparkContext
     if getattr(context, "_zonelens_shipped", False):
         return

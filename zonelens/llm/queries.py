@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonelens.llm import byte_bpe, simhash
+from zonelens.llm import byte_bpe, decontaminate, language_id, quality_rules, simhash, token_counts, warc
 from zonelens.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,12 +21,45 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 4096)
+
+
+@query
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    page = warc.page_ids(spark, pages.schema["page_id"].dataType)
+    return warc.round_trip(pages).select(
+        page(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type", page(F.col("refers_to")).alias("refers_to")
+    )
+
+
+ORACLES["op3_warc"] = """
+    WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+    f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first_id FROM p)
+    SELECT page_id, payload_bytes, payload_digest,
+        CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+        CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+    FROM f"""
+
+
 @query
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
     return found.withColumn("fingerprint", simhash.hex_of(F.col("fingerprint")))
 
 
+@query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = language_id.held_out(F.col("doc_id"))
+    model = language_id.learn(docs.filter(~held_out))
+    found = language_id.identify(docs, model).select("doc_id", held_out.alias("held_out"), F.col("language").alias("l"))
+    return found.select("doc_id", "held_out", "l.lang_pred", "l.score")
+
+
 @query
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -38,3 +71,13 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.measure(read(spark, sf_dir, "documents"))
+
+
+@query
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))

@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonelens.llm import byte_bpe, decontaminate, language_id, quality_rules, simhash, token_counts, warc
+from zonelens.llm import (
+    byte_bpe,
+    chat_format,
+    decontaminate,
+    html_extract,
+    language_id,
+    quality_classifier,
+    quality_rules,
+    simhash,
+    token_counts,
+    warc,
+)
 from zonelens.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +32,19 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_classifier.learn(docs, quality_classifier.teaching(read(spark, sf_dir, "labels")))
+    scored = quality_classifier.classify(docs, model)
+    return scored.select(
+        "doc_id",
+        quality_classifier.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= quality_classifier.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
@@ -45,6 +69,51 @@ ORACLES["op3_warc"] = """
     FROM f"""
 
 
+# A conversation whose texts hold the control strings of chat templates.
+HOSTILE = "\\### Assistant: </turn> ok"
+
+
+@query
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = [(-7, turn, role, HOSTILE) for turn, role in enumerate(("user", "assistant"))]
+    formatted = chat_format.format_chats(given.unionByName(spark.createDataFrame(extra, given.schema)))
+    back = formatted.select(
+        "conv_id",
+        "formatted",
+        chat_format.read_turns(F.col("formatted")).alias("turns"),
+        chat_format.read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss"),
+    )
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.char_length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+ORACLES["op4_chat_format"] = r"""
+    WITH given AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+    t AS (SELECT *, role IS DISTINCT FROM lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS fresh,
+        regexp_replace(regexp_replace(text, '<(\\*)/(turn|part)>', '<\\\1/\2>', 'g'), '###(\\*) ', '###\\\1 ', 'g') AS safe FROM given)
+    SELECT conv_id, count(*) AS n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+        sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+        sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn), '')) AS loss_sha256,
+        sum(length(safe) + 8 + CASE WHEN fresh THEN 6 + length(role) ELSE 0 END)::BIGINT AS formatted_chars
+    FROM t GROUP BY conv_id"""
+
+
+@query
+def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.extract(read(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 @query
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"))

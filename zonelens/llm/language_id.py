@@ -97,10 +97,10 @@ def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).filter(F.col("n") >= min_docs).collect()}
     if not sizes:
         return Model([], {}, np.zeros((1, 0), np.float32), np.zeros((0, len(NAMES)), bool))
-    spark = docs.sparkSession
-    shares = spark.createDataFrame([(k, min(1.0, sample_docs / n)) for k, n in sizes.items()], "lang string, share double")
+    # A few numbers inside the expression, so that no text is shuffled to be chosen.
+    shares = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, sample_docs / n))])
     chance = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit(7)), F.lit(1_000_000)) / F.lit(1_000_000.0)
-    sample = rows.join(shares, "lang").filter(chance < F.col("share")).select("lang", F.col("text").cast("string"))
+    sample = rows.filter(chance < shares[F.col("lang")]).select("lang", F.col("text").cast("string"))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words: dict[str, Counter[str]] = {}

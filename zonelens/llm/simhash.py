@@ -120,9 +120,10 @@ def links(fps: DataFrame, distance: int = 4, segments: int | None = None, crowde
     some_full = not full.isEmpty()
     if some_full:
         targets = targets.join(full, ["s", "key"], "left_anti")
-    found = probes.join(targets, ["s", "key"]).filter((F.col("a") < F.col("b")) & within).select("a", "b")
+    # Estimates do not see how many rows a ball has, so the side of the balls must never be taken for a small one.
+    found = probes.hint("merge").join(targets, ["s", "key"]).filter((F.col("a") < F.col("b")) & within).select("a", "b")
     if some_full:
-        near = probes.join(full, ["s", "key"], "left_semi").select(F.col("a").alias("fp")).distinct()
+        near = probes.hint("merge").join(full, ["s", "key"], "left_semi").select(F.col("a").alias("fp")).distinct()
         found = found.unionByName(midpoint_links(near, distance))
     return found.distinct()
 
@@ -139,10 +140,10 @@ def midpoint_links(fps: DataFrame, distance: int) -> DataFrame:
     reach = stage(points(far), "simhash-midpoints")
     if near == far:
         least = reach.groupBy("point").agg(F.min("fp").alias("a"))
-        pairs = reach.join(least, "point")
+        pairs = reach.hint("merge").join(least, "point")
         return pairs.filter(F.col("a") < F.col("fp")).select("a", F.col("fp").alias("b")).distinct()
     least = points(near).groupBy("point").agg(F.min("fp").alias("m"))
-    pairs = reach.join(least, "point").filter(F.col("m") != F.col("fp"))
+    pairs = reach.hint("merge").join(least, "point").filter(F.col("m") != F.col("fp"))
     return pairs.select(F.least("m", "fp").alias("a"), F.greatest("m", "fp").alias("b")).distinct()
 
 

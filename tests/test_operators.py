@@ -69,7 +69,7 @@ def test_spread_join_splits_the_hot_key(spark):
 ])
 def test_registered_domain(spark, rows, host, regdom, tld):
     suffixes = rows("suffix string", ("com",), ("uk",), ("co.uk",), ("blogspot.com",), ("jp",), ("city.kw.jp",), ("*.ck",), ("!www.ck",))
-    got = with_registered_domain(rows("domain string", (host,)), suffixes, wildcards=True).first()
+    got = with_registered_domain(rows("domain string", (host,)), suffixes).first()
     assert (got.registered_domain, got.tld) == (regdom, tld)
 
 
@@ -315,3 +315,51 @@ def test_banner_cache(spark, rows):
     assert [r.host for r in banners.fresh_banners(cache, now).collect()] == ["a"]
     hosts = rows("mx_host string", (" A ",), ("b",), ("B",), ("z",), (None,), ("",))
     assert sorted(r.mx_host for r in banners.banner_worklist(hosts, cache, now).collect()) == ["b", "z"]
+
+
+def test_registered_domain_of_long_and_wild_rules(rows):
+    suffixes = rows("suffix string", ("cn",), ("com.cn",), ("s3.dualstack.cn-north-1.amazonaws.com.cn",), ("*.CK",), ("!www.ck",), (None,), ("",))
+    hosts = ["x.b.s3.dualstack.cn-north-1.amazonaws.com.cn", "a.b.c.ck", "b.www.ck", "ck", "c.ck"]
+    got = {r["domain"]: r["registered_domain"] for r in with_registered_domain(rows("domain string", *[(h,) for h in hosts]), suffixes).collect()}
+    assert got == {hosts[0]: "b.s3.dualstack.cn-north-1.amazonaws.com.cn", "a.b.c.ck": "b.c.ck", "b.www.ck": "www.ck", "ck": "ck", "c.ck": "c.ck"}
+
+
+def test_names_meet_whatever_their_case_and_dots(rows):
+    import datetime as dt
+
+    from zonelens.operators import resolve
+
+    at = dt.datetime(2024, 1, 1)
+    schema = "name string, rtype string, rcode string, answers array<string>, ttl int, observed_ts timestamp"
+    obs = rows(schema, ("Example.COM.", "A", "NOERROR", ["192.0.2.1"], 60, at), (" example.com", "NS", "SERVFAIL", [], 0, at))
+    got = resolve.core_status(resolve.core_pivot(obs)).collect()
+    assert [(r["domain"], r["status"], r["errors"].get("NS")) for r in got] == [("example.com", "alive", "SERVFAIL")]
+    assert {r["name"] for r in resolve.latest_observation(obs).collect()} == {"example.com"}
+
+
+def test_newest_row_does_not_depend_on_row_order(rows):
+    import datetime as dt
+
+    from zonelens.operators import resolve
+
+    at = dt.datetime(2024, 1, 1)
+    schema = "name string, rtype string, rcode string, answers array<string>, ttl int, observed_ts timestamp"
+    tied = [("a.com", "A", "NOERROR", [x], 60, at) for x in ("1", "2", "0")]
+    for data in (tied, tied[::-1], tied[1:] + tied[:1]):
+        assert resolve.latest_observation(rows(schema, *data).coalesce(1)).first()["answers"] == ["2"]
+
+
+def test_dirty_values_never_end_a_score(rows):
+    from zonelens.operators import scoring
+
+    profile = {
+        "positive_rules": [
+            {"name": "flag", "points": 5, "when": {"column": "flag", "equals": True}},
+            {"name": "many", "points": 7, "when": {"column": "n", "gt": 3}},
+            {"name": "few", "points": 1, "when": {"column": "n", "lt": 3}},
+            {"name": "kind", "points": 2, "when": {"column": "size", "in": ["x", "4"]}},
+        ],
+        "direct_add_columns": ["extra"],
+    }
+    df = rows("flag string, n string, size int, extra string", ("maybe", "x", 4, "y"), ("true", "4.5", 1, "3"), (None, "1", None, None))
+    assert sorted(r["risk_score"] for r in scoring.score(df, profile).collect()) == [1, 2, 15]

@@ -35,8 +35,9 @@ def normalize_hosts(spark, sf):
 
 @query("normalize_hosts_idna")
 def normalize_hosts_idna(spark, sf):
-    word = F.regexp_extract("text", r"^(\S+)", 1)
-    df = table(spark, sf, "documents").select("doc_id", F.concat(word, F.lit(".Example.com")).alias("host"))
+    words = F.posexplode(F.regexp_extract_all("text", F.lit(r"\S+"), F.lit(0))).alias("at", "word")
+    df = table(spark, sf, "documents").select("doc_id", words)
+    df = df.select("doc_id", "at", F.concat("word", F.lit(".Example.com")).alias("host"))
     return normalize.normalize_hosts(df, ["host"])
 
 
@@ -62,6 +63,31 @@ def registered_domain(spark, sf):
     return with_registered_domain(load(spark, sf, "page_hosts"), suffixes(spark, sf), host="host")
 
 
+_RULES = ("com", "net", "org", "*.example.com", "!tiontion.example.com", "!blog.tionsh.example.com", "example.net",
+          "m.thth.ea.ththth.example.net", "*.on.example.org", "deep.m.tion.ththth.example.net")
+
+
+@query("registered_domain_rules", f"""
+    WITH r AS (SELECT regexp_replace(rule, '^(!|[*][.])', '') AS body, CASE WHEN starts_with(rule, '!') THEN 'except'
+                WHEN starts_with(rule, '*.') THEN 'wild' ELSE 'plain' END AS kind FROM (SELECT unnest({list(_RULES)}) AS rule)),
+        n AS (SELECT body, kind, len(string_split(body, '.')) AS n FROM r),
+        h AS (SELECT page_id, host, len(string_split(host, '.')) AS parts FROM (SELECT page_id, host FROM page_hosts
+            UNION ALL SELECT page_id, concat('Deep.x.', host) FROM page_hosts)),
+        m AS (SELECT page_id, host, max(CASE WHEN kind = 'except' THEN n - 1 END) AS ex,
+                max(CASE WHEN kind = 'plain' THEN n WHEN kind = 'wild' AND parts > n THEN n + 1 END) AS k
+            FROM h LEFT JOIN n ON lower(host) = body OR ends_with(lower(host), concat('.', body)) GROUP BY page_id, host),
+        s AS (SELECT page_id, host, coalesce(ex, k, 0) AS k, string_split(lower(host), '.') AS parts FROM m)
+    SELECT page_id, host, CASE WHEN len(parts) <= k THEN lower(host)
+            ELSE array_to_string(list_slice(parts, len(parts) - k, len(parts)), '.') END AS registered_domain,
+        CASE WHEN k > 0 THEN parts[len(parts)] ELSE '' END AS tld FROM s""", "page_hosts")
+def registered_domain_rules(spark, sf):
+    """Plain, wildcard and exception rules, and rules with six labels."""
+    hosts = load(spark, sf, "page_hosts").select("page_id", "host")
+    hosts = hosts.unionByName(hosts.withColumn("host", F.concat(F.lit("Deep.x."), "host")))
+    rules = spark.createDataFrame([(r,) for r in _RULES], "suffix string")
+    return with_registered_domain(hosts, rules, host="host")
+
+
 @query("naive_tld", """
     SELECT page_id, CASE WHEN contains(host, '.') THEN list_last(string_split(host, '.')) ELSE '' END AS tld,
         list_last(string_split(host, '.')) AS mx_tld FROM page_hosts""", "page_hosts")

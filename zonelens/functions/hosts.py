@@ -71,11 +71,11 @@ def idna_host(c: Column) -> Column:
     """
 
     def encode_label(label: str) -> str:
-        try:
-            import idna
+        import idna  # a missing package must end the job: else hosts would differ from executor to executor
 
+        try:
             return idna.encode(label, uts46=True, std3_rules=False).decode("ascii")
-        except Exception:  # not encodable, or the package is absent: keep the LDH characters
+        except UnicodeError:  # not encodable: keep the LDH characters
             kept = "".join(ch for ch in label if ch.isascii() and (ch.isalnum() or ch == "-"))
             return kept.strip("-")[:63].strip("-")
 

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from zonelens.functions.hosts import strip
 from zonelens.functions.ips import canonical_ip, canonical_prefix
@@ -45,23 +43,3 @@ def entity_key(kind: str, *cols: Column) -> Column:
 def entity_id(kind: str, *cols: Column) -> Column:
     """64-bit id of an entity; compare for equality only."""
     return F.xxhash64(entity_key(kind, *cols))
-
-
-def entity_id_seed0(kind: str, *cols: Column) -> Column:
-    """The same id with seed 0 instead of Spark's 42, for tables whose ids were made elsewhere.
-
-    The signed view of the 64 bits; one Arrow batch at a time through the public xxhash package.
-    """
-
-    def digest(keys: pd.Series) -> pd.Series:
-        import xxhash
-
-        def one(key: str | None) -> int | None:
-            if key is None:
-                return None
-            value = xxhash.xxh64(key.encode("utf-8")).intdigest()
-            return value - (1 << 64) if value >= 1 << 63 else value
-
-        return pd.Series([one(k) for k in keys], dtype="Int64")
-
-    return F.pandas_udf(digest, T.LongType())(entity_key(kind, *cols))

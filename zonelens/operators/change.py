@@ -86,7 +86,7 @@ def with_previous(
 
 def payload_order(payload: Sequence[str]) -> list[str]:
     """Columns that break ties in time."""
-    return [c for c in payload if c in ("rcode", "ttl")]
+    return [c for c in payload if c in ("rcode", "ttl", "answers")]
 
 
 def change_history(obs: DataFrame, slot: str = "day") -> DataFrame:

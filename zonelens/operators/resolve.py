@@ -8,6 +8,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from zonelens.functions.hosts import strip, strip_dots
+
 KEY = ("rtype", "name")
 BACKFILL_TYPES = ("NS", "SOA", "A", "AAAA", "TXT")
 MIN_POSITIVE_TTL = 5
@@ -26,10 +28,21 @@ def is_positive(rcode: Column, answers: Column) -> Column:
     return F.coalesce((rcode == "NOERROR") & (F.size(answers) > 0), F.lit(False))
 
 
+def normal_names(obs: DataFrame) -> DataFrame:
+    """Observation names in lower case without dots at the end, as all joins on names expect them."""
+    return obs.withColumn("name", F.lower(strip_dots(strip(F.col("name")))))
+
+
+def newest_order() -> Column:
+    """Order of observations of one key; rows of one instant are told apart by their content, so that the newest row
+    does not depend on the order in which rows arrive."""
+    return F.struct("observed_ts", "rcode", "ttl", F.array_sort("answers").alias("sorted"), "answers")
+
+
 def latest_observation(obs: DataFrame) -> DataFrame:
     """Newest row per record type and name (F7); partial maxima are taken before the shuffle."""
     rest = [c for c in obs.columns if c not in KEY]
-    order = F.struct("observed_ts", "rcode", "ttl")
+    obs, order = normal_names(obs), newest_order()
     newest = obs.groupBy(*KEY).agg(F.max_by(F.struct(*rest), order).alias("__o"))
     return newest.select(*KEY, "__o.*").select(*obs.columns)
 
@@ -123,7 +136,7 @@ CORE = ("NS", "SOA", "A")
 
 def core_pivot(obs: DataFrame, name: str = "domain") -> DataFrame:
     """Latest NS, SOA and A answer of every name side by side."""
-    order = F.struct("observed_ts", "rcode", "ttl")
+    obs, order = normal_names(obs), newest_order()
     payload = F.struct("rcode", _answers().alias("answers"), "ttl")
     picks = [
         F.max_by(payload, F.when(F.col("rtype") == kind, order)).alias(f"__{kind.lower()}") for kind in CORE

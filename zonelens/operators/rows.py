@@ -187,6 +187,8 @@ def to_domain_profile(wide: DataFrame, blanks_to_null: bool = True) -> DataFrame
         "naptr": F.array_join("naptr", ","),
         "srv": F.array_join("srv", ","),
     }
+    if "errors" in wide.columns:
+        derived |= {f"{k.lower()}_error": F.element_at("errors", k) for k in ("NS", "SOA", "A")}
     full = conform(wide.withColumns(derived), S.DOMAIN_PROFILE).select(*S.DOMAIN_PROFILE)
     if not blanks_to_null:
         return full

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from functools import reduce
-from operator import add
+from operator import add, or_
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -23,6 +23,17 @@ def _truthy(name: str, kind: T.DataType) -> Column:
     return F.coalesce(c, F.lit(False))
 
 
+def comparable(c: Column, kind: T.DataType, literal: Any) -> Column:
+    """The column as a type that compares with the literal; a value that has no such form is null, never an error."""
+    if isinstance(literal, str):
+        return c if isinstance(kind, T.StringType) else c.cast("string")
+    if isinstance(literal, bool):
+        return c if isinstance(kind, T.BooleanType) else c.try_cast("boolean")
+    if isinstance(kind, T.BooleanType):
+        return c.cast("int")
+    return c if isinstance(kind, T.NumericType) else c.try_cast("double")
+
+
 def rule_predicate(rule: Mapping[str, Any], schema: T.StructType) -> Column | None:
     """Condition of one rule; an absent column never fires, an unknown test gives None."""
     kinds = {f.name: f.dataType for f in schema.fields}
@@ -37,13 +48,13 @@ def rule_predicate(rule: Mapping[str, Any], schema: T.StructType) -> Column | No
         return F.lit(False)
     c = F.col(name)
     if "equals" in test:
-        met = c == F.lit(test["equals"])
+        met = comparable(c, kinds[name], test["equals"]) == F.lit(test["equals"])
     elif "in" in test:
-        met = c.isin(*test["in"])
+        met = reduce(or_, [comparable(c, kinds[name], x) == F.lit(x) for x in test["in"]], F.lit(False))
     elif "gt" in test:
-        met = c > F.lit(test["gt"])
+        met = comparable(c, kinds[name], test["gt"]) > F.lit(test["gt"])
     elif "lt" in test:
-        met = c < F.lit(test["lt"])
+        met = comparable(c, kinds[name], test["lt"]) < F.lit(test["lt"])
     else:
         return None
     return F.coalesce(met, F.lit(False))
@@ -90,7 +101,7 @@ def score(
     for sign, key in ((1, "direct_add_columns"), (-1, "direct_sub_columns")):
         for name in chosen.get(key, []):
             if name in df.columns:
-                direct.append((name, F.coalesce(F.col(name), F.lit(0)) * F.lit(sign)))
+                direct.append((name, F.coalesce(comparable(F.col(name), schema[name].dataType, 0), F.lit(0)) * F.lit(sign)))
     terms += [points for _, points in direct]
     total = reduce(add, terms, F.lit(0))
     clamped = F.greatest(F.least(total, F.lit(chosen.get("max_score", 100))), F.lit(chosen.get("min_score", 0)))

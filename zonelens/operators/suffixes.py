@@ -8,44 +8,42 @@ from pyspark.sql import functions as F
 from zonelens.functions.hosts import strip_dots
 from zonelens.functions.ips import is_ipv4
 
-MAX_LABELS = 5  # no public suffix has more
+def suffix_rules(suffixes: DataFrame) -> DataFrame:
+    """body, plain, wild, except: list rules by the name they are about.
+
+    ``co.uk`` is a plain rule about ``co.uk``, ``*.ck`` a wild one about ``ck``, ``!www.ck`` an exception about
+    ``www.ck``.  Case and dots at the ends do not matter; blank rows are no rules.
+    """
+    text = F.lower(strip_dots(F.trim("suffix")))
+    kind = F.when(text.startswith("!"), "except").when(text.startswith("*."), "wild").otherwise("plain")
+    body = F.regexp_replace(text, r"^(!|\*\.|\.)", "")
+    rules = suffixes.select(body.alias("body"), kind.alias("kind")).filter("body <> ''")
+    return rules.groupBy("body").agg(*[F.max(F.col("kind") == k).alias(k) for k in ("plain", "wild", "except")])
 
 
 def with_registered_domain(
-    df: DataFrame,
-    suffixes: DataFrame,
-    host: str = "domain",
-    regdom: str = "registered_domain",
-    tld: str | None = "tld",
-    max_labels: int = MAX_LABELS,
-    wildcards: bool = False,
+    df: DataFrame, suffixes: DataFrame, host: str = "domain", regdom: str = "registered_domain", tld: str | None = "tld"
 ) -> DataFrame:
     """Suffix plus one label, and the last label of the suffix.
 
-    One left join per suffix length on "the last k labels", the longest match wins.  A suffix list is small, so
-    Catalyst turns each join into a hash probe and the hosts are never shuffled, however unevenly they spread
-    over the suffixes.  With ``wildcards`` rows like ``*.ck`` and ``!www.ck`` are read as list rules.
+    One left join for every label count that the suffix table has, on "the last k labels" of the host: the rule with
+    most labels wins, and an exception outranks every other rule.  A suffix list is small, so Catalyst turns each join
+    into a hash probe and the hosts are never shuffled, however unevenly they spread over the suffixes.
     """
-    rules = suffixes.select(F.lower("suffix").alias("suffix")).distinct()
+    rules = suffix_rules(suffixes)
+    most = rules.agg(F.max(F.size(F.split("body", r"\."))).alias("k")).first()["k"] or 0
     name = F.lower(F.ltrim(strip_dots(F.coalesce(F.col(host), F.lit(""))), F.lit(".")))
     out = df.withColumn("__h", name).withColumn("__n", F.size(F.split("__h", r"\.")))
-    picks = []
-    for k in range(max_labels, 0, -1):
+    exceptions, found = [], [F.lit(0)]
+    for k in range(most, 0, -1):
         tail = F.when(F.col("__n") >= k, F.substring_index("__h", ".", -k))
-        keys = [("plain", tail, k)]
-        if wildcards:
-            above = F.when(F.col("__n") >= k, F.substring_index("__h", ".", -(k - 1))) if k > 1 else None
-            keys = ([("except", F.concat(F.lit("!"), tail), k - 1)] if k > 1 else []) + (
-                [("wild", F.concat(F.lit("*."), above), k)] if k > 1 else []
-            ) + keys
-        for tag, key, size in keys:
-            hit = f"__{tag}{k}"
-            side = rules.select(F.col("suffix").alias(f"__s_{hit}"))
-            out = out.withColumn("__key", key).join(side, F.col("__key") == F.col(f"__s_{hit}"), "left")
-            picks.append((tag, F.col(f"__s_{hit}").isNotNull(), size))
-    picks.sort(key=lambda p: (p[0] != "except",))  # exceptions outrank every other rule
-    suffix_labels = F.coalesce(*[F.when(found, F.lit(size)) for _, found, size in picks], F.lit(0))
-    out = out.withColumn("__k", suffix_labels)
+        side = rules.select(F.col("body").alias(f"__b{k}"), *[F.col(x).alias(f"__{x}{k}") for x in ("plain", "wild", "except")])
+        out = out.withColumn("__key", tail).join(side, F.col("__key") == F.col(f"__b{k}"), "left")
+        exceptions.append(F.when(F.col(f"__except{k}"), F.lit(k - 1)))
+        found.append(F.when(F.col(f"__plain{k}"), F.lit(k)))
+        found.append(F.when(F.col(f"__wild{k}") & (F.col("__n") > k), F.lit(k + 1)))
+    longest = F.greatest(*found) if len(found) > 1 else found[0]
+    out = out.withColumn("__k", F.coalesce(*exceptions, longest))
     whole = F.col("__h")
     registered = (
         F.when(whole == "", F.lit(""))

@@ -15,7 +15,7 @@ from zonelens.functions import hosts as H
 from zonelens.functions import policies as P
 from zonelens.functions.ips import reverse_pointer, valid_ips
 from zonelens.operators.joins import cut_lineage, hot_keys, hot_lists, spread_join
-from zonelens.operators.resolve import is_positive, latest_observation
+from zonelens.operators.resolve import is_positive, latest_observation, newest_order, normal_names
 from zonelens.operators.suffixes import with_registered_domain
 
 # Crowded join keys: a frame of them, a short list, or None for "count them here".
@@ -34,7 +34,7 @@ def positive_answers(obs: DataFrame, rtype: str) -> DataFrame:
 
 def host_answers(obs: DataFrame) -> DataFrame:
     """A, AAAA and CNAME answers of every name side by side, in one aggregation."""
-    order = F.struct("observed_ts", "rcode", "ttl")
+    obs, order = normal_names(obs), newest_order()
     picks = [
         F.max_by(F.struct("rcode", "answers"), F.when(F.col("rtype") == t, order)).alias(f"__{t}")
         for t in ("A", "AAAA", "CNAME")
@@ -49,13 +49,13 @@ def host_answers(obs: DataFrame) -> DataFrame:
         "name",
         good("A").alias("a"),
         good("AAAA").alias("aaaa"),
-        F.coalesce(H.strip_dots(F.get(good("CNAME"), F.lit(0))), F.lit("")).alias("cname"),
+        F.coalesce(F.lower(H.strip_dots(F.get(good("CNAME"), F.lit(0)))), F.lit("")).alias("cname"),
     )
 
 
 def alias_edges(obs: DataFrame) -> DataFrame:
     """name -> target of the first CNAME answer; self-loops and blanks end a chain and are left out."""
-    target = H.strip_dots(F.get("answers", F.lit(0)))
+    target = F.lower(H.strip_dots(F.get("answers", F.lit(0))))
     edges = positive_answers(obs, "CNAME").select("name", target.alias("target"))
     return edges.filter((F.col("target") != "") & (F.col("target") != F.col("name")))
 
@@ -295,7 +295,7 @@ def attach_host_ips(
 
 def mx_host_table(hosts: DataFrame, obs: DataFrame, host: str = "host") -> DataFrame:
     """Batch resolution table: one row per distinct mail host with addresses, outcomes and TTLs."""
-    order = F.struct("observed_ts", "rcode", "ttl")
+    obs, order = normal_names(obs), newest_order()
     picks = [
         F.max_by(F.struct("rcode", "answers", "ttl"), F.when(F.col("rtype") == t, order)).alias(t.lower())
         for t in ("A", "AAAA")
@@ -341,10 +341,12 @@ def ptr_results(ips: DataFrame, obs: DataFrame, ip: str = "ip") -> DataFrame:
 def attach_ptr(df: DataFrame, obs: DataFrame, suffixes: DataFrame, name: str = "domain") -> DataFrame:
     """PTR map of all addresses, and PTR hosts and registered domains of the mail and name-server addresses.
 
-    ``df`` has the lists ``a``, ``aaaa``, ``mx_ips`` and ``ns_ips``.  Pairs of domain and address are made
+    ``df`` has the lists ``a``, ``aaaa``, ``mx_ips`` and ``ns_ips``, and may have the sub-host addresses ``www_a`` and
+    ``mail_a``.  Pairs of domain and address are made
     distinct before they are shuffled, then only the found hosts come back to the domain.
     """
     lists = [F.col(c) for c in ("a", "aaaa", "mx_ips", "ns_ips")]
+    lists += [F.array_compact(F.array(c)) for c in ("www_a", "mail_a") if c in df.columns]
     pairs = df.select(name, F.explode(valid_ips(all_ips(*lists))).alias("ip")).distinct()
     table = ptr_results(pairs, obs).filter(F.col("ptr") != "").select("ip", "ptr")
     table = with_registered_domain(table, suffixes, host="ptr", regdom="ptr_regdom", tld=None)

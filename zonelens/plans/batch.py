@@ -12,7 +12,7 @@ from zonelens.functions import records as R
 from zonelens.operators import change, crawl, graph, resolve, rows, topology
 from zonelens.operators.joins import cut_lineage, hot_lists
 from zonelens.operators.normalize import clean_domains, normalize_hosts
-from zonelens.operators.resolve import is_positive
+from zonelens.operators.resolve import is_positive, newest_order, normal_names
 from zonelens.operators.suffixes import with_registered_domain
 from zonelens.sources import writers
 
@@ -21,7 +21,7 @@ TYPES = ("NS", "SOA", "A", "AAAA", "MX", "TXT", "CAA", "NAPTR", "CNAME", "DNSKEY
 
 def wide_answers(obs: DataFrame) -> DataFrame:
     """Newest answer of every record type side by side: one aggregation for all ten types."""
-    order = F.struct("observed_ts", "rcode", "ttl")
+    obs, order = normal_names(obs), newest_order()
     payload = F.struct("rcode", F.coalesce("answers", F.array().cast("array<string>")).alias("answers"), "ttl")
     picks = [F.max_by(payload, F.when(F.col("rtype") == t, order)).alias(f"__{t}") for t in TYPES]
     wide = obs.filter(F.col("rtype").isin(*TYPES)).groupBy(F.col("name").alias("domain")).agg(*picks)

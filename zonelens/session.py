@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -49,9 +50,11 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
     The folder comes from ``spark.checkpoint.dir``.  A machine-local folder is made only where the setting is
-    absent, which is the case in tests on one machine.
+    absent and everything runs in one process on one machine; on a cluster that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", "") or ""
     if base:
         return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return os.path.join(tempfile.mkdtemp(prefix=f"zonelens-{purpose}-"), "data")

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from zonelens.llm.common import column, ship
 
 # Segments in each of the two generations of a worker's cache.
-CACHE_ENTRIES = 350_000
+CACHE_ENTRIES = 100_000
 # Texts longer than this are not remembered.
 CACHE_CHARS = 64
 # Keys that share a displacement, on average.

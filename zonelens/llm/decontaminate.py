@@ -39,7 +39,7 @@ THRESHOLD = 0.5
 # Bits of the filter; a benchmark with more seeds than this is still answered exactly, only with more rows to join.
 BLOOM_BITS = 1 << 25
 # Tokens whose hashes a worker remembers before it starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 150_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 WORDS = re.compile(r"\w+")
 

@@ -40,7 +40,7 @@ SWITCH = 10.0
 # A script belongs to a language that has this share of its letters in it.
 SCRIPT_SHARE = 0.01
 # Words a worker remembers before it starts anew, and code points labelled together.
-REMEMBERED = 500_000
+REMEMBERED = 150_000
 CHUNK_CHARS = 4_000_000
 
 # First and last code point of the ranges of each script.

@@ -173,16 +173,14 @@ def near_duplicates(
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", distance: int = 4, shingle: int = 4) -> DataFrame:
     """The rows of ``docs``, one of each component: the one with the least id.
 
-    Where several rows have that id (or no row has an id), one of them stays.
+    Where several rows have that id (or no row has an id), one of them stays.  Rows are chosen by a number of their own
+    and their narrow columns, so the texts are shuffled once at most.
     """
-    fp, comp, least, same = (free_name(docs, x) for x in ("fp", "component", "least", "same_id"))
-    marked = stage(with_fingerprint(docs, text, fp, shingle), "simhash-docs")
-    ids = marked.select(column(doc_id).alias("id"), column(fp).alias("fp"))
-    found = components(ids, distance).select(F.col("fp").alias(fp), F.col("component_id").alias(least), F.col("component_fp").alias(comp))
-    kept = marked.join(found, fp).filter(column(doc_id).eqNullSafe(F.col(least)))
-    # Rows that share an id are few; only they are compared, so that the texts of the rest are not shuffled again.
-    repeated = ids.groupBy("id").agg(F.count("*").alias(same)).filter(F.col(same) > 1).withColumnRenamed("id", least + "_r")
-    kept = kept.join(repeated, column(doc_id).eqNullSafe(F.col(least + "_r")), "left")
-    once = kept.filter(F.col(same).isNull()).select(*map(column, docs.columns))
-    again = kept.filter(F.col(same).isNotNull()).dropDuplicates([comp]).select(*map(column, docs.columns))
-    return once.unionByName(again)
+    fp, row = (free_name(docs, x) for x in ("fp", "row"))
+    # The written table holds the numbers, so a task that runs again finds the same ones.
+    marked = stage(with_fingerprint(docs, text, fp, shingle).withColumn(row, F.monotonically_increasing_id()), "simhash-docs")
+    ids = marked.select(column(row).alias("row"), column(doc_id).alias("id"), column(fp).alias("fp"))
+    found = components(ids.select("id", "fp"), distance)
+    least = ids.join(found, "fp").filter(F.col("id").eqNullSafe(F.col("component_id")))
+    chosen = least.groupBy("component_fp").agg(F.min("row").alias(row)).select(row)
+    return marked.join(chosen, row, "left_semi").select(*map(column, docs.columns))

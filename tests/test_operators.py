@@ -363,3 +363,14 @@ def test_dirty_values_never_end_a_score(rows):
     }
     df = rows("flag string, n string, size int, extra string", ("maybe", "x", 4, "y"), ("true", "4.5", 1, "3"), (None, "1", None, None))
     assert sorted(r["risk_score"] for r in scoring.score(df, profile).collect()) == [1, 2, 15]
+
+
+def test_ranges_wider_than_the_largest_block(spark):
+    from zonelens.operators.ranges import range_matches
+
+    spans = [(0, 2**32 - 1), (1, 2**32 - 2), (2**20, 2**21 - 1), (2**20 - 1, 2**21), (2**31 - 5, 2**31 + 3 * 2**20 + 17)]
+    points = sorted({p for s in spans for e in s for p in (e - 1, e, e + 1) if 0 <= p < 2**32} | {2**31, 12345678})
+    ranges = spark.createDataFrame(spans, "start_int bigint, end_int bigint")
+    found = range_matches(spark.createDataFrame([(p,) for p in points], "ip_int bigint"), ranges).collect()
+    wanted = sorted((p, a, b) for p in points for a, b in spans if a <= p <= b)
+    assert sorted((r.ip_int, r.start_int, r.end_int) for r in found) == wanted

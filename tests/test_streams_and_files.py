@@ -123,6 +123,10 @@ def test_readers_and_writers(spark, tmp_path):
     writers.append_activity_delta(delta, p("delta"))
     writers.append_activity_delta(delta.filter("false"), p("delta2"))
     assert spark.read.option("header", True).csv(p("delta")).count() == 2 and not (tmp_path / "delta2").exists()
+    for _ in range(2):  # a batch that runs again replaces its rows
+        writers.append_activity_delta(delta, p("delta3"), 7)
+    writers.append_activity_delta(delta, p("delta3"), 8)
+    assert spark.read.option("header", True).csv(p("delta3")).count() == 2
     cert = spark.createDataFrame([("h", "Jun  1 00:00:00 2024 GMT", [("k", "v")], ["a"])], S.CERTIFICATES)
     cert.write.json(p("certs.json"))
     assert readers.read_certificates(spark, p("certs.json")).first().issuer[0].k == "k"

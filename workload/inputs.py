@@ -154,8 +154,6 @@ INPUTS: dict[str, str] = {
                 ELSE concat('220 ', mx_host, tail) END AS banner_raw,
             CASE WHEN shape = 3 THEN 'TimeoutError' END AS error, cast(1 + shape % 2 AS int) AS tries
         FROM {banner_facts}""",
-    "doc_ips": """
-        SELECT doc_id, regexp_extract(text, '([0-9]+[.][0-9]+[.][0-9]+[.][0-9]+)', 1) AS ip_text FROM {documents}""",
     "line_ips": """
         SELECT l_orderkey, l_linenumber, l_suppkey,
             CASE WHEN l_partkey % 17 = 0 THEN concat('2001:DB8:', cast(l_suppkey % 10 AS string), '::', cast(l_linenumber AS string))

@@ -104,10 +104,16 @@ _TO_INT = """CASE WHEN regexp_matches({ip}, """ + _V4 + """) THEN
     + cast(split_part({ip}, '.', 3) AS bigint) * 256 + cast(split_part({ip}, '.', 4) AS bigint) END"""
 
 
+_DOTTED = "[0-9]+[.][0-9]+[.][0-9]+[.][0-9]+"
+
+
 @query("ipv4_to_int", f"""
-    SELECT doc_id, ip_text, {_TO_INT.replace('{ip}', 'ip_text')} AS ip_int FROM doc_ips""", "doc_ips")
+    WITH x AS (SELECT doc_id, unnest(regexp_extract_all(text, '{_DOTTED}')) AS ip_text FROM documents)
+    SELECT doc_id, ip_text, {_TO_INT.replace('{ip}', 'ip_text')} AS ip_int FROM x""")
 def ipv4_to_int(spark, sf):
-    return load(spark, sf, "doc_ips").withColumn("ip_int", I.ipv4_to_int(F.col("ip_text")))
+    """Every dotted number of every document."""
+    found = F.explode(F.regexp_extract_all("text", F.lit(_DOTTED), F.lit(0))).alias("ip_text")
+    return table(spark, sf, "documents").select("doc_id", found).withColumn("ip_int", I.ipv4_to_int(F.col("ip_text")))
 
 
 @query("line_ip_ints", f"""

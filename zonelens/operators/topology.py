@@ -60,8 +60,9 @@ def alias_edges(obs: DataFrame) -> DataFrame:
     return edges.filter((F.col("target") != "") & (F.col("target") != F.col("name")))
 
 
-def _extend(first: DataFrame, second: DataFrame, hot: Sequence) -> DataFrame:
-    """Paths of ``first`` carried on by the paths of ``second``."""
+def _extend(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Paths of ``first`` carried on by the paths of ``second``; crowded ends are counted on ``first`` itself."""
+    hot = hot_lists(first, {"target": F.col("target")})["target"]
     onward = second.select(
         F.col("name").alias("target"), F.col("target").alias("__target"), F.col("chain").alias("__chain")
     )
@@ -79,14 +80,13 @@ def alias_paths(edges: DataFrame, max_hops: int = 8) -> DataFrame:
     Path lengths are doubled: eight hops take three joins of the edge table, not eight.
     """
     power = edges.select("name", "target", F.array("target").alias("chain"))
-    hot = hot_lists(edges, {"target": F.col("target")})["target"]
     total, length, left = None, 1, max_hops
     while left:
         if left & length:
-            total = power if total is None else _extend(total, power, hot)
+            total = power if total is None else _extend(total, power)
             left -= length
         if left:
-            power = cut_lineage(_extend(power, power, hot))
+            power = cut_lineage(_extend(power, power))
             length *= 2
     return total
 

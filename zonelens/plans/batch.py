@@ -72,7 +72,7 @@ def domain_wide(
     """Everything known about each domain, one wide row per domain."""
     base = cut_lineage(domain_base(domains, obs, suffixes))
     answers = topology.host_answers(obs)
-    # All crowded keys of the joins below, counted in one pass over the base.
+    # Crowded keys of the joins below, counted in one pass over the base.
     mx_host = F.nullif("mx_host", F.lit(""))
     hot = hot_lists(base, {"mx": mx_host, "ns": F.col("ns_host_final"), "apex": F.col("registered_domain")})
     out = topology.cname_chain(
@@ -80,7 +80,10 @@ def domain_wide(
     )
     out = out.withColumnsRenamed({"final_host": "mx_host_final", "cname_chain": "mx_cname_chain"}).drop("host")
     out = with_registered_domain(out, suffixes, host="mx_host_final", regdom="mx_regdom_final", tld=None)
-    out = topology.attach_host_ips(out, answers, "mx_host_final", "mx_ips", hot=hot["mx"])
+    # Many mail hosts can be aliases of one, so the final hosts are counted again.
+    out = cut_lineage(out)
+    final = hot_lists(out, {"mx": F.nullif("mx_host_final", F.lit(""))})["mx"]
+    out = topology.attach_host_ips(out, answers, "mx_host_final", "mx_ips", hot=final)
     out = topology.attach_host_ips(out, answers, "ns_host_final", "ns_ips", hot=hot["ns"])
     for prefix in ("www", "mail"):
         out = topology.attach_subhost(out, answers, prefix, hot=hot["apex"])
@@ -166,5 +169,5 @@ def run_batch(
         "domain", F.col("ns_raw").alias("ns"), "a", F.col("mx_regdom_final").alias("mx_regdom"), "status", "mx_ips"
     )
     delta = change.activity_delta(change.activity_flags(signed, state), int(now.timestamp()))
-    writers.append_activity_delta(delta, f"{out}/activity_delta")
+    writers.append_activity_delta(delta, f"{out}/activity_delta", int(now.timestamp()))
     return crawl.batch_metrics(records, (datetime.now() - started).total_seconds())

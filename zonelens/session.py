@@ -9,17 +9,19 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 # Settings that the operators count on.  Skewed reduce partitions are split at run time, also where the
-# split costs one more exchange; the session runs in UTC because observation times are UTC instants.
+# split costs one more exchange; the session runs in UTC because observation times are UTC instants; the state of
+# streams lies on the executors' disks instead of their heap.
 RUNTIME_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
 
 def local_session(app: str = "zonelens", cpus: str = "8", **extra: str) -> SparkSession:
     """A session for tests and benches on one machine."""

@@ -35,11 +35,17 @@ def write_retries(records: DataFrame, path: str, mode: str = "overwrite") -> Non
     to_result_rows(again).write.mode(mode).parquet(path)
 
 
-def append_activity_delta(delta: DataFrame, path: str) -> None:
-    """Append changed domains to the activity log (A13); nothing is written where nothing changed."""
+def append_activity_delta(delta: DataFrame, path: str, batch: int | None = None) -> None:
+    """Append changed domains to the activity log (A13); nothing is written where nothing changed.
+
+    With a batch number the rows lie below ``batch_id=<n>``, and a batch that runs again replaces its own folder.
+    """
     rows = delta.select(*DELTA_COLUMNS).persist()
     try:
-        if not rows.isEmpty():
+        if batch is not None:
+            # Also where nothing changed: a first try may have left rows.
+            rows.write.mode("overwrite").option("header", True).csv(f"{path}/batch_id={batch}")
+        elif not rows.isEmpty():
             rows.write.mode("append").option("header", True).csv(path)
     finally:
         rows.unpersist()

@@ -66,3 +66,22 @@ def test_counts_by_brute_force(spark):
     found = {r["host"]: set(r["template"]) for r in H.templates(narrow).collect()}
     seen = [set(H.outer_subtrees(H.parse(h))) for _, _, h in rows]
     assert found == {"site.example": set.intersection(*seen)} and len(found["site.example"]) == 4
+
+
+def test_labelled_subtrees_count():
+    root = H.parse("<nav><p>Menu</p></nav><div class='ad'><p>Buy</p></div><script>x</script><article><h1>T</h1></article><footer>f</footer>")
+    assert len(H.outer_subtrees(root)) == 5 and len(H.inner_subtrees(root.kids[3])) == 1
+
+
+def test_template_on_every_page(spark):
+    # An advert recurs below a label and stands bare on one page; a box stands in all articles, a quote in some of them.
+    rows = [(i, "http://a.example", f"<div class='ad'><p>Buy now</p></div><p>Own {i}</p>") for i in range(8)]
+    rows += [(10, "http://a.example", "<p>Buy now</p><p>Own</p>")]
+    box = "<div class='box'>Send this on</div>"
+    rows += [(100 + i, "http://b.example", f"<article><p>Own {i}</p>{'<p>Quote</p>' if i % 4 == 0 else ''}{box}</article>") for i in range(40)]
+    rows += [(200 + i, "http://c.example", f"<nav>{i}</nav><article><p>One</p>{box}</article>") for i in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in H.extract(pages).collect()}
+    assert got[0] == "Own 0" and got[10] == "Own"
+    assert got[100] == "Own 0 Quote" and got[101] == "Own 1"
+    assert got[200] == "One Send this on"  # forty copies of one article are one article

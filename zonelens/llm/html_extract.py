@@ -1,17 +1,20 @@
 """Main text of web pages by site template removal.
 
 Every page is parsed into a tree.  Spark counts, for each host, on how many different pages a subtree (its tags and its
-text, by hash) recurs; a subtree found on many pages of its host is template and is deleted.  Counts are for the parts
-of a page outside its article: what a page itself marks as its article (``article`` or ``main``) is its own text, also
-where pages of a host quote one another.  Elements whose tag, role, class or id says that they are no article text
-(navigation, forms, adverts, notices, reader comments and so on) go as well, since a small host shows no recurrence.
+text, by hash) recurs; a subtree found on many pages of its host is template and is deleted.  All elements that can show
+text are counted, whatever their tag or label says, and the template set is applied on every page.  Two counts are kept
+apart: outside the article of a page, and inside it, where pages of a host quote one another and only what most of the
+different articles of a host hold is template.  Elements whose tag, role, class or id says that they are no article
+text (navigation, forms, adverts, notices, reader comments and so on) go without recurrence too, since a small host and
+menus or adverts that differ on every page show none.
 
 The text is that of the article elements if there are any, else of ``main``, else of the body.  Character references
 are decoded, white space inside a block becomes one space, and blocks are joined by one space in page order.
 
 Defined results: null and empty html give an empty text; a page cut off inside a tag, an element or a reference is read
 as far as it goes; a null url or a url without a host counts under the host ''; copies of a page count once for their
-host; repeated rows give repeated rows; an empty table gives an empty result; other columns are never read.
+host, and copies of an article once for what is inside it; repeated rows give repeated rows; an empty table gives an
+empty result; other columns are never read.
 """
 
 from __future__ import annotations
@@ -27,10 +30,13 @@ from pyspark.sql import functions as F
 
 from zonelens.llm.common import column, pick, ship, stage
 
-# A subtree is template from this many different pages of a host on, and this share of them.  The share bounds the
-# number of template subtrees of a host by the subtrees of its average page over the share.
+# A subtree outside the article is template from this many different pages of a host on, and this share of them.
 MIN_PAGES = 5
 MIN_SHARE = 0.2
+# Inside the article: from this many different articles of a host on, and this share of them.  A quoted sentence recurs
+# as well, but not in most articles.
+MIN_ARTICLES = 30
+ARTICLE_SHARE = 0.5
 
 # Element names by what they mean for the text of a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -44,6 +50,9 @@ NO_TEXT = frozenset(
     "nav header footer aside form script style noscript template iframe svg canvas button select option textarea input object embed audio "
     "video map dialog menu head title xmp noembed noframes".split()
 )
+# Elements without article text that show text all the same; what the others hold is never shown as text.
+SHOWN = frozenset("nav header footer aside form dialog menu button".split())
+UNSEEN = NO_TEXT - SHOWN
 # Elements that end an open paragraph.
 ENDS_P = BLOCK - {"br", "button", "option", "optgroup", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "body", "html", "head", "title"}
 # An opening tag of the key closes an open element of the value, unless one of the stops lies between.
@@ -75,7 +84,7 @@ LABEL_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 class Node:
-    __slots__ = ("tag", "attributes", "kids", "digest", "own")
+    __slots__ = ("tag", "attributes", "kids", "digest", "own", "words")
 
     def __init__(self, tag: str, attributes: dict[str, str]) -> None:
         self.tag = tag
@@ -83,6 +92,7 @@ class Node:
         self.kids: list = []
         self.digest = 0
         self.own = tag in ("article", "main")  # holds an article or main element, or is one
+        self.words = False  # shows text
 
 
 def attributes_of(rest: str) -> dict[str, str]:
@@ -166,13 +176,17 @@ def parse(page: str) -> Node:
 
 
 def seal(node: Node) -> None:
-    """The hash of a subtree: tag, class and id, and what is inside, white space aside."""
+    """The hash of a subtree: tag, class and id, and what is inside, white space aside; and whether it shows text."""
     state = xxhash.xxh64(f"{node.tag}|{node.attributes.get('class', '')}|{node.attributes.get('id', '')}|")
     for kid in node.kids:
         if isinstance(kid, str):
-            state.update(" ".join(kid.split()).encode("utf-8", "surrogatepass") + b"\x00")
+            plain = " ".join(kid.split())
+            node.words |= bool(plain)
+            state.update(plain.encode("utf-8", "surrogatepass") + b"\x00")
         else:
+            node.words |= kid.words
             state.update(kid.digest.to_bytes(8, "little"))
+    node.words &= node.tag not in UNSEEN
     node.digest = state.intdigest()
 
 
@@ -185,19 +199,6 @@ def visible(node: Node) -> bool:
     return not ("hidden" in node.attributes or "display:none" in style or "visibility:hidden" in style)
 
 
-def has_words(node: Node) -> bool:
-    """Whether any text stands below a node."""
-    waiting = [node]
-    while waiting:
-        for kid in waiting.pop().kids:
-            if isinstance(kid, str):
-                if kid.strip():
-                    return True
-            elif kid.tag not in NO_TEXT:
-                waiting.append(kid)
-    return False
-
-
 def labels_of(node: Node) -> set[str]:
     """Words of the class and id names; a name like no-comments or has-sidebar says nothing of the element itself."""
     words: set[str] = set()
@@ -233,19 +234,61 @@ def labelled(node: Node, inside: bool) -> bool:
 
 
 def outer_subtrees(root: Node) -> list[int]:
-    """Hashes of the subtrees with text outside the article that no label removes."""
+    """Hashes of the subtrees that show text and stand outside the article of the page, labelled or not."""
+    roots = {id(n) for n in roots_of(root) if n is not root}
+    nodes, above = [root], [-1]
+    holders = {0}
+    for i, node in enumerate(nodes):
+        for kid in node.kids:
+            if isinstance(kid, str) or not kid.words and not roots:
+                continue
+            if id(kid) in roots:
+                k = i
+                while k not in holders:
+                    holders.add(k)
+                    k = above[k]
+            else:
+                nodes.append(kid)
+                above.append(i)
+    return sorted({signed(n.digest) for i, n in enumerate(nodes) if n.words and i not in holders and n.tag not in NEVER})
+
+
+def inner_subtrees(root: Node) -> list[int]:
+    """Hashes of the subtrees that show text below a node, labelled or not."""
     found = set()
     waiting = [root]
     while waiting:
         for kid in waiting.pop().kids:
-            if isinstance(kid, str) or labelled(kid, False) or kid.tag in ("article", "main"):
-                continue
-            if not kid.own and kid.tag not in NEVER and has_words(kid):
+            if not isinstance(kid, str) and kid.words:
                 found.add(signed(kid.digest))
-            waiting.append(kid)
+                waiting.append(kid)
     return sorted(found)
 
 
+def live_subtrees(roots: list[Node], inside: bool) -> list[int]:
+    """Hashes of the subtrees below the roots that no label removes: those that the template set can still remove."""
+    found = set()
+    waiting = list(roots)
+    while waiting:
+        for kid in waiting.pop().kids:
+            if not isinstance(kid, str) and kid.words and not labelled(kid, inside):
+                if kid.tag not in NEVER:
+                    found.add(signed(kid.digest))
+                waiting.append(kid)
+    return sorted(found)
+
+
+def subtrees_of(page: str | None) -> tuple[bool, list[int], list[int], list[list[int]]]:
+    """Whether the page has an article; its live subtrees; those outside; for each article its hash and those inside."""
+    if not page:
+        return False, [], [], []
+    root = parse(page)
+    roots = roots_of(root)
+    inside = roots[0] is not root
+    articles = [[signed(r.digest), *inner_subtrees(r)] for r in roots] if inside else []
+    return inside, live_subtrees(roots, inside), outer_subtrees(root), articles
+
+
 def topmost(root: Node, wanted) -> list[Node]:
     """The nodes that are wanted and not below another such node or a labelled one, in page order."""
     found: list[Node] = []
@@ -267,7 +310,7 @@ def roots_of(root: Node) -> list[Node]:
 
 
 def text_of(roots: list[Node], template: frozenset[int], inside: bool) -> str:
-    """The text below the roots without template and labelled subtrees."""
+    """The text below the roots without template and labelled subtrees; ``template``: hashes for this page."""
     parts: list[str] = []
     waiting: list = list(reversed(roots))
     while waiting:
@@ -281,7 +324,7 @@ def text_of(roots: list[Node], template: frozenset[int], inside: bool) -> str:
         for kid in reversed(item.kids):
             if isinstance(kid, str):
                 waiting.append(html.unescape(kid) if "&" in kid else kid)
-            elif not labelled(kid, inside) and not (not inside and signed(kid.digest) in template):
+            elif not labelled(kid, inside) and signed(kid.digest) not in template:
                 waiting.append(kid)
     return " ".join("".join(parts).split())
 
@@ -299,24 +342,56 @@ def host_of(url: Column) -> Column:
     return F.coalesce(host, F.lit(""))
 
 
-def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """host, template: the hashes of the template subtrees of every host that has any.
+SUBTREES = "inside boolean, live array<long>, outer array<long>, articles array<array<long>>"
 
-    ``pages`` has host and html.  Copies of a page are one page here, so a page copied many times is no template.
-    """
+
+def subtrees(pages: DataFrame) -> DataFrame:
+    """host, page (hash of the html) and the subtrees (:func:`subtrees_of`) of every different page; ``pages`` has host and html."""
     ship(pages.sparkSession)
 
-    @F.pandas_udf("array<long>")
-    def subtrees(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf(SUBTREES)
+    def found(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            yield pd.Series([outer_subtrees(parse(t)) if t else [] for t in texts], dtype=object)
+            yield pd.DataFrame([subtrees_of(t) for t in texts], columns=["inside", "live", "outer", "articles"])
+
+    parsed = pages.select("host", F.xxhash64("html").alias("page"), found("html").alias("found"))
+    return stage(parsed.groupBy("host", "page").agg(F.first("found").alias("found")).select("host", "page", "found.*"), "html-subtrees")
+
+
+def recurring(units: DataFrame, least: int, share: float) -> DataFrame:
+    """host, subtree: what stands in enough of the ``units`` (host, subtrees) of its host."""
+    sizes = units.groupBy("host").agg(F.count("*").alias("units"))
+    counted = units.select("host", F.explode("subtrees").alias("subtree")).groupBy("host", "subtree").agg(F.count("*").alias("n"))
+    often = counted.filter(F.col("n") >= least).join(sizes, "host")
+    return often.filter(F.col("n") >= F.col("units") * share).select("host", "subtree")
+
+
+def template_rows(once: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+    """inside, host, subtree: the template subtrees outside and inside of articles; ``once`` as of :func:`subtrees`.
 
-    parsed = pages.select("host", F.xxhash64("html").alias("page"), subtrees("html").alias("subtrees"))
-    once = stage(parsed.groupBy("host", "page").agg(F.first("subtrees").alias("subtrees")), "html-subtrees")
-    sizes = once.groupBy("host").agg(F.count("*").alias("pages"))
-    counted = once.select("host", F.explode("subtrees").alias("subtree")).groupBy("host", "subtree").agg(F.count("*").alias("n"))
-    often = counted.filter(F.col("n") >= min_pages).join(sizes, "host").filter(F.col("n") >= F.col("pages") * min_share)
-    return often.groupBy("host").agg(F.collect_list("subtree").alias("template"))
+    Copies of a page are one page here, so a page copied many times is no template, and copies of an article are one.
+    """
+    outer = recurring(once.select("host", F.col("outer").alias("subtrees")), min_pages, min_share)
+    articles = once.select("host", F.explode("articles").alias("hashes"))
+    articles = articles.groupBy("host", F.col("hashes")[0].alias("article")).agg(F.first("hashes").alias("hashes"))
+    inner = articles.select("host", F.slice("hashes", F.lit(2), F.size("hashes")).alias("subtrees"))
+    inner = recurring(inner, MIN_ARTICLES, ARTICLE_SHARE)
+    return outer.select(F.lit(False).alias("inside"), "*").unionByName(inner.select(F.lit(True).alias("inside"), "*"))
+
+
+def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+    """host, template: the template hashes outside articles of every host that has any, as one array to look at."""
+    rows = template_rows(subtrees(pages), min_pages, min_share)
+    return rows.filter(~F.col("inside")).groupBy("host").agg(F.collect_list("subtree").alias("template"))
+
+
+def marks(once: DataFrame, rows: DataFrame) -> DataFrame:
+    """host, page, template: the live subtrees of a page that are template, for every page that has any.
+
+    No host's whole template set is ever held in one row; a page's array is no longer than the page.
+    """
+    live = once.select("inside", "host", "page", F.explode("live").alias("subtree"))
+    return live.join(rows, ["inside", "host", "subtree"]).groupBy("host", "page").agg(F.collect_list("subtree").alias("template"))
 
 
 def extract(
@@ -325,12 +400,13 @@ def extract(
     """page_id, url, text for every page."""
     narrow = pick(pages, page_id=page_id, url=url, html=page)
     narrow = narrow.select("page_id", "url", F.col("html").cast("string").alias("html"), host_of(F.col("url").cast("string")).alias("host"))
-    found = stage(templates(narrow.select("host", "html"), min_pages, min_share), "html-templates")
+    once = subtrees(narrow.select("host", "html"))
+    found = stage(marks(once, template_rows(once, min_pages, min_share)), "html-templates")
 
     @F.pandas_udf("string")
     def text(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for htmls, marks in batches:
-            yield pd.Series([main_text(h, frozenset(m) if m is not None else frozenset()) for h, m in zip(htmls, marks, strict=True)], dtype=object)
+        for htmls, hashes in batches:
+            yield pd.Series([main_text(h, frozenset(m) if m is not None else frozenset()) for h, m in zip(htmls, hashes, strict=True)], dtype=object)
 
-    joined = narrow.join(found, "host", "left")
+    joined = narrow.withColumn("page", F.xxhash64("html")).join(found, ["host", "page"], "left")
     return joined.select(column("page_id").alias(page_id), column("url").alias(url), text("html", "template").alias("text"))

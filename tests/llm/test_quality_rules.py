@@ -103,3 +103,31 @@ def test_edge_tables(spark):
     assert Q.measure(none).count() == 0 and Q.keep_good(none).count() == 0
     nulls = spark.createDataFrame([(None, None, None), (None, None, None)], "doc_id long, text string, lang string")
     assert [(r["n_words"], r["base_failed"], r["kept"]) for r in Q.measure(nulls).collect()] == [(0, True, False)] * 2
+
+
+def test_sampling_error(spark):
+    rng = random.Random(3)
+    for shares, n in (([0.5, 0.3, 0.2], 200), ([0.4] + [0.02] * 30, 60), ([0.9] + [0.001] * 100, 80)):
+        drawn = [Counter(rng.choices(range(len(shares)), shares, k=n)) for _ in range(2000)]
+        mean = sum(slow_distance([d[i] for i in range(len(shares))], shares) ** 2 for d in drawn) / len(drawn)
+        row = spark.createDataFrame([(shares, n)], "q array<double>, n int").select(Q.sampling_error(Q.F.col("q"), Q.F.col("n")).alias("e")).first()
+        assert row["e"] == pytest.approx(mean, rel=0.1)
+
+
+def test_short_junk_is_judged_by_both_distances(spark):
+    """Short table rows whose distances each pass their own limit are rejected, and clean texts of that length stay."""
+    rng = random.Random(5)
+    plain = [*Q.COMMON_WORDS["en"], *(f"{a}{b}" for a in ("ston", "reat", "hous", "lind") for b in ("ing", "er", "ed", "es", "ly", "al"))]
+    rows = [(i, " ".join(rng.choice(plain) for _ in range(n)), "en") for i, n in enumerate([60, 90, 120, 180, 400] * 40)]
+    junk = [(1000 + i, " ".join("|" if k % 4 == 0 else rng.choice(plain) for k in range(n)), "en") for i, n in enumerate([90, 100, 120, 150] * 5)]
+    junk = [(i, " ".join(w if w not in plain[:5] else "data" for w in t.split()), lang) for i, t, lang in junk]
+    docs = spark.createDataFrame(rows + junk, "doc_id long, text string, lang string")
+    limits = Q.Limits(max_repeat_percent=100)
+    got = {r["doc_id"]: r for r in Q.measure(docs, limits=limits).collect()}
+    assert all(got[i]["kept"] for i, _, _ in rows)
+    passing = [
+        i for i, _, _ in junk
+        if got[i]["class_distance"] <= limits.max_class_distance + limits.class_noise / math.sqrt(got[i]["n_words"])
+        and got[i]["word_distance"] <= limits.max_word_distance + limits.word_noise / math.sqrt(got[i]["n_words"])
+    ]
+    assert len(passing) >= 10 and not any(got[i]["kept"] for i in passing), [got[i] for i in passing]

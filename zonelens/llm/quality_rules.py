@@ -3,7 +3,10 @@
 Every document gets two histograms: its code points by character class, and its words by a list of common words.  All
 documents of a language (the ``lang`` column) give the reference histograms of that language.  A document is rejected
 when the Jensen-Shannon distance (base 2, 0 to 1) to its language's reference is above a limit, for either histogram;
-each comparison is made only for texts that are long enough for a histogram to mean something (length guards).  A
+each comparison is made only for texts that are long enough for a histogram to mean something (length guards).  Both
+distances to the text's own language are also judged together: each is measured against a limit that grows with the
+sampling error of its histogram (from the reference's shares and the length), and their squares may not sum to more
+than 1.  So a short text that is somewhat far in both is rejected, though each distance alone could be chance.  A
 language with too few words to be a reference, and a null language, use the histograms of all documents together.
 
 Base counts come with it: words are runs of characters that are not space or code points 9 to 13.
@@ -15,6 +18,7 @@ rows; an empty table gives an empty result; other columns are kept as they are.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -44,6 +48,13 @@ class Limits:
     class_noise: float = 0.9
     max_word_distance: float = 0.20
     word_noise: float = 1.1
+    # Both together, for a text with a reference of its own language: distances at which a text without end is
+    # rejected if the other distance is 0, and how many times the expected sampling error is added to each (in squares).
+    # Characters of one word go together, so their error is a multiple of that of independent draws.
+    joint_class_distance: float = 0.30
+    joint_class_noise: float = 4.0
+    joint_word_distance: float = 0.20
+    joint_word_noise: float = 1.18
     # Guards: shorter texts are not compared.
     class_chars: int = 200
     word_words: int = 50
@@ -146,6 +157,21 @@ def js_distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), entropy(middle) - (entropy(p) + entropy(q)) / 2))
 
 
+def sampling_error(shares: Column, n: Column) -> Column:
+    """Square of the distance to a histogram that ``n`` independent draws from it are expected to have.
+
+    A bin of m expected draws adds 1 / (8 n ln 2) if m is large and about m / n if it is small; the second term is the
+    rise in between, fitted to the exact sum over Poisson counts.  The draws of a bin of share q vary 1 - q times as much.
+    """
+    k = 8 * math.log(2)
+
+    def of_bin(q: Column) -> Column:
+        m = q * n
+        return (1 - q) * ((1 - F.exp(-k * m)) / k + 0.16 * m * m / (1 + 1.5 * m * m * m))
+
+    return F.aggregate(shares, F.lit(0.0), lambda a, q: a + of_bin(q)) / n
+
+
 def references(counted: DataFrame, lang: str, counts: str, limits: Limits) -> DataFrame:
     """ref_lang, ref_classes, ref_common: reference histograms of every language with enough words, and of all (null).
 
@@ -163,8 +189,8 @@ def references(counted: DataFrame, lang: str, counts: str, limits: Limits) -> Da
 def judge(counted: DataFrame, lang: str, counts: str, out: str, limits: Limits = Limits()) -> DataFrame:
     """Add a struct: base_failed, class_distance, word_distance (null where a guard forbids the comparison), kept."""
     refs = stage(references(counted, lang, counts, limits), "quality-references")
-    own, own_classes, own_common, all_classes, all_common = (
-        free_name(counted, x) for x in ("ref_lang", "ref_classes", "ref_common", "all_classes", "all_common")
+    own, own_classes, own_common, all_classes, all_common, both_far = (
+        free_name(counted, x) for x in ("ref_lang", "ref_classes", "ref_common", "all_classes", "all_common", "both_far")
     )
     named = refs.filter(F.col("ref_lang").isNotNull()).toDF(own, own_classes, own_common)
     total = refs.filter(F.col("ref_lang").isNull()).select(F.col("ref_classes"), F.col("ref_common")).first()
@@ -174,10 +200,18 @@ def judge(counted: DataFrame, lang: str, counts: str, out: str, limits: Limits =
     to_class = js_distance(histogram(c["classes"]), F.coalesce(F.col(own_classes), shares(total["ref_classes"])))
     to_word = js_distance(histogram(c["common"]), F.coalesce(F.col(own_common), shares(total["ref_common"])))
     n_chars = c["word_chars"]
+
+    def part(distance: Column, shares_of: Column, n: Column, least: float, noise: float) -> Column:
+        return distance * distance / (least**2 + noise**2 * sampling_error(shares_of, n))
+
+    class_part = part(to_class, F.col(own_classes), n_chars, limits.joint_class_distance, limits.joint_class_noise)
+    word_part = part(to_word, F.col(own_common), c["n_words"], limits.joint_word_distance, limits.joint_word_noise)
+    joint = F.coalesce(F.when(n_chars >= limits.class_chars, class_part), F.lit(0.0)) + word_part
     guarded = [
         *[column(x) for x in counted.columns],
         F.when(n_chars >= limits.class_chars, to_class).alias(all_classes),
         F.when(c["n_words"] >= limits.word_words, to_word).alias(all_common),
+        F.coalesce(F.when(c["n_words"] >= limits.word_words, joint > 1), F.lit(False)).alias(both_far),
     ]
     near = joined.select(*guarded)
     failed = (c["n_words"] < limits.min_words) | (100 * c["n_repeat_words"] > limits.max_repeat_percent * c["n_words"])
@@ -187,7 +221,7 @@ def judge(counted: DataFrame, lang: str, counts: str, out: str, limits: Limits =
 
     far_class = far(all_classes, limits.max_class_distance, limits.class_noise)
     far_word = far(all_common, limits.max_word_distance, limits.word_noise)
-    kept = ~failed & ~far_class & ~far_word
+    kept = ~failed & ~far_class & ~far_word & ~F.col(both_far)
     verdict = F.struct(
         failed.alias("base_failed"), F.col(all_classes).alias("class_distance"), F.col(all_common).alias("word_distance"), kept.alias("kept")
     )

@@ -85,3 +85,12 @@ def test_template_on_every_page(spark):
     assert got[0] == "Own 0" and got[10] == "Own"
     assert got[100] == "Own 0 Quote" and got[101] == "Own 1"
     assert got[200] == "One Send this on"  # forty copies of one article are one article
+
+
+def test_verdict_does_not_depend_on_the_size_of_the_host(spark):
+    # A notice on 40 pages goes on a host of 60 pages and on one of 400.
+    rows = [(1000 * n + i, f"http://h{n}.example", f"{'<p>Notice</p>' if i < 40 else ''}<p>Own {i}</p>") for n in (60, 400) for i in range(n)]
+    rows += [(10**6 + i, "http://rare.example", f"{'<p>Quote</p>' if i < 20 else ''}<p>Own {i}</p>") for i in range(400)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in H.extract(pages).collect()}
+    assert got[60000] == got[400000] == "Own 0" and got[10**6] == "Quote Own 0"

@@ -30,9 +30,11 @@ from pyspark.sql import functions as F
 
 from zonelens.llm.common import column, pick, ship, stage
 
-# A subtree outside the article is template from this many different pages of a host on, and this share of them.
+# A subtree outside the article is template from this many different pages of a host on, and this share of them; the
+# share is for small hosts only, as from MANY_PAGES on a subtree is template however large its host is.
 MIN_PAGES = 5
 MIN_SHARE = 0.2
+MANY_PAGES = 30
 # Inside the article: from this many different articles of a host on, and this share of them.  A quoted sentence recurs
 # as well, but not in most articles.
 MIN_ARTICLES = 30
@@ -358,12 +360,13 @@ def subtrees(pages: DataFrame) -> DataFrame:
     return stage(parsed.groupBy("host", "page").agg(F.first("found").alias("found")).select("host", "page", "found.*"), "html-subtrees")
 
 
-def recurring(units: DataFrame, least: int, share: float) -> DataFrame:
-    """host, subtree: what stands in enough of the ``units`` (host, subtrees) of its host."""
+def recurring(units: DataFrame, least: int, share: float, many: int | None = None) -> DataFrame:
+    """host, subtree: what stands in ``many`` of the ``units`` (host, subtrees) of its host, or in ``least`` and a share of them."""
     sizes = units.groupBy("host").agg(F.count("*").alias("units"))
     counted = units.select("host", F.explode("subtrees").alias("subtree")).groupBy("host", "subtree").agg(F.count("*").alias("n"))
     often = counted.filter(F.col("n") >= least).join(sizes, "host")
-    return often.filter(F.col("n") >= F.col("units") * share).select("host", "subtree")
+    wanted = F.col("units") * share if many is None else F.least(F.col("units") * share, F.lit(many))
+    return often.filter(F.col("n") >= wanted).select("host", "subtree")
 
 
 def template_rows(once: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
@@ -371,7 +374,7 @@ def template_rows(once: DataFrame, min_pages: int = MIN_PAGES, min_share: float
 
     Copies of a page are one page here, so a page copied many times is no template, and copies of an article are one.
     """
-    outer = recurring(once.select("host", F.col("outer").alias("subtrees")), min_pages, min_share)
+    outer = recurring(once.select("host", F.col("outer").alias("subtrees")), min_pages, min_share, MANY_PAGES)
     articles = once.select("host", F.explode("articles").alias("hashes"))
     articles = articles.groupBy("host", F.col("hashes")[0].alias("article")).agg(F.first("hashes").alias("hashes"))
     inner = articles.select("host", F.slice("hashes", F.lit(2), F.size("hashes")).alias("subtrees"))

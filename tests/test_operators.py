@@ -317,6 +317,21 @@ def test_banner_cache(spark, rows):
     assert sorted(r.mx_host for r in banners.banner_worklist(hosts, cache, now).collect()) == ["b", "z"]
 
 
+def test_suffix_rules_of_any_length_take_two_joins_and_no_job(rows, spark):
+    long = ".".join(f"l{k}" for k in range(12)) + ".com"
+    suffixes = rows("suffix string", ("com",), (long,), ("*." + long,), ("!a." + long,), ("b.com",))
+    hosts = rows("domain string", ("x.com",), ("y.x.b.com",), (long,), ("q." + long,), ("p.q." + long,), ("z.a." + long,), ("1.2.3.4",), ("",), (None,))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    out = with_registered_domain(hosts, suffixes)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not tracker.getJobIdsForGroup("planning") and plan.count("Join ") == 2
+    spark.sparkContext.setJobGroup("tests", "tests")
+    got = {r["domain"]: r["registered_domain"] for r in out.collect()}
+    assert got == {"x.com": "x.com", "y.x.b.com": "x.b.com", long: long, "q." + long: "q." + long, "p.q." + long: "p.q." + long,
+                   "z.a." + long: "a." + long, "1.2.3.4": "1.2.3.4", "": "", None: ""}
+
+
 def test_registered_domain_of_long_and_wild_rules(rows):
     suffixes = rows("suffix string", ("cn",), ("com.cn",), ("s3.dualstack.cn-north-1.amazonaws.com.cn",), ("*.CK",), ("!www.ck",), (None,), ("",))
     hosts = ["x.b.s3.dualstack.cn-north-1.amazonaws.com.cn", "a.b.c.ck", "b.www.ck", "ck", "c.ck"]

@@ -6,6 +6,8 @@ holds.  Sinks and checkpoints lie in the shared folder that the cluster names.
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import functions as F
 
 from workload.inputs import listed, load, observations, suffixes
@@ -14,7 +16,8 @@ from workload.q_observations import HISTORY_SQL
 from workload.q_plans import SCORED_SQL
 from workload.registry import query
 from zonelens.session import shared_dir
-from zonelens.streaming import jobs, sinks
+from zonelens.sources import readers
+from zonelens.streaming import jobs, ordered, sinks
 
 
 def _drain(spark, df, purpose):
@@ -41,7 +44,7 @@ def stream_change(spark, sf):
     return _drain(spark, jobs.change_detect(observations(spark, sf, ("events",))), "change")
 
 
-@query("stream_ttl", """
+_TTL_SQL = """
     WITH RECURSIVE o AS (SELECT rtype, name, epoch_us(observed_ts) AS ts_us, rcode, answers_txt, ttl::BIGINT AS ttl,
             row_number() OVER (PARTITION BY rtype, name ORDER BY observed_ts) AS rn FROM obs),
         served AS (SELECT rtype, name, rn, ts_us, rcode, answers_txt, ttl, ts_us AS stored_us, FALSE AS from_cache FROM o WHERE rn = 1
@@ -54,13 +57,50 @@ def stream_change(spark, sf):
                 o.ts_us - s.stored_us < s.ttl * 1000000
             FROM served s JOIN o ON s.rtype = o.rtype AND s.name = o.name AND o.rn = s.rn + 1)
     SELECT rtype, name, ts_us, rcode, from_cache, ts_us - stored_us AS age_us,
-        CASE WHEN answers_txt = '' THEN 0 ELSE len(string_split(answers_txt, '|')) END::INT AS n_answers FROM served""", "obs")
+        CASE WHEN answers_txt = '' THEN 0 ELSE len(string_split(answers_txt, '|')) END::INT AS n_answers FROM served"""
+
+
+@query("stream_ttl", _TTL_SQL, "obs")
 def stream_ttl(spark, sf):
     out = _drain(spark, jobs.ttl_state(observations(spark, sf, ("events",))), "ttl")
     n = F.size(F.from_json("answers_json", "array<string>")).alias("n_answers")
     return out.select("rtype", "name", "ts_us", "rcode", "from_cache", "age_us", n)
 
 
+def _disordered(spark, sf, purpose):
+    """The observations as a stream of eight files: a row arrives up to 36 hours after its time, and a mark closes the last file.
+
+    Names come in other spellings, as resolvers give them.
+    """
+    rows = load(spark, sf, "obs")
+    late = F.make_interval(hours=F.col("event_id") % 7 * 6)
+    name = F.when(F.col("event_id") % 2 == 0, F.concat(F.upper("name"), F.lit("."))).otherwise(F.col("name"))
+    rows = rows.withColumns({"name": name, "answers": listed("answers_txt"), "observed_ts": F.col("observed_ts").cast("timestamp")})
+    rows = rows.withColumn("arrival", F.col("observed_ts") + late)
+    ends = rows.agg(F.min("arrival").alias("first"), F.max("arrival").alias("last")).first()
+    path = f"{shared_dir(spark, purpose)}/in"
+    columns = ["name", "rtype", "rcode", "answers", "ttl", "observed_ts"]
+    step = (ends["last"] - ends["first"]) / 8
+    for k in range(8):
+        low, high = ends["first"] + k * step, ends["first"] + (k + 1) * step
+        inside = (F.col("arrival") >= F.lit(low)) & ((F.col("arrival") < F.lit(high)) if k < 7 else F.lit(True))
+        rows.filter(inside).select(*columns).coalesce(1).write.mode("append").parquet(path)
+    ordered.closing_mark(spark, datetime(2100, 1, 1, tzinfo=timezone.utc)).select(*columns).coalesce(1).write.mode("append").parquet(path)
+    return readers.read_observation_stream(spark, path, files_per_trigger=1)
+
+
+@query("stream_change_disorder", HISTORY_SQL, "obs")
+def stream_change_disorder(spark, sf):
+    return _drain(spark, ordered.changes(_disordered(spark, sf, "change-in"), "2 days"), "change")
+
+
+@query("stream_ttl_expiry", _TTL_SQL, "obs")
+def stream_ttl_expiry(spark, sf):
+    out = _drain(spark, ordered.ttl_answers(_disordered(spark, sf, "ttl-in"), "2 days"), "ttl")
+    n = F.size(F.from_json("answers_json", "array<string>")).alias("n_answers")
+    return out.select("rtype", "name", "ts_us", "rcode", "from_cache", "age_us", n)
+
+
 def _signature_stream(spark, sf):
     obs = load(spark, sf, "obs", ("events",))
     kind = F.col("event_id")
@@ -138,6 +178,39 @@ def stream_entity_edges(spark, sf):
     )
 
 
+def _merged(spark, sf, purpose):
+    """Sightings in eight files, one a trigger, merged into tables that are compacted every three batches."""
+    obs = _disordered(spark, sf, f"{purpose}-in").filter("rtype = 'A' AND size(answers) > 0")
+    sightings = obs.select(
+        F.col("name").alias("domain"), F.explode("answers").alias("ip"), F.lit("A").alias("edge_type"), F.col("observed_ts").alias("seen_ts")
+    )
+    sightings = sightings.withColumn("domain", F.rtrim("domain", F.lit(".")))
+    base = shared_dir(spark, purpose)
+    jobs.merge_entities(sightings, f"{base}/out", f"{base}/checkpoint", compact_every=3)
+    return f"{base}/out"
+
+
+@query("stream_nodes_merged", f"""
+    WITH {_SEEN}, n AS (SELECT 'domain' AS kind, domain AS key, observed_ts FROM s UNION ALL SELECT 'ip', ip, observed_ts FROM s)
+    SELECT kind, key, epoch_us(min(observed_ts)) AS first_us, epoch_us(max(observed_ts)) AS last_us FROM n GROUP BY kind, key""",
+       "obs")
+def stream_nodes_merged(spark, sf):
+    out = jobs.merged_nodes(spark, _merged(spark, sf, "nodes-merged"))
+    return out.select(
+        "kind", "key", F.unix_micros("first_seen_ts").alias("first_us"), F.unix_micros("last_seen_ts").alias("last_us")
+    )
+
+
+@query("stream_edges_merged", f"""
+    WITH {_SEEN} SELECT domain, ip, 'A' AS edge_type, epoch_us(min(observed_ts)) AS first_us, epoch_us(max(observed_ts)) AS last_us
+    FROM s GROUP BY domain, ip""", "obs")
+def stream_edges_merged(spark, sf):
+    out = jobs.merged_edges(spark, _merged(spark, sf, "edges-merged"))
+    return out.select(
+        "domain", "ip", "edge_type", F.unix_micros("first_seen_ts").alias("first_us"), F.unix_micros("last_observed_ts").alias("last_us")
+    )
+
+
 @query("stream_retry", """
     SELECT domain, CASE WHEN status <> 'needs_retry' THEN 'done' WHEN o_orderkey % 3 = 0 THEN 'queued' ELSE 'used_up' END AS part,
         cast(CASE WHEN status <> 'needs_retry' THEN o_orderkey % 3 ELSE o_orderkey % 3 + 1 END AS integer) AS attempt FROM records""",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from zonelens.functions.identity import dns_signature
-from zonelens.operators.resolve import KEY, latest_observation
+from zonelens.operators.resolve import KEY, latest_observation, normal_names
 
 ZONE_TYPES = ("NS", "SOA")
 TTL_DROP = 0.5  # a TTL that fell to half of the earlier one, or below, counts as a big drop
@@ -84,14 +84,15 @@ def with_previous(
     return joined.withColumn("prev", F.coalesce("__inside", "__before")).drop("__inside", "__before", "__slot")
 
 
-def payload_order(payload: Sequence[str]) -> list[str]:
-    """Columns that break ties in time."""
-    return [c for c in payload if c in ("rcode", "ttl", "answers")]
+def payload_order(payload: Sequence[str]) -> list[Column]:
+    """What breaks ties in time, as :func:`zonelens.operators.resolve.newest_order` does: outcome, lifetime, sorted answers."""
+    known = {"rcode": F.col("rcode"), "ttl": F.col("ttl"), "answers": F.array_sort("answers")}
+    return [known[c] for c in known if c in payload] + [F.col(c) for c in ("answers",) if c in payload]
 
 
 def change_history(obs: DataFrame, slot: str = "day") -> DataFrame:
     """Every observation that differs from the one before it for its key; the first one counts as new (I3, batch)."""
-    seen = with_previous(obs, ["rcode", "answers", "ttl"], slot=slot)
+    seen = with_previous(normal_names(obs), ["rcode", "answers", "ttl"], slot=slot)
     new_key = F.col("prev").isNull()
     changed = new_key | differs(F.col("rcode"), F.col("answers"), F.col("prev.rcode"), F.col("prev.answers"))
     return seen.withColumns({"is_new": new_key, "prev_rcode": F.col("prev.rcode")}).filter(changed).drop("prev")

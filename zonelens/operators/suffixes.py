@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonelens.functions.hosts import strip_dots
 from zonelens.functions.ips import is_ipv4
 
+
 def suffix_rules(suffixes: DataFrame) -> DataFrame:
     """body, plain, wild, except: list rules by the name they are about.
 
@@ -26,24 +27,31 @@ def with_registered_domain(
 ) -> DataFrame:
     """Suffix plus one label, and the last label of the suffix.
 
-    One left join for every label count that the suffix table has, on "the last k labels" of the host: the rule with
-    most labels wins, and an exception outranks every other rule.  A suffix list is small, so Catalyst turns each join
-    into a hash probe and the hosts are never shuffled, however unevenly they spread over the suffixes.
+    Two left joins, whatever the length of the rules, and no job while planning: rules of one label are joined by the
+    last label, all others by their last two labels, where they are lists of a few rules that end alike.  The rule with
+    most labels wins, and an exception outranks every other rule.  A suffix list is small, so Catalyst turns the joins
+    into hash probes and the hosts are never shuffled, however unevenly they spread over the suffixes.
     """
-    rules = suffix_rules(suffixes)
-    most = rules.agg(F.max(F.size(F.split("body", r"\."))).alias("k")).first()["k"] or 0
+    rules = suffix_rules(suffixes).withColumn("n", F.size(F.split("body", r"\.")))
+    flags = ("plain", "wild", "except")
+    single = rules.filter("n = 1").select(F.col("body").alias("__one"), *[F.col(x).alias(f"__{x}") for x in flags])
+    longer = rules.filter("n > 1").groupBy(F.substring_index("body", ".", -2).alias("__two"))
+    longer = longer.agg(F.collect_list(F.struct("body", "n", *flags)).alias("__rules"))
     name = F.lower(F.ltrim(strip_dots(F.coalesce(F.col(host), F.lit(""))), F.lit(".")))
     out = df.withColumn("__h", name).withColumn("__n", F.size(F.split("__h", r"\.")))
-    exceptions, found = [], [F.lit(0)]
-    for k in range(most, 0, -1):
-        tail = F.when(F.col("__n") >= k, F.substring_index("__h", ".", -k))
-        side = rules.select(F.col("body").alias(f"__b{k}"), *[F.col(x).alias(f"__{x}{k}") for x in ("plain", "wild", "except")])
-        out = out.withColumn("__key", tail).join(side, F.col("__key") == F.col(f"__b{k}"), "left")
-        exceptions.append(F.when(F.col(f"__except{k}"), F.lit(k - 1)))
-        found.append(F.when(F.col(f"__plain{k}"), F.lit(k)))
-        found.append(F.when(F.col(f"__wild{k}") & (F.col("__n") > k), F.lit(k + 1)))
-    longest = F.greatest(*found) if len(found) > 1 else found[0]
-    out = out.withColumn("__k", F.coalesce(*exceptions, longest))
+    out = out.join(single, F.substring_index("__h", ".", -1) == F.col("__one"), "left")
+    out = out.join(longer, F.when(F.col("__n") > 1, F.substring_index("__h", ".", -2)) == F.col("__two"), "left")
+    # Bodies end with the same two labels, so a body is a tail of the host if it is all of it or stands after a dot.
+    at_end = F.filter("__rules", lambda r: (F.col("__h") == r["body"]) | F.endswith(F.col("__h"), F.concat(F.lit("."), r["body"])))
+    out = out.withColumn("__rules", at_end)
+
+    def most(kind: str, below: Column | None = None) -> Column:
+        held = F.filter("__rules", lambda r: r[kind] & (F.lit(True) if below is None else r["n"] < below))
+        one = F.when(F.col(f"__{kind}") & (F.lit(True) if below is None else F.lit(1) < below), F.lit(1))
+        return F.coalesce(F.array_max(F.transform(held, lambda r: r["n"])), one)
+
+    longest = F.greatest(F.lit(0), most("plain"), most("wild", F.col("__n")) + 1)
+    out = out.withColumn("__k", F.coalesce(most("except") - 1, longest))
     whole = F.col("__h")
     registered = (
         F.when(whole == "", F.lit(""))

@@ -16,21 +16,21 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from zonelens.functions.identity import dns_signature, entity_id, entity_key
 from zonelens.operators.change import is_active
 from zonelens.operators.penalty import penalty_measures, penalty_verdict
-from zonelens.operators.resolve import KEY, retry_parts
+from zonelens.operators.resolve import KEY, normal_names, retry_parts
 from zonelens.plans.scored import scored_hosts
-from zonelens.streaming.sinks import each_batch
+from zonelens.streaming.sinks import COMPACT_EVERY, each_batch, merge_batch, merged_table
 
 
 def dedupe_lookups(obs: DataFrame, horizon: str = "1 hour", keys: Sequence[str] = KEY) -> DataFrame:
     """One row per key within the horizon; rows behind the watermark are dropped."""
-    timed = obs.withColumn("observed_ts", F.col("observed_ts").cast("timestamp"))
+    timed = normal_names(obs).withColumn("observed_ts", F.col("observed_ts").cast("timestamp"))
     return timed.withWatermark("observed_ts", horizon).dropDuplicatesWithinWatermark(list(keys))
 
 
 def _compact(obs: DataFrame) -> DataFrame:
     """Observation columns that the state functions need; answers as sorted JSON text, time in microseconds."""
     answers = F.sort_array(F.coalesce("answers", F.array().cast("array<string>")))
-    return obs.select(
+    return normal_names(obs).select(
         *KEY,
         F.coalesce("rcode", F.lit("")).alias("rcode"),
         F.to_json(answers).alias("answers_json"),
@@ -40,15 +40,16 @@ def _compact(obs: DataFrame) -> DataFrame:
 
 
 def ttl_state(obs: DataFrame) -> DataFrame:
-    """Answer every lookup from the last stored answer while that is valid, else store the new one.
+    """Answer lookups as they arrive from the last stored answer while that is valid, else store the new one.
 
-    Output per observation: the answer served, where it came from, and its age.
+    Output per observation that is not older than the state: the answer served, where it came from, and its age.
+    :func:`zonelens.streaming.ordered.ttl_answers` waits for late rows instead and removes state that has expired.
     """
     schema = "rtype string, name string, ts_us bigint, rcode string, answers_json string, from_cache boolean, age_us bigint"
     state_schema = "rcode string, answers_json string, ttl bigint, ts_us bigint"
 
     def serve(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(chunks)).sort_values(["ts_us", "rcode", "answers_json"], kind="stable")
+        rows = pd.concat(list(chunks)).sort_values(["ts_us", "rcode", "ttl", "answers_json"], kind="stable")
         stored = tuple(state.get) if state.exists else None
         out = []
         for rcode, answers, ttl, ts in zip(rows.rcode, rows.answers_json, rows.ttl, rows.ts_us):
@@ -71,12 +72,15 @@ def ttl_state(obs: DataFrame) -> DataFrame:
 
 
 def change_detect(obs: DataFrame) -> DataFrame:
-    """Observations that differ from the one before for their key."""
+    """Observations, in the order of their arrival, that differ from the one before for their key.
+
+    :func:`zonelens.streaming.ordered.changes` puts late rows in their place instead.
+    """
     schema = "rtype string, name string, ts_us bigint, rcode string, prev_rcode string, is_new boolean"
     state_schema = "rcode string, answers_json string, ts_us bigint"
 
     def compare(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(chunks)).sort_values(["ts_us", "rcode", "answers_json"], kind="stable")
+        rows = pd.concat(list(chunks)).sort_values(["ts_us", "rcode", "ttl", "answers_json"], kind="stable")
         last = tuple(state.get) if state.exists else None
         out = []
         for rcode, answers, ts in zip(rows.rcode, rows.answers_json, rows.ts_us):
@@ -187,6 +191,38 @@ def entity_edges(edges: DataFrame) -> DataFrame:
     return rows.groupBy(*keys).agg(F.min(seen).alias("first_seen_ts"), F.max(seen).alias("last_observed_ts"))
 
 
+# Keys and folded columns of the merged entity tables.
+SEEN = {"first_seen_ts": F.min, "last_seen_ts": F.max}
+EDGE_SEEN = {"first_seen_ts": F.min, "last_observed_ts": F.max}
+NODE_KEYS = ("kind", "id", "key")
+EDGE_KEYS = ("domain", "ip", "edge_type")
+
+
+def merge_entities(sightings: DataFrame, path: str, checkpoint: str, compact_every: int = COMPACT_EVERY) -> None:
+    """Merge arriving sightings into a node and an edge table below ``path``.
+
+    No state is kept between batches but the tables; a batch that runs again changes nothing.
+    """
+
+    def add(batch: DataFrame, number: int) -> None:
+        merge_batch(entity_nodes(batch), number, f"{path}/nodes", NODE_KEYS, SEEN, compact_every)
+        merge_batch(entity_edges(batch), number, f"{path}/edges", EDGE_KEYS, EDGE_SEEN, compact_every)
+
+    each_batch(sightings, add, checkpoint)
+
+
+def merged_nodes(spark: SparkSession, path: str) -> DataFrame:
+    """The merged node table."""
+    schema = "kind string, id bigint, key string, first_seen_ts timestamp, last_seen_ts timestamp"
+    return merged_table(spark, f"{path}/nodes", schema, NODE_KEYS, SEEN)
+
+
+def merged_edges(spark: SparkSession, path: str) -> DataFrame:
+    """The merged edge table."""
+    schema = "domain string, ip string, edge_type string, first_seen_ts timestamp, last_observed_ts timestamp"
+    return merged_table(spark, f"{path}/edges", schema, EDGE_KEYS, EDGE_SEEN)
+
+
 def retry_requeue(records: DataFrame, out: str, checkpoint: str, retry_limit: int = 1) -> None:
     """Split arriving records into done, queued for another attempt, and used up, in one write per batch.
 

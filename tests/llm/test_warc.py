@@ -78,6 +78,21 @@ def test_stored_member_hides_a_whole_record():
     assert [o for o, _, _ in warc.records_in(Source(b"\x1f\x8b" + member), len(member) + 2, 0, len(member))] == [2]
 
 
+def test_headers_of_any_length(rows):
+    import random
+
+    rng = random.Random(5)
+    url = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=3_000_000))
+    pages = rows("page_id long, url string, html string", (1, "u", "one"), (2, url, "two"), (3, "u", "three"))
+    assert sorted((warc.page_of(r.record_id), len(r.target_uri)) for r in warc.round_trip(pages).collect()) == [("1", 1), ("2", 3_000_000), ("3", 1)]
+
+
+def test_files_that_lost_records_are_told(rows):
+    manifest = rows("path string, bytes long, records long", ("a", 1, 2), ("b", 1, 1), ("c", 1, 3))
+    read = rows("path string", ("a",), ("a",), ("b",), ("b",))
+    assert sorted(map(tuple, warc.differing(manifest, read).collect())) == [("b", 1, 2), ("c", 3, 0)]
+
+
 def test_ids():
     assert warc.page_of(warc.id_of("a b/é", "")) == "a b/é" and warc.page_of(warc.id_of(None, "x")) is None and warc.page_of(None) is None
 

@@ -41,8 +41,6 @@ LEVEL = 4
 FILE_BYTES = 256 << 20
 RANGE_BYTES = 8 << 20
 BLOCK = 1 << 18
-# A candidate whose first bytes do not show a whole header by then is none.
-MOST_HEADER = 1 << 20
 DATE = "2024-01-01T00:00:00Z"
 MIN_REVISIT = 100
 # Fixed value: the profile that the format names for revisits of equal payloads.
@@ -165,7 +163,7 @@ def member_at(window: Window, offset: int) -> tuple[dict[str, str], bytes, int]
         return None
     unpack = zlib.decompressobj(31)
     parts: list[bytes] = []
-    head = b""
+    head = bytearray()
     fields = None
     at = offset
     try:
@@ -177,16 +175,17 @@ def member_at(window: Window, offset: int) -> tuple[dict[str, str], bytes, int]
             got = unpack.decompress(data)
             at += len(data)
             if fields is None:
+                seen = max(0, len(head) - 3)
                 head += got
-                cut = head.find(b"\r\n\r\n")
+                cut = head.find(b"\r\n\r\n", seen)
                 if cut < 0:
-                    if not b"WARC/1.".startswith(head[:7]) or len(head) > MOST_HEADER:
+                    if not b"WARC/1.".startswith(head[:7]):
                         return None
-                    continue
-                fields = header_of(head[: cut + 2])
+                    continue  # a header has no greatest length
+                fields = header_of(bytes(head[: cut + 2]))
                 if fields is None:
                     return None
-                got = head[cut + 4 :]
+                got = bytes(head[cut + 4 :])
             parts.append(got)
     except zlib.error:
         return None
@@ -287,9 +286,24 @@ def archive_files(spark: SparkSession, pattern: str) -> DataFrame:
 
 
 def round_trip(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", min_revisit: int = MIN_REVISIT) -> DataFrame:
-    """Write archives to a fresh shared folder and read their records back, without payloads."""
+    """Write archives to a fresh shared folder and read their records back, without payloads.
+
+    An error if the records read from a file are not as many as were written to it.
+    """
     folder = shared_dir(pages.sparkSession, "warc")
-    return read_archives(write_archives(pages, folder, page_id, url, html, min_revisit), with_payload=False)
+    manifest = write_archives(pages, folder, page_id, url, html, min_revisit)
+    read = stage(read_archives(manifest, with_payload=False), "warc-read")
+    missing = differing(manifest, read).limit(3).collect()
+    if missing:
+        raise ValueError(f"records written and read differ: {missing}")
+    return read
+
+
+def differing(manifest: DataFrame, read: DataFrame) -> DataFrame:
+    """path, records, found: the files of a manifest from which another number of records was read."""
+    found = read.groupBy("path").agg(F.count("*").alias("found"))
+    both = manifest.join(found, "path", "left").select("path", "records", F.coalesce("found", F.lit(0)).alias("found"))
+    return both.filter(F.col("records") != F.col("found"))
 
 
 def page_ids(spark: SparkSession, kind: T.DataType):

@@ -32,6 +32,27 @@ def test_viterbi_equals_all_paths():
         assert worth(L.viterbi(scores, penalty)) == pytest.approx(best, abs=1e-4)
 
 
+def test_viterbi_is_exact_where_the_best_language_is_second_everywhere():
+    scores = np.array([[0, -3, -9]] * 3 + [[-9, -3, 0]] * 3, np.float32)
+    assert list(L.viterbi(scores, 8.0)) == [0, 0, 0, 2, 2, 2]
+    rng = np.random.default_rng(2)
+    for k in range(10_000):
+        n, langs, penalty = int(rng.integers(1, 9)), int(rng.integers(2, 5)), float(rng.choice([1, 4, 8]))
+        scores = rng.integers(-9, 1, (n, langs)).astype(np.float32)
+        value = scores[0].astype(float)
+        for t in range(1, n):
+            value = np.maximum(value, value.max() - penalty) + scores[t]
+        path = L.viterbi(scores, penalty)
+        worth = scores[np.arange(n), path].sum() - penalty * (np.diff(path) != 0).sum()
+        assert worth == value.max(), k
+
+
+def test_spans_end_at_the_last_letter(model):
+    text = "  " + SAID["en"] + " 12 ... "
+    (start, end, lang), = L.label(L.Words(model), text)[2]
+    assert lang == "en" and start == 2 and text[start:end].strip(" .!?0123456789") == text[start:end]
+
+
 def test_languages_and_spans(model):
     assert model.langs == ["de", "en", "ru"]
     words = L.Words(model)

@@ -200,8 +200,10 @@ def viterbi(scores: np.ndarray, penalty: float = SWITCH) -> np.ndarray:
     best = int(total.argmax())
     gain = np.cumsum(scores - scores[:, best : best + 1], axis=0, dtype=np.float64)
     low = np.minimum.accumulate(np.vstack([np.zeros((1, langs)), gain[:-1]]), axis=0)
-    if ((gain - low).max(initial=0.0)) <= penalty:
-        # No other language gains a penalty over any stretch, so no path with switches is better than this one.
+    # A path that visits the best language pays a switch for every stretch of another one.  A path that never does pays
+    # one switch less than it has stretches, of which one begins and one ends the text.
+    ends = gain[:-1].max() + (gain[-1] - gain[:-1].min(axis=0)).max() if n > 1 else 0.0
+    if max((gain - low).max(initial=0.0), ends) <= penalty:
         return np.full(n, best, dtype=np.int16)
     value = scores[0].astype(np.float64)
     back = np.zeros((n, langs), dtype=np.int16)
@@ -246,7 +248,7 @@ def label(words: Words, text: str | None) -> tuple[str, float, list[tuple[int, i
         for a, b in zip([0, *turns], [*turns, len(path)], strict=True):
             spans.append((places[a][0], places[b - 1][1], model.langs[path[a]]))
     else:
-        spans.append((LETTERS.search(text).start(), len(text), model.langs[best]))
+        spans.append((LETTERS.search(text).start(), text.rfind(found[-1]) + len(found[-1]), model.langs[best]))
     return model.langs[best], float(held[best] / weight.sum() * sure), spans
 
 

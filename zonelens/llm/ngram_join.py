@@ -9,8 +9,8 @@
    rest is verified on complete sets, which are made from the texts of just those classes.
 
 Crowded postings are worked off in rounds, so that no group's pairs are all written out.  In a round the first
-``pivots`` groups of every posting list (those that hold the shingle earliest, which are the most central ones) are paired
-with the others; links collapse into components; lists with more pivots to come go on with eight times as many,
+``pivots`` groups of every posting list are paired with the others (groups come in one order everywhere, those that share
+most prefix shingles with others first, so the lists of a crowd agree on its most central groups); links collapse into components; lists with more pivots to come go on with eight times as many,
 but only between groups that are still in different components.  A pair that is never verified is therefore always
 joined by other links already, and the components are exact.  The same holds for the members of a group.
 
@@ -26,6 +26,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -41,8 +42,10 @@ PERCENT = 90
 BUCKETS = 1 << 18
 # 64-bit words of a parity bitmap.
 PARITY = 16
-PIVOTS = 16
+PIVOTS = 1
 GROWTH = 8
+# Bits of the filter that thins the texts before they are shuffled; more texts than that only pass more often.
+FILTER_BITS = 1 << 24
 # Words whose hashes a worker remembers before it starts anew.
 REMEMBERED = 200_000
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -111,7 +114,11 @@ def parity(shingles: np.ndarray) -> np.ndarray:
 
 
 def with_sets(docs: DataFrame, counts: np.ndarray, size: int, percent: int) -> DataFrame:
-    """id, text keys, n, digest of the set (d1, d2), ordered prefix and parity bitmap of every document."""
+    """id, text keys, n, digest of the set (d1, d2), ordered prefix, its weight and parity bitmap of every document.
+
+    The weight, how often the shingles of the prefix occur in all, is high for sets in the middle of a crowd, which have
+    no rare shingles of their own.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(counts)
     kept = [f for f in docs.schema.fields if f.name != "text"]
     names = [f.name for f in kept]
@@ -119,38 +126,63 @@ def with_sets(docs: DataFrame, counts: np.ndarray, size: int, percent: int) -> D
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
-            ns, firsts, seconds, prefixes, bits = [], [], [], [], []
+            ns, firsts, seconds, prefixes, bits, weights = [], [], [], [], [], []
             for text in batch.column("text"):
                 found = shingles_of(text.as_py(), size, known)
                 digest = np.frombuffer(xxhash.xxh3_128_digest(found.tobytes()), "<i8")
                 length = prefix_length(len(found), percent)
-                ordered = found[np.argsort(sent.value[bucket_of(found)], kind="stable")[:length]] if length else found[:0]
+                often = sent.value[bucket_of(found)]
+                first = np.argsort(often, kind="stable")[:length]
+                ordered = found[first]
+                weights.append(int(often[first].sum()))
                 ns.append(len(found))
                 firsts.append(digest[0])
                 seconds.append(digest[1])
                 prefixes.append(ordered.view(np.int64))
                 bits.append(parity(found))
-            added = [pa.array(ns, pa.int64()), pa.array(firsts, pa.int64()), pa.array(seconds, pa.int64())]
+            added = [pa.array(x, pa.int64()) for x in (ns, firsts, seconds, weights)]
             added += [pa.array(x, pa.list_(pa.int64())) for x in (prefixes, bits)]
-            yield pa.RecordBatch.from_arrays([batch.column(x) for x in names] + added, [*names, "n", "d1", "d2", "prefix", "bits"])
+            yield pa.RecordBatch.from_arrays([batch.column(x) for x in names] + added, [*names, "n", "d1", "d2", "weight", "prefix", "bits"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    return docs.mapInArrow(describe, f"{kinds}, n long, d1 long, d2 long, prefix array<long>, bits array<long>")
+    return docs.mapInArrow(describe, f"{kinds}, n long, d1 long, d2 long, weight long, prefix array<long>, bits array<long>")
 
 
 def sets_of(texts: DataFrame, size: int) -> DataFrame:
-    """The digest and the whole set of every text."""
+    """The whole set of every text: cls, shingles."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
-            for text in batch.column("text"):  # one set at a time, whatever its length
-                found = shingles_of(text.as_py(), size, known)
-                digest = np.frombuffer(xxhash.xxh3_128_digest(found.tobytes()), "<i8")
-                cells = [pa.array([digest[0]], pa.int64()), pa.array([digest[1]], pa.int64())]
-                yield pa.RecordBatch.from_arrays([*cells, pa.array([found.view(np.int64)], pa.list_(pa.int64()))], ["d1", "d2", "shingles"])
+            for cls, text in zip(batch.column("cls"), batch.column("text"), strict=True):  # one set at a time
+                found = shingles_of(text.as_py(), size, known).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([cls.as_py()], pa.int64()), pa.array([found], pa.list_(pa.int64()))], ["cls", "shingles"])
+
+    return texts.select("cls", "text").mapInArrow(make, "cls long, shingles array<long>")
+
+
+def with_text(asked: DataFrame, docs: DataFrame) -> DataFrame:
+    """Add the texts of the asked keys (k1, k2); a filter of a fixed size keeps the other texts out of the shuffle."""
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(FILTER_BITS, bool)
+        for batch in batches:
+            held[batch.column(0).to_numpy() % FILTER_BITS] = True
+        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(held).tobytes()], pa.binary())], ["bits"])
+
+    total = np.zeros(FILTER_BITS // 8, np.uint8)
+    for row in asked.select("k1").coalesce(16).mapInArrow(build, "bits binary").toLocalIterator():
+        total |= np.frombuffer(row["bits"], np.uint8)
+    sent = docs.sparkSession.sparkContext.broadcast(total)
+
+    @F.pandas_udf("boolean")
+    def maybe(keys: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        held = np.unpackbits(sent.value).astype(bool)
+        for k in keys:
+            yield pd.Series(held[k.to_numpy() % FILTER_BITS])
 
-    return texts.select("text").mapInArrow(make, "d1 long, d2 long, shingles array<long>")
+    some = docs.filter(maybe("k1")).join(asked.select("k1", "k2").distinct(), ["k1", "k2"], "left_semi")
+    return asked.join(some.groupBy("k1", "k2").agg(F.any_value("text").alias("text")), ["k1", "k2"])
 
 
 def least_overlap(total: Column, percent: int) -> Column:
@@ -162,15 +194,16 @@ def least_overlap(total: Column, percent: int) -> Column:
 def group_pairs(postings: DataFrame, pivots: int, percent: int) -> DataFrame:
     """g, h, and the place of g among the pivots: pairs of groups of different components that could link.
 
-    ``postings`` has token, gid, n, pos, low and high (the least and greatest component of the group's members).
+    ``postings`` has token, gid, n, pos, turn (the order of the groups), low and high (the least and greatest component
+    of the group's members).
     """
-    place = F.row_number().over(Window.partitionBy("token").orderBy("pos", "gid"))
+    place = F.row_number().over(Window.partitionBy("token").orderBy("turn"))
     first = postings.withColumn("place", place).filter(F.col("place") <= pivots)
-    first = first.select("token", "place", *[F.col(c).alias(f"p_{c}") for c in ("gid", "n", "pos", "low", "high")])
+    # Written, so that the join below can split a crowded list, which it could not together with the window.
+    first = stage(first.select("token", "place", *[F.col(c).alias(f"p_{c}") for c in ("gid", "n", "pos", "turn", "low", "high")]), "ngram-pivots")
     room = F.least(F.col("n") - F.col("pos"), F.col("p_n") - F.col("p_pos"))
     apart = ~((F.col("low") == F.col("high")) & (F.col("p_low") == F.col("p_high")) & (F.col("low") == F.col("p_low")))
-    later = F.struct("pos", "gid") > F.struct(F.col("p_pos").alias("pos"), F.col("p_gid").alias("gid"))
-    found = postings.join(first, "token").filter(later & apart & (room >= least_overlap(F.col("n") + F.col("p_n"), percent)))
+    found = postings.join(first, "token").filter((F.col("turn") > F.col("p_turn")) & apart & (room >= least_overlap(F.col("n") + F.col("p_n"), percent)))
     return found.groupBy(F.col("p_gid").alias("g"), F.col("gid").alias("h")).agg(F.min("place").alias("place"))
 
 
@@ -199,11 +232,8 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, p
     if close.isEmpty():
         return close.select("a", "b")
     asked = close.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    asked = stage(classes.join(asked, "cls", "left_semi").select("cls", "k1", "k2", "d1", "d2"), "ngram-asked")
-    texts = docs.join(asked.select("k1", "k2").distinct(), ["k1", "k2"], "left_semi").groupBy("k1", "k2").agg(F.any_value("text").alias("text"))
-    whole = asked.join(sets_of(texts, size), ["d1", "d2"]).select("cls", "shingles")
-    # Two texts of one class have the same set; a class asks for one text only.
-    whole = stage(whole, "ngram-sets")
+    asked = stage(classes.join(asked, "cls", "left_semi").select("cls", "k1", "k2"), "ngram-asked")
+    whole = stage(sets_of(with_text(asked, docs), size), "ngram-sets")
     left, right = (whole.select(F.col("cls").alias(c), F.col("shingles").alias(f"{c}_set")) for c in ("a", "b"))
     shared = F.size(F.array_intersect("a_set", "b_set"))
     linked = close.join(left, "a").join(right, "b").filter(shared >= least_overlap(F.col("total"), percent))
@@ -218,10 +248,13 @@ def class_components(classes: DataFrame, docs: DataFrame, size: int, percent: in
     grouped = classes.filter(F.size("prefix") > 0).withColumns({"g1": F.xxhash64("prefix"), "g2": F.xxhash64(F.lit(1), "prefix")})
     groups = grouped.groupBy("n", "g1", "g2").agg(F.min("cls").alias("gid"))
     members = stage(grouped.select("cls", "n", "g1", "g2").join(groups, ["n", "g1", "g2"]).select("cls", "gid"), "ngram-members")
-    postings = grouped.join(groups.select("gid"), F.col("cls") == F.col("gid"), "left_semi")
-    postings = postings.select(F.col("cls").alias("gid"), "n", F.posexplode("prefix").alias("pos", "token"))
+    # Few classes share a prefix and size, so the classes without postings are the short list.
+    spared = stage(members.filter(F.col("cls") != F.col("gid")).select("cls"), "ngram-spared")
+    postings = grouped.join(spared, "cls", "left_anti")
+    turn = F.struct((-F.col("weight")).alias("weight"), F.col("cls").alias("gid")).alias("turn")
+    postings = postings.select(F.col("cls").alias("gid"), "n", turn, F.posexplode("prefix").alias("pos", "token"))
     shared = postings.groupBy("token").agg(F.count("*").alias("listed")).filter(F.col("listed") > 1)
-    postings = stage(postings.join(shared, "token"), "ngram-postings")
+    postings = stage(postings.join(shared.select("token"), "token"), "ngram-postings")
     nodes = classes.select("cls", F.struct(F.col("least_id").isNull().alias("none"), F.col("least_id").alias("id"), "cls").alias("node"))
     found: DataFrame | None = None
     comps: DataFrame | None = None
@@ -233,11 +266,14 @@ def class_components(classes: DataFrame, docs: DataFrame, size: int, percent: in
             known = comps.select(F.col("node.cls").alias("cls"), F.col("component.cls").alias("comp"))
             marked = stage(members.join(known, "cls", "left").withColumn("comp", F.coalesce("comp", "cls")), "ngram-marked")
         spans = marked.groupBy("gid").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("members"))
-        lists = postings.join(spans, "gid")
+        # Groups of one class that links with nothing yet are not named here.
+        spans = stage(spans.filter((F.col("low") != F.col("gid")) | (F.col("high") != F.col("gid")) | (F.col("members") > 1)), "ngram-spans")
+        lists = postings.join(spans, "gid", "left").withColumns({"low": F.coalesce("low", "gid"), "high": F.coalesce("high", "gid")})
         if before:  # lists and groups that have pivots to come and more than one component
-            mixed = (F.min("low") != F.max("high")) & (F.greatest(F.count("*"), F.max("members")) > before)
+            mixed = (F.min("low") != F.max("high")) & (F.greatest(F.count("*") - 1, F.coalesce(F.max("members"), F.lit(1))) > before)
             open_lists = lists.groupBy("token").agg(mixed.alias("open")).filter("open").select("token")
             lists = stage(lists.join(open_lists, "token", "left_semi"), "ngram-open")
+            postings = lists.select(*postings.columns)  # a list that is done stays done
             open_groups = spans.filter((F.col("low") != F.col("high")) & (F.col("members") > before)).select("gid")
             if lists.isEmpty() and open_groups.isEmpty():
                 break
@@ -261,10 +297,10 @@ def components(
     keyed = docs.select(column(doc_id).alias("id"), content.alias("text"), F.xxhash64(content).alias("k1"), F.xxhash64(F.lit(1), content).alias("k2"))
     marked = stage(with_sets(keyed, bucket_counts(keyed, size), size, percent), "ngram-marked")
     key = ["n", "d1", "d2"]
-    some = [F.any_value(c).alias(c) for c in ("prefix", "bits")]
+    some = [F.any_value(c).alias(c) for c in ("weight", "prefix", "bits")]
     text_key = F.min(F.struct("k1", "k2"))
     classes = marked.filter(F.col("n") > 0).groupBy(*key).agg(F.min("id").alias("least_id"), text_key.alias("k"), *some)
-    classes = stage(classes.select(F.monotonically_increasing_id().alias("cls"), *key, "least_id", "k.*", "prefix", "bits"), "ngram-classes")
+    classes = stage(classes.select(F.monotonically_increasing_id().alias("cls"), *key, "least_id", "k.*", "weight", "prefix", "bits"), "ngram-classes")
     comps = class_components(classes, keyed.select("k1", "k2", "text"), size, percent, pivots)
     named = comps.select(F.col("node.cls").alias("cls"), F.col("component.id").alias("linked_id"))
     least = classes.select("cls", *key, "least_id").join(named, "cls", "left").select(*key, F.coalesce("linked_id", "least_id").alias("component_id"))

@@ -15,6 +15,7 @@ from workload.q_features import penalty_sql
 from workload.q_observations import HISTORY_SQL
 from workload.q_plans import SCORED_SQL
 from workload.registry import query
+from zonelens.schemas import ACTIVITY_DELTA
 from zonelens.session import shared_dir
 from zonelens.sources import readers
 from zonelens.streaming import jobs, ordered, sinks
@@ -94,6 +95,19 @@ def stream_change_disorder(spark, sf):
     return _drain(spark, ordered.changes(_disordered(spark, sf, "change-in"), "2 days"), "change")
 
 
+@query("stream_dedupe_horizon", """
+    WITH RECURSIVE o AS (SELECT rtype, name, epoch_us(observed_ts) AS ts_us,
+            row_number() OVER (PARTITION BY rtype, name ORDER BY observed_ts) AS rn FROM obs),
+        s AS (SELECT rtype, name, rn, ts_us, ts_us AS sent_us FROM o WHERE rn = 1
+            UNION ALL
+            SELECT o.rtype, o.name, o.rn, o.ts_us, CASE WHEN o.ts_us - s.sent_us < 259200000000 THEN s.sent_us ELSE o.ts_us END
+            FROM s JOIN o ON s.rtype = o.rtype AND s.name = o.name AND o.rn = s.rn + 1)
+    SELECT rtype, name, ts_us FROM s WHERE sent_us = ts_us""", "obs")
+def stream_dedupe_horizon(spark, sf):
+    """A key is asked at most once in three days."""
+    return _drain(spark, ordered.first_lookups(_disordered(spark, sf, "dedupe-in"), 3 * 86400, "2 days"), "dedupe")
+
+
 @query("stream_ttl_expiry", _TTL_SQL, "obs")
 def stream_ttl_expiry(spark, sf):
     out = _drain(spark, ordered.ttl_answers(_disordered(spark, sf, "ttl-in"), "2 days"), "ttl")
@@ -111,19 +125,30 @@ def _signature_stream(spark, sf):
     )
 
 
-@query("stream_activity", """
+_ACTIVITY_SQL = """
     WITH s AS (SELECT name AS domain, observed_ts, rcode <> 'NXDOMAIN' AS active,
             concat('sha1:', sha1(concat('ns', cast(event_id % 2 AS varchar), '|10.0.0.', cast(event_id % 3 AS varchar), '|mail.net')))
             AS dns_sig FROM obs),
         l AS (SELECT *, lag(active) OVER w AS was, lag(dns_sig) OVER w AS old FROM s WINDOW w AS (PARTITION BY domain ORDER BY observed_ts))
     SELECT domain, CASE WHEN active THEN 'true' ELSE 'false' END AS is_active,
         cast(cast(floor(epoch_us(observed_ts) / 1000000) AS bigint) AS varchar) AS last_seen_ts, dns_sig, 'mail.net' AS mx_regdom,
-        '' AS mx_ips, coalesce(NOT was AND active, FALSE) AS reactivated
-    FROM l WHERE was IS NULL OR (NOT was AND active) OR old <> dns_sig""", "obs")
+        '' AS mx_ips {more}
+    FROM l WHERE was IS NULL OR (NOT was AND active) OR old <> dns_sig"""
+
+
+@query("stream_activity", _ACTIVITY_SQL.replace("{more}", ", coalesce(NOT was AND active, FALSE) AS reactivated"), "obs")
 def stream_activity(spark, sf):
     return _drain(spark, jobs.activity(_signature_stream(spark, sf)), "activity")
 
 
+@query("stream_activity_log", _ACTIVITY_SQL.replace("{more}", ""), "obs")
+def stream_activity_log(spark, sf):
+    base = shared_dir(spark, "activity-log")
+    jobs.activity_log(_signature_stream(spark, sf), f"{base}/out", f"{base}/checkpoint")
+    log = spark.read.option("header", True).schema(ACTIVITY_DELTA + ", batch_id INT").csv(f"{base}/out")
+    return log.drop("batch_id").withColumn("mx_ips", F.coalesce("mx_ips", F.lit("")))
+
+
 _WINDOWS = "WITH t AS (SELECT *, time_bucket(INTERVAL 300 SECONDS, ts) AS w FROM probes), " + penalty_sql(
     "w, tld", """epoch_us(w) AS window_us, tld, tested, failures, round(avg_response_time, 6) AS avg_response_time,
     round(failure_rate, 6) AS failure_rate, in_penalty, CASE WHEN in_penalty THEN why ELSE 'OK' END AS reason FROM v""", "t")

@@ -18,6 +18,7 @@ from zonelens.operators.change import is_active
 from zonelens.operators.penalty import penalty_measures, penalty_verdict
 from zonelens.operators.resolve import KEY, normal_names, retry_parts
 from zonelens.plans.scored import scored_hosts
+from zonelens.sources.writers import append_activity_delta
 from zonelens.streaming.sinks import COMPACT_EVERY, each_batch, merge_batch, merged_table
 
 
@@ -146,6 +147,18 @@ def activity(rows: DataFrame) -> DataFrame:
     )
 
 
+def activity_log(rows: DataFrame, path: str, checkpoint: str) -> None:
+    """Append the activity deltas of arriving signature rows to a CSV log (I4); ``rows`` as for :func:`activity`.
+
+    The rows of a batch lie below its number, so a batch that runs again replaces its own rows.
+    """
+
+    def add(batch: DataFrame, number: int) -> None:
+        append_activity_delta(batch.drop("reactivated"), path, number)
+
+    each_batch(activity(rows), add, checkpoint)
+
+
 def penalty_windows(probes: DataFrame, seconds: int = 300, delay: str = "1 hour") -> DataFrame:
     """Penalty verdict per zone and time window (I5); the same code serves streams and batches."""
     timed = probes.withColumn("ts", F.col("ts").cast("timestamp"))

@@ -153,3 +153,18 @@ def changes(obs: DataFrame, delay: str = "1 hour") -> DataFrame:
 
     output = "rtype string, name string, ts_us bigint, rcode string, prev_rcode string, is_new boolean"
     return in_order(obs, delay, "rcode string, answers_json string", output, compare, lambda value: None)
+
+
+def first_lookups(obs: DataFrame, horizon_seconds: int, delay: str = "1 hour") -> DataFrame:
+    """The lookups that go out when a key is asked at most once within a horizon (I1): rtype, name, ts_us.
+
+    A row goes out unless one of its key went out less than ``horizon_seconds`` before; what went out longer ago is
+    forgotten.
+    """
+
+    def once(value: tuple | None, row: tuple) -> tuple[tuple, tuple | None]:
+        held = value is not None and row[0] - value[0] < horizon_seconds * 1_000_000
+        return (tuple(value), None) if held else ((row[0],), (row[0],))
+
+    output = "rtype string, name string, ts_us bigint"
+    return in_order(obs, delay, "ts_us bigint", output, once, lambda value: value[0] + horizon_seconds * 1_000_000)

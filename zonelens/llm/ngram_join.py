@@ -220,9 +220,8 @@ def class_pairs(pairs: DataFrame, members: DataFrame, pivots: int, before: int)
     return both[0].unionByName(both[1]).distinct()
 
 
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, facts: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Those of the pairs (a, b) of classes whose sets link."""
-    facts = classes.select("cls", "n", "bits")
     one, two = (facts.select(*[F.col(c).alias(f"{s}_{c}" if c != "cls" else s) for c in ("cls", "n", "bits")]) for s in ("a", "b"))
     wide = pairs.join(one, "a").join(two, "b")
     total = F.col("a_n") + F.col("b_n")
@@ -232,7 +231,7 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, p
     if close.isEmpty():
         return close.select("a", "b")
     asked = close.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    asked = stage(classes.join(asked, "cls", "left_semi").select("cls", "k1", "k2"), "ngram-asked")
+    asked = stage(facts.select("cls", "k1", "k2").join(asked, "cls", "left_semi").select("cls", "k1", "k2"), "ngram-asked")
     whole = stage(sets_of(with_text(asked, docs), size), "ngram-sets")
     left, right = (whole.select(F.col("cls").alias(c), F.col("shingles").alias(f"{c}_set")) for c in ("a", "b"))
     shared = F.size(F.array_intersect("a_set", "b_set"))
@@ -240,17 +239,20 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, p
     return linked.select("a", "b")
 
 
-def class_components(classes: DataFrame, docs: DataFrame, size: int, percent: int, pivots: int) -> DataFrame:
+def class_components(marked: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int, pivots: int) -> DataFrame:
     """node (of a class) and component (its least node) for every class that links with another one.
 
-    A node is (id is null, least id, class), so that the least node of a component holds its least id.
+    ``marked`` has the facts of all rows; a class is the number of one of its rows.  A node is (id is null, least id,
+    class), so that the least node of a component holds its least id.
     """
-    grouped = classes.filter(F.size("prefix") > 0).withColumns({"g1": F.xxhash64("prefix"), "g2": F.xxhash64(F.lit(1), "prefix")})
+    facts = marked.withColumnRenamed("row", "cls")
+    able = facts.filter(F.size("prefix") > 0)
+    grouped = able.select("cls", "n", "g1", "g2").join(classes.select("cls"), "cls")
     groups = grouped.groupBy("n", "g1", "g2").agg(F.min("cls").alias("gid"))
     members = stage(grouped.select("cls", "n", "g1", "g2").join(groups, ["n", "g1", "g2"]).select("cls", "gid"), "ngram-members")
-    # Few classes share a prefix and size, so the classes without postings are the short list.
-    spared = stage(members.filter(F.col("cls") != F.col("gid")).select("cls"), "ngram-spared")
-    postings = grouped.join(spared, "cls", "left_anti")
+    # Rows that have no postings, as copies and members of a group do; the prefixes stay where they are if these are few.
+    spared = stage(able.select("cls").join(groups.select(F.col("gid").alias("cls")), "cls", "left_anti"), "ngram-spared")
+    postings = able.join(spared, "cls", "left_anti")
     turn = F.struct((-F.col("weight")).alias("weight"), F.col("cls").alias("gid")).alias("turn")
     postings = postings.select(F.col("cls").alias("gid"), "n", turn, F.posexplode("prefix").alias("pos", "token"))
     shared = postings.groupBy("token").agg(F.count("*").alias("listed")).filter(F.col("listed") > 1)
@@ -261,11 +263,11 @@ def class_components(classes: DataFrame, docs: DataFrame, size: int, percent: in
     before = 0
     while True:
         if comps is None:
-            marked = members.withColumn("comp", F.col("cls"))
+            placed = members.withColumn("comp", F.col("cls"))
         else:
             known = comps.select(F.col("node.cls").alias("cls"), F.col("component.cls").alias("comp"))
-            marked = stage(members.join(known, "cls", "left").withColumn("comp", F.coalesce("comp", "cls")), "ngram-marked")
-        spans = marked.groupBy("gid").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("members"))
+            placed = stage(members.join(known, "cls", "left").withColumn("comp", F.coalesce("comp", "cls")), "ngram-marked")
+        spans = placed.groupBy("gid").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("members"))
         # Groups of one class that links with nothing yet are not named here.
         spans = stage(spans.filter((F.col("low") != F.col("gid")) | (F.col("high") != F.col("gid")) | (F.col("members") > 1)), "ngram-spans")
         lists = postings.join(spans, "gid", "left").withColumns({"low": F.coalesce("low", "gid"), "high": F.coalesce("high", "gid")})
@@ -278,8 +280,8 @@ def class_components(classes: DataFrame, docs: DataFrame, size: int, percent: in
             if lists.isEmpty() and open_groups.isEmpty():
                 break
         pairs = stage(group_pairs(lists, pivots, percent), "ngram-pairs")
-        fresh = stage(class_pairs(pairs, marked, pivots, before), "ngram-fresh")
-        links = stage(verified(fresh, classes, docs, size, percent), "ngram-links")
+        fresh = stage(class_pairs(pairs, placed, pivots, before), "ngram-fresh")
+        links = stage(verified(fresh, facts, docs, size, percent), "ngram-links")
         ends = [nodes.select(F.col("cls").alias(c), F.col("node").alias(f"{c}_node")) for c in ("a", "b")]
         links = stage(links.join(ends[0], "a").join(ends[1], "b").select(F.col("a_node").alias("a"), F.col("b_node").alias("b")), "ngram-links")
         found = links if found is None else found.unionByName(links)
@@ -295,13 +297,13 @@ def components(
     ship(docs.sparkSession)
     content = column(text).cast("string")
     keyed = docs.select(column(doc_id).alias("id"), content.alias("text"), F.xxhash64(content).alias("k1"), F.xxhash64(F.lit(1), content).alias("k2"))
-    marked = stage(with_sets(keyed, bucket_counts(keyed, size), size, percent), "ngram-marked")
+    described = with_sets(keyed, bucket_counts(keyed, size), size, percent)
+    groups = {"g1": F.xxhash64("prefix"), "g2": F.xxhash64(F.lit(1), "prefix"), "row": F.monotonically_increasing_id()}
+    marked = stage(described.withColumns(groups), "ngram-marked")
     key = ["n", "d1", "d2"]
-    some = [F.any_value(c).alias(c) for c in ("weight", "prefix", "bits")]
-    text_key = F.min(F.struct("k1", "k2"))
-    classes = marked.filter(F.col("n") > 0).groupBy(*key).agg(F.min("id").alias("least_id"), text_key.alias("k"), *some)
-    classes = stage(classes.select(F.monotonically_increasing_id().alias("cls"), *key, "least_id", "k.*", "weight", "prefix", "bits"), "ngram-classes")
-    comps = class_components(classes, keyed.select("k1", "k2", "text"), size, percent, pivots)
+    classes = marked.filter(F.col("n") > 0).groupBy(*key).agg(F.min("row").alias("cls"), F.min("id").alias("least_id"))
+    classes = stage(classes, "ngram-classes")
+    comps = class_components(marked, classes, keyed.select("k1", "k2", "text"), size, percent, pivots)
     named = comps.select(F.col("node.cls").alias("cls"), F.col("component.id").alias("linked_id"))
     least = classes.select("cls", *key, "least_id").join(named, "cls", "left").select(*key, F.coalesce("linked_id", "least_id").alias("component_id"))
     rows = marked.select("id", *key).join(least, key, "left")

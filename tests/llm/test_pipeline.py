@@ -102,7 +102,7 @@ def test_empty_documents_pass_every_stage(spark, documents):
 
 def test_registered():
     names = entry.queries()
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{n}" for n in range(1, 11)} and len(queries.QUERIES) == 10
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{n}" for n in range(1, 14)} and len(queries.QUERIES) == 13
     assert set(queries.QUERIES) | {"pipeline"} <= set(names)
 
 

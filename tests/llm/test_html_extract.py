@@ -1,5 +1,7 @@
 """HTML extraction: whole pages, template removal by host, broken markup, edge rows."""
 
+import time
+
 import pytest
 
 from zonelens.llm import html_extract as H
@@ -94,3 +96,54 @@ def test_verdict_does_not_depend_on_the_size_of_the_host(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r["page_id"]: r["text"] for r in H.extract(pages).collect()}
     assert got[60000] == got[400000] == "Own 0" and got[10**6] == "Quote Own 0"
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        ("<div class='content-with-sidebar'>t</div>", "t"), ("<div class='share-price'>t</div>", "t"), ("<div id='post-header-less'>t</div>", "t"),
+        ("<article>a<p class='related-work'>b</p></article>", "a b"), ("<div class='related-posts'>r</div><p>a longer text</p>", "a longer text"),
+        ("<div id='shareButtons2'>r</div><p>a longer text</p>", "a longer text"), ("<div class='sidebar'>the whole text</div>", "the whole text"),
+        ("<div class='comments'>most of what there is</div><p>own</p>", "own"), ("<div class='footer-wrapper-left'>f</div>text", "text"),
+        ("<div class='layout no-sidebar'>t</div>", "t"), ("<div class='ad-box'>x</div><p>the text</p>", "the text"), ("<div class='ad'>x</div>", ""),
+    ],
+)
+def test_labels_never_take_a_text(page, text):
+    assert H.main_text(page) == text
+
+
+def test_broken_markup_in_linear_time():
+    began = time.process_time()
+    assert H.main_text("<b><article>" + "<span>" * 40000 + "</b>" * 40000 + "x") == "x"
+    assert H.main_text("<span>" * 40000 + "</b></li></p>" * 40000 + "x") == "x"
+    assert time.process_time() - began < 30
+
+
+def test_shapes_leave_words_out():
+    def shape(page):
+        return H.parse(page).kids[0].shape
+
+    assert shape("<nav><ul><li><a href=x>A</a><li><a>B</a></ul></nav>") == shape("<nav><ul><li><a>Other</a></ul></nav>")
+    assert shape("<div class='ad-1'>Buy <b>this</b></div>") == shape("<div class='ad-22'>Sell</div>") != shape("<div class='box'>Sell</div>")
+    assert shape("<p>a</p>") != shape("<p><a>a</a></p>")
+
+
+def test_template_by_shape(spark):
+    # No label helps here: a bar, a box and a line at the end that differ on every page, with and without an article mark.
+    links = "<div class='zz'>" + "".join(f"<a>{{0}}{k}</a> " for k in range(4)) + "</div>"
+    rows = [(i, "http://a.example", f"{links.format('w' * (i % 5 + 1) + str(i))}<p>Own {i}</p><p>More <a>of {i}</a></p>") for i in range(40)]
+    box = "<div class='qq'>Buy {0} now</div><main><p>Own {0}</p></main><div>Line {0}</div>"
+    rows += [(100 + i, "http://b.example", box.format(i)) for i in range(40)]
+    rows += [(200 + i, "http://few.example", links.format(i) + f"<p>Own {i}</p>") for i in range(3)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in H.extract(pages).collect()}
+    assert [got[i] for i in range(40)] == [f"Own {i} More of {i}" for i in range(40)]
+    assert [got[100 + i] for i in range(40)] == [f"Own {i}" for i in range(40)]
+    assert got[200] == "00 01 02 03 Own 0"
+    # What stands outside the article is deleted by the template set before the article is taken.
+    once = H.subtrees(pages.select(H.host_of(pages["url"]).alias("host"), "html"))
+    marked = H.marks(once, H.template_rows(once)).filter("host = 'b.example'").limit(1).collect()[0]
+    root = H.parse(next(h for _, u, h in rows if u == "http://b.example"))
+    H.delete(root, H.roots_of(root), frozenset(marked["outer"]))
+    assert [k.gone for k in root.kids] == [True, False, True]
+    assert marked["inner"] == []

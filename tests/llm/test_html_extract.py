@@ -140,6 +140,7 @@ def test_template_by_shape(spark):
     assert [got[i] for i in range(40)] == [f"Own {i} More of {i}" for i in range(40)]
     assert [got[100 + i] for i in range(40)] == [f"Own {i}" for i in range(40)]
     assert got[200] == "00 01 02 03 Own 0"
+    assert {r["page_id"]: r["text"] for r in H.extract(pages, most_sent=0).collect()} == got
     # What stands outside the article is deleted by the template set before the article is taken.
     once = H.subtrees(pages.select(H.host_of(pages["url"]).alias("host"), "html"))
     marked = H.marks(once, H.template_rows(once)).filter("host = 'b.example'").limit(1).collect()[0]

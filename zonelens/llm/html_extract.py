@@ -49,6 +49,8 @@ SHORT = 400
 # On a page without an article mark it counts for subtrees of so many links and more that are links by this share.
 LIST_LINKS = 3
 LIST_SHARE = 0.8
+# Template rows of at most so many bytes (a hash, a kind and the host's name each) are broadcast.
+MOST_SENT = 4 << 20
 # Kinds of template rows.
 OUTER, SHAPE, INNER = 0, 1, 2
 
@@ -490,14 +492,39 @@ def marks(once: DataFrame, rows: DataFrame) -> DataFrame:
     )
 
 
+def by_host(rows: DataFrame) -> dict[str, tuple[list[int], list[int]]]:
+    """The template rows of every host, outer and inner; for row sets of a checked size."""
+    found: dict[str, tuple[list[int], list[int]]] = {}
+    for kind, host, subtree in zip(*(c.to_pylist() for c in rows.toArrow().columns), strict=True):
+        found.setdefault(host, ([], []))[kind == INNER].append(subtree)
+    return found
+
+
 def extract(
     pages: DataFrame, page_id: str = "page_id", url: str = "url", page: str = "html", min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE,
+    most_sent: int = MOST_SENT,
 ) -> DataFrame:
-    """page_id, url, text for every page."""
+    """page_id, url, text for every page.
+
+    Template rows of at most ``most_sent`` bytes are broadcast, so that no html is shuffled; more of them are joined to
+    the subtrees of each page, and the pages to what was found.  Both ways give the same texts.
+    """
     narrow = pick(pages, page_id=page_id, url=url, html=page)
     narrow = narrow.select("page_id", "url", F.col("html").cast("string").alias("html"), host_of(F.col("url").cast("string")).alias("host"))
     once = subtrees(narrow.select("host", "html"))
-    found = stage(marks(once, template_rows(once, min_pages, min_share)), "html-templates")
+    rows = stage(template_rows(once, min_pages, min_share), "html-templates")
+    out = [column("page_id").alias(page_id), column("url").alias(url)]
+    if (rows.agg(F.sum(F.octet_length("host") + 9)).first()[0] or 0) <= most_sent:
+        shared = pages.sparkSession.sparkContext.broadcast(by_host(rows))
+
+        @F.pandas_udf("string")
+        def text_here(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+            sets = {host: (frozenset(outer), frozenset(inner)) for host, (outer, inner) in shared.value.items()}
+            for htmls, hosts in batches:
+                yield pd.Series([main_text(h, *sets.get(host, ())) for h, host in zip(htmls, hosts, strict=True)], dtype=object)
+
+        return narrow.select(*out, text_here("html", "host").alias("text"))
+    found = stage(marks(once, rows), "html-marks")
 
     def known(hashes) -> frozenset[int]:
         return frozenset(hashes) if hashes is not None else frozenset()
@@ -508,4 +535,4 @@ def extract(
             yield pd.Series([main_text(h, known(o), known(i)) for h, o, i in zip(htmls, outer, inner, strict=True)], dtype=object)
 
     joined = narrow.withColumn("page", F.xxhash64("html")).join(found, ["host", "page"], "left")
-    return joined.select(column("page_id").alias(page_id), column("url").alias(url), text("html", "outer", "inner").alias("text"))
+    return joined.select(*out, text("html", "outer", "inner").alias("text"))

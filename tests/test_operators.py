@@ -51,6 +51,32 @@ def test_spread_join_splits_the_hot_key(spark):
     assert joins.spread_join(left, right, ["k"], ["id"], hot_rows=10).count() == 2000
 
 
+def test_many_hot_keys_and_one_of_half_the_rows(spark):
+    rows = spark.range(120000)
+    left = rows.select("id", F.when(F.col("id") % 2 == 0, F.lit(-1)).otherwise(F.pmod(F.xxhash64("id"), F.lit(300))).alias("k"))
+    right = spark.range(-1, 300).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    hot = {r["k"]: r["__ways"] for r in joins.hot_keys(left, ["k"], 100).collect()}
+    assert len(hot) == 301 and hot[-1] == 600 and max(w for k, w in hot.items() if k >= 0) <= 3
+    lists = joins.hot_lists(left, {"k": F.col("k")}, hot_rows=100)["k"]
+    assert len(lists) == 301 and lists[0] == "-1" and lists.ways["-1"] == 600
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    try:
+        for (k, _), v in zip(saved.items(), ("false", "-1", "16"), strict=True):
+            spark.conf.set(k, v)
+        out = joins.spread_join(left, right, ["k"], ["id"], how="inner", hot_rows=100)
+        sizes = sorted(r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect())
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 120000 and len(sizes) == 16 and sizes[-1] <= 2 * sizes[8]
+
+
+def test_hot_keys_of_nothing(spark):
+    empty = spark.createDataFrame([], "id long, k string")
+    assert joins.hot_keys(empty, ["k"], 1).count() == 0 and joins.hot_lists(empty, {"k": F.col("k")}) == {"k": []}
+    assert joins.spread_join(empty, empty.select("k"), ["k"], ["id"]).count() == 0
+
+
 # --- registered domains -----------------------------------------------------------------------------------------
 
 

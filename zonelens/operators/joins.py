@@ -5,60 +5,68 @@ broadcast from measured sizes, and a lookup that is too large for it becomes a s
 partitions the adaptive plan splits.
 
 :func:`spread_join` is for two sides that both grow with the data, on keys that are known to concentrate (shared
-hosting addresses, mail hosts, alias targets, parent zones).  The one broadcast hint in this package is put on its
-list of hot keys, which has a fixed number of rows (a key outside the list cannot hold more than one part in
-``AT_MOST`` of the rows; cutting the *list* drops no data).
+hosting addresses, mail hosts, alias targets, parent zones).  A key is hot when it holds ``HOT_ROWS`` rows and a
+``MOST_HOT``-th of all rows, and is spread over as many parts as it takes to bring each below that, so the largest part
+follows the average and no key is left out.  No more than ``MOST_HOT`` keys can hold such a share: that bounds the one
+table with a broadcast hint in this package, and the copies of right rows, which are twice that at most for all keys.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql import types as T
 
 from zonelens.session import shared_dir
 
 HOT_ROWS = 1_000_000
-AT_MOST = 256
-WAYS = 64
+MOST_HOT = 1 << 16
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int | None = None) -> DataFrame:
-    """The keys with at least ``hot_rows`` rows, at most ``AT_MOST`` of them, the fullest first."""
+class Crowded(list):
+    """Hot keys, the fullest first, and the number of parts each is spread over."""
+
+    def __init__(self, pairs: Iterable[tuple[str, int]]) -> None:
+        pairs = list(pairs)
+        super().__init__(key for key, _ in pairs)
+        self.ways = dict(pairs)
+
+
+def _hot_only(counted: DataFrame, rows: DataFrame, hot_rows: int | None) -> DataFrame:
+    """The hot ones of counted keys with their ``__ways``; ``rows``: the number of all rows as one value."""
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
-    return (
-        df.groupBy(*on)
-        .agg(F.count("*").alias("__rows"))
-        .filter(F.col("__rows") >= hot_rows)
-        .orderBy(F.desc("__rows"))
-        .limit(AT_MOST)
-        .select(*on, F.lit(True).alias("__hot"))
-    )
+    least = F.greatest(F.lit(float(hot_rows)), rows.scalar() / MOST_HOT)
+    hot = counted.withColumn("__least", least).filter(F.col("__rows") >= F.col("__least"))
+    return hot.withColumn("__ways", F.greatest(F.lit(2), F.ceil(F.col("__rows") / F.col("__least"))).cast("int")).drop("__least")
+
+
+def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int | None = None) -> DataFrame:
+    """The keys with at least ``hot_rows`` rows and a ``MOST_HOT``-th of all rows, and their ``__ways``."""
+    counted = df.groupBy(*on).agg(F.count("*").alias("__rows"))
+    return _hot_only(counted, counted.agg(F.sum("__rows")), hot_rows).select(*on, "__ways")
 
 
 def hot_key_table(df: DataFrame, columns: Mapping[str, Column], hot_rows: int | None = None) -> DataFrame:
-    """Hot keys of several columns in one pass: kind, key; at most ``AT_MOST`` rows per kind."""
-    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+    """Hot keys of several columns in one pass: kind, key, rows and ways."""
     pairs = [F.struct(F.lit(k).alias("kind"), c.cast("string").alias("key")) for k, c in columns.items()]
     counted = (
         df.select(F.inline(F.array(*pairs)))
         .filter(F.col("key").isNotNull())
         .groupBy("kind", "key")
         .agg(F.count("*").alias("__rows"))
-        .filter(F.col("__rows") >= hot_rows)
     )
-    rank = F.row_number().over(Window.partitionBy("kind").orderBy(F.desc("__rows"), "key"))
-    return counted.withColumn("__rank", rank).filter(F.col("__rank") <= AT_MOST).select("kind", "key")
+    most = counted.groupBy("kind").agg(F.sum("__rows").alias("__rows")).agg(F.max("__rows"))
+    return _hot_only(counted, most, hot_rows)
 
 
-def hot_lists(df: DataFrame, columns: Mapping[str, Column], hot_rows: int | None = None) -> dict[str, list[str]]:
-    """Hot keys per column as short lists, counted in one pass; at most ``AT_MOST`` keys per column come back."""
-    found: dict[str, list[str]] = {kind: [] for kind in columns}
+def hot_lists(df: DataFrame, columns: Mapping[str, Column], hot_rows: int | None = None) -> dict[str, Crowded]:
+    """Hot keys per column, counted in one pass; at most ``MOST_HOT`` keys per column come back."""
+    found: dict[str, list] = {kind: [] for kind in columns}
     for row in hot_key_table(df, columns, hot_rows).collect():
-        found[row["kind"]].append(row["key"])
-    return found
+        found[row["kind"]].append((-row["__rows"], row["key"], row["__ways"]))
+    return {kind: Crowded((key, ways) for _, key, ways in sorted(rows)) for kind, rows in found.items()}
 
 
 def spread_join(
@@ -67,17 +75,17 @@ def spread_join(
     on: Sequence[str],
     spread_by: Sequence[str],
     how: str = "left",
-    ways: int = WAYS,
+    ways: int = 64,
     hot_rows: int | None = None,
     hot: DataFrame | Sequence | None = None,
 ) -> DataFrame:
-    """Join where hot keys of the left side are spread over ``ways`` partitions.
+    """Join where every hot key of the left side is spread over as many parts as its rows ask for.
 
     The salt is a hash of ``spread_by`` columns, so a task that runs again gives every row the same salt.
-    Right rows are repeated for hot keys only.  Null keys match nothing and are spread as well.
-    ``hot`` names the hot keys: a frame from :func:`hot_keys`, or a list of values for a join on one column.
-    Without it the left side is counted here, so a caller that chains joins makes the list once, at the start of
-    the chain.
+    Right rows are repeated for hot keys only.  Null keys match nothing and are spread over ``MOST_HOT`` parts, the keys
+    of a plain list, which has no counts, over ``ways``.  ``hot`` names the hot keys: a frame from :func:`hot_keys`, a list from
+    :func:`hot_lists` or a plain one, for a join on one column.  Without it the left side is counted here, so a caller
+    that chains joins makes the list once, at the start of the chain.
     """
     on = list(on)
     blank = F.lit(False)
@@ -85,20 +93,21 @@ def spread_join(
         blank = blank | F.col(c).isNull()
     if hot is None:
         hot = hot_keys(left.filter(~blank), on, hot_rows)
-    if isinstance(hot, DataFrame):
-        flags = F.broadcast(hot)
-        left, right = left.join(flags, on, "left"), right.join(flags, on, "left")
-    else:
-        named = F.col(on[0]).isin(list(hot)) if hot else F.lit(False)
-        left, right = left.withColumn("__hot", named), right.withColumn("__hot", named)
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(ways)).cast("int")
-    salted_left = left.withColumn("__salt", F.when(F.col("__hot") | blank, salt).otherwise(F.lit(0))).drop("__hot")
-    if isinstance(hot, DataFrame) or hot:
-        copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(ways - 1))).otherwise(F.array(F.lit(0)))
-        salted_right = right.withColumn("__salt", F.explode(copies)).drop("__hot")
+    if not isinstance(hot, DataFrame):
+        pairs = [(key, hot.ways[key] if isinstance(hot, Crowded) else ways) for key in hot]
+        kind = T.StructType([T.StructField(on[0], left.schema[on[0]].dataType), T.StructField("__ways", T.IntegerType())])
+        hot = left.sparkSession.createDataFrame(pairs, kind) if pairs else None
+    if hot is None:
+        left, right = left.withColumn("__ways", F.lit(None).cast("int")), right.withColumn("__salt", F.lit(0))
     else:
-        salted_right = right.withColumn("__salt", F.lit(0)).drop("__hot")
-    return salted_left.join(salted_right, [*on, "__salt"], how).drop("__salt")
+        left, right = left.join(F.broadcast(hot), on, "left"), right.join(F.broadcast(hot), on, "left")
+        copies = F.sequence(F.lit(0), F.coalesce("__ways", F.lit(1)) - 1)
+        right = right.withColumn("__salt", F.explode(copies)).drop("__ways")
+    # Null keys have no count, so they go over all bits of the salt.
+    salt = F.xxhash64(*spread_by)
+    spread = F.when(blank, F.pmod(salt, F.lit(MOST_HOT))).otherwise(F.pmod(salt, F.coalesce("__ways", F.lit(1))))
+    salted = left.withColumn("__salt", spread.cast("int")).drop("__ways")
+    return salted.join(right, [*on, "__salt"], how).drop("__salt")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

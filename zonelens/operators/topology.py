@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from zonelens.functions import hosts as H
 from zonelens.functions import policies as P
 from zonelens.functions.ips import reverse_pointer, valid_ips
-from zonelens.operators.joins import cut_lineage, hot_keys, hot_lists, spread_join
+from zonelens.operators.joins import Crowded, cut_lineage, hot_keys, hot_lists, spread_join
 from zonelens.operators.resolve import is_positive, latest_observation, newest_order, normal_names
 from zonelens.operators.suffixes import with_registered_domain
 
@@ -268,7 +268,12 @@ def attach_subhost(
     key = F.when(F.col(apex) != "", F.concat(F.lit(prefix + "."), F.col(apex))).alias(owner)
     if hot is None:
         hot = hot_keys(df, [apex])
-    crowded = hot.select(key, "__hot") if isinstance(hot, DataFrame) else [f"{prefix}.{value}" for value in hot]
+    if isinstance(hot, DataFrame):
+        crowded = hot.select(key, "__ways")
+    elif isinstance(hot, Crowded):
+        crowded = Crowded((f"{prefix}.{value}", ways) for value, ways in hot.ways.items())
+    else:
+        crowded = [f"{prefix}.{value}" for value in hot]
     out = spread_join(df.withColumn(owner, key), side, [owner], [name], hot=crowded)
     return out.withColumns(
         {

@@ -39,9 +39,10 @@ MIN_DOCS = 5
 SWITCH = 10.0
 # A script belongs to a language that has this share of its letters in it.
 SCRIPT_SHARE = 0.01
-# Words a worker remembers before it starts anew, and code points labelled together.
+# Words a worker remembers before it starts anew.
 REMEMBERED = 150_000
-CHUNK_CHARS = 4_000_000
+# Steps of the Viterbi pass whose scores are numbers of Python at once.
+STEPS = 1 << 14
 
 # First and last code point of the ranges of each script.
 SCRIPTS = {
@@ -205,17 +206,19 @@ def viterbi(scores: np.ndarray, penalty: float = SWITCH) -> np.ndarray:
     ends = gain[:-1].max() + (gain[-1] - gain[:-1].min(axis=0)).max() if n > 1 else 0.0
     if max((gain - low).max(initial=0.0), ends) <= penalty:
         return np.full(n, best, dtype=np.int16)
-    value = scores[0].astype(np.float64)
+    # Few languages: numbers of Python cost less than arrays of that length.  Blocks bound what a long text holds of them.
+    value = scores[0].tolist()
     back = np.zeros((n, langs), dtype=np.int16)
-    own = np.arange(langs)
-    for t in range(1, n):
-        top = int(value.argmax())
-        moved = value[top] - penalty
-        stay = value >= moved
-        back[t] = np.where(stay, own, top)
-        value = np.where(stay, value, moved) + scores[t]
+    for start in range(1, n, STEPS):
+        came: list[list[int]] = []
+        for row in scores[start : start + STEPS].tolist():
+            high = max(value)
+            top, moved = value.index(high), high - penalty
+            came.append([k if v >= moved else top for k, v in enumerate(value)])
+            value = [(v if v >= moved else moved) + s for v, s in zip(value, row, strict=True)]
+        back[start : start + STEPS] = came
     path = np.empty(n, dtype=np.int16)
-    path[-1] = value.argmax()
+    path[-1] = value.index(max(value))
     for t in range(n - 1, 0, -1):
         path[t - 1] = back[t, path[t]]
     return path

@@ -246,6 +246,72 @@ INPUTS: dict[str, str] = {
             o_custkey % 40 AS chunk,
             CASE o_orderpriority WHEN '1-URGENT' THEN 100 WHEN '2-HIGH' THEN 12 ELSE 200 END AS target_qps,
             o_orderkey % 10 AS start_s, 10 + o_orderkey % 7 + o_custkey % 40 AS end_s FROM {orders}""",
+    "zone_domains": """
+        SELECT c_custkey AS k, c_nationkey AS n, concat('c', cast(c_custkey AS string), '.example.com') AS domain FROM {customer}""",
+    "policy_files": """
+        SELECT domain AS regdom, concat('version: STSv1', chr(10), 'mode: Enforce', chr(10), 'max_age: ',
+            cast(86400 + k % 5 AS string)) AS policy_text FROM {zone_domains} WHERE k % 4 = 1""",
+    "zone_facts": """
+        SELECT name, rtype, rcode, CASE WHEN rcode = 'NOERROR' THEN answers_txt ELSE '' END AS answers_txt, ttl, 1 AS seq FROM (
+        SELECT domain AS name, 'NS' AS rtype, CASE WHEN k % 7 = 6 THEN 'NXDOMAIN' WHEN k % 9 = 0 THEN 'TIMEOUT' ELSE 'NOERROR' END AS rcode,
+            concat('NS1.dns', cast(n AS string), '.net|ns2.dns', cast(n AS string), '.net') AS answers_txt, 300 AS ttl FROM {zone_domains}
+        UNION ALL SELECT domain, 'SOA', CASE WHEN k % 7 = 6 THEN 'NXDOMAIN' WHEN k % 3 = 0 THEN 'NODATA' ELSE 'NOERROR' END,
+            concat('ns1.dns', cast(n AS string), '.net. hostmaster.example.com. ', cast(2024000000 + k AS string), ' 7200 900 1209600 300'),
+            301 FROM {zone_domains}
+        UNION ALL SELECT domain, 'A', CASE WHEN k % 7 = 6 THEN 'NXDOMAIN' WHEN k % 18 IN (0, 5) THEN 'SERVFAIL' ELSE 'NOERROR' END,
+            concat('192.0.2.', cast(k % 200 AS string), '|198.51.100.', cast(k % 100 AS string)), cast(60 * (k % 4) AS int)
+            FROM {zone_domains}
+        UNION ALL SELECT domain, 'AAAA', CASE WHEN k % 2 = 0 THEN 'NOERROR' ELSE 'NODATA' END,
+            concat('2001:db8::', cast(k % 50 + 1 AS string)), cast(k % 7 AS int)
+            FROM {zone_domains}
+        UNION ALL SELECT domain, 'MX', CASE WHEN k % 7 = 6 THEN 'NXDOMAIN' ELSE 'NOERROR' END,
+            CASE WHEN k % 13 = 0 THEN concat('5:mail.', domain, '.') ELSE concat('20:backup.mail', cast(n AS string), '.net.|10:mx',
+                cast(k % 3 AS string), '.mail', cast(n AS string), '.net.|10:later.mail.net') END, cast(k % 9 AS int)
+            FROM {zone_domains}
+        UNION ALL SELECT domain, 'TXT', 'NOERROR', 'V=spf1 a|note|v=DMARC1 own', 63 FROM {zone_domains} WHERE k % 3 = 0
+        UNION ALL SELECT domain, 'CAA', 'NOERROR', CASE WHEN k % 8 = 0 THEN '0 issue "letsencrypt.org"' ELSE '0 issue "ca.example"' END, 64
+            FROM {zone_domains} WHERE k % 4 = 0
+        UNION ALL SELECT domain, 'NAPTR', 'NOERROR', concat('10 20 "s" "SIP+D2U" "" _sip._udp.', domain, '.'), 65
+            FROM {zone_domains} WHERE k % 6 = 0
+        UNION ALL SELECT domain, 'CNAME', 'NOERROR', concat('Alias', cast(n AS string), '.net.'), 66 FROM {zone_domains} WHERE k % 17 = 0
+        UNION ALL SELECT domain, 'DNSKEY', 'NOERROR', '257 3 8 key', 67 FROM {zone_domains} WHERE k % 2 = 1
+        UNION ALL SELECT concat('www.', domain), 'A', CASE WHEN k % 3 = 2 THEN 'NXDOMAIN' ELSE 'NOERROR' END,
+            concat('203.0.113.', cast(k % 50 AS string), '|203.0.113.200'), 68 FROM {zone_domains}
+        UNION ALL SELECT concat('www.', domain), 'CNAME', 'NOERROR', concat('cdn', cast(k % 5 AS string), '.net.'), 69
+            FROM {zone_domains} WHERE k % 2 = 0
+        UNION ALL SELECT concat('mail.', domain), 'A', 'NOERROR', concat('203.0.113.', cast(100 + k % 50 AS string)), 70
+            FROM {zone_domains} WHERE k % 5 <> 0
+        UNION ALL SELECT concat('mail.', domain), 'CNAME', 'NOERROR', concat('pop', cast(k % 3 AS string), '.net.'), 70
+            FROM {zone_domains} WHERE k % 3 = 1
+        UNION ALL SELECT concat('_dmarc.', domain), 'TXT', 'NOERROR', 'v=DMARC1; p=reject', 71 FROM {zone_domains} WHERE k % 2 = 0
+        UNION ALL SELECT concat('default._bimi.', domain), 'TXT', 'NOERROR', 'v=BIMI1; l=https', 72 FROM {zone_domains} WHERE k % 5 = 1
+        UNION ALL SELECT concat('_mta-sts.', domain), 'TXT', CASE WHEN k % 3 = 0 THEN 'NODATA' ELSE 'NOERROR' END,
+            concat('v=mta-sts: |id=', cast(k AS string)), 73 FROM {zone_domains}
+        UNION ALL SELECT concat('_smtp._tls.', domain), 'TXT', 'NOERROR', concat('v=TLSRPT1; rua=mailto:', domain), 74
+            FROM {zone_domains} WHERE k % 4 < 3
+        UNION ALL SELECT concat('mx', cast(j AS string), '.mail', cast(n AS string), '.net'), CASE j WHEN 2 THEN 'CNAME' ELSE 'A' END,
+            'NOERROR', CASE j WHEN 2 THEN concat('Relay', cast(n AS string), '.org.')
+                ELSE concat('10.1.', cast(n AS string), '.', cast(j + 1 AS string), '|10.1.', cast(n AS string), '.9') END, 75
+            FROM (SELECT DISTINCT n, k % 3 AS j FROM {zone_domains}) hosts
+        UNION ALL SELECT concat('relay', cast(n AS string), '.org'), CASE n % 4 WHEN 0 THEN 'CNAME' ELSE 'A' END, 'NOERROR',
+            CASE n % 4 WHEN 0 THEN concat('end', cast(n % 3 AS string), '.org.') ELSE concat('10.2.', cast(n AS string), '.9') END, 76
+            FROM (SELECT DISTINCT n FROM {zone_domains}) zones
+        UNION ALL SELECT concat('end', cast(n AS string), '.org'), 'A', 'NOERROR', concat('10.3.0.', cast(n + 1 AS string)), 77
+            FROM (SELECT DISTINCT n % 3 AS n FROM {zone_domains}) ends
+        UNION ALL SELECT concat('ns1.dns', cast(n AS string), '.net'), 'A', 'NOERROR', concat('10.4.', cast(n AS string), '.1'), 78
+            FROM (SELECT DISTINCT n FROM {zone_domains}) zones
+        UNION ALL SELECT concat('ns1.dns', cast(n AS string), '.net'), 'AAAA', 'NOERROR', concat('2001:db8:4::', cast(n + 1 AS string)), 79
+            FROM (SELECT DISTINCT n FROM {zone_domains}) zones
+        UNION ALL SELECT concat(cast(j + 1 AS string), '.', cast(n AS string), '.1.10.in-addr.arpa'), 'PTR', 'NOERROR',
+            concat('ptr', cast(j AS string), '.mail', cast(n AS string), '.net.'), 80
+            FROM (SELECT DISTINCT n, k % 2 AS j FROM {zone_domains}) hosts
+        UNION ALL SELECT concat('9.', cast(n AS string), '.1.10.in-addr.arpa'), 'PTR', 'NOERROR', 'shared.hosting.org', 81
+            FROM (SELECT DISTINCT n FROM {zone_domains}) zones
+        UNION ALL SELECT concat(cast(x AS string), '.113.0.203.in-addr.arpa'), 'PTR', CASE WHEN x % 4 = 1 THEN 'SERVFAIL' ELSE 'NOERROR' END,
+            concat('web', cast(x AS string), '.hosting.net.'), 82
+            FROM (SELECT DISTINCT k % 50 + 100 * (k % 2) AS x FROM {zone_domains}) webs
+        UNION ALL SELECT concat(cast(x AS string), '.2.0.192.in-addr.arpa'), 'PTR', 'NOERROR', concat('a', cast(x AS string), '.isp.net'), 83
+            FROM (SELECT DISTINCT k % 200 AS x FROM {zone_domains}) homes WHERE x % 2 = 0) facts""",
 }
 
 

@@ -126,6 +126,7 @@ def to_domain_profile(wide: DataFrame, blanks_to_null: bool = True) -> DataFrame
 
     ``wide`` carries the lists ``ns``, ``a``, ``aaaa``, ``mx_parsed``, ``mx_ips``, ``ns_ips``, ``caa``, ``naptr``,
     ``srv`` and the joined fields of the policy, certificate, sub-host and PTR operators; absent ones are null.
+    ``cname`` may be the list of answers, of which the first is taken, or one name.
     """
     lists = ["ns", "a", "aaaa", "mx_ips", "ns_ips", "caa", "naptr", "srv", "mx_ptr", "mx_ptr_regdom",
              "mx_cname_chain"]
@@ -134,6 +135,8 @@ def to_domain_profile(wide: DataFrame, blanks_to_null: bool = True) -> DataFrame
     wide = wide.withColumns({c: F.coalesce(c, F.array().cast(_NO_ITEMS)) for c in lists})
     if "mx_parsed" not in have:
         wide = wide.withColumn("mx_parsed", F.array().cast(f"array<{S.MX_RECORD}>"))
+    if "cname" in have and isinstance(wide.schema["cname"].dataType, T.ArrayType):
+        wide = wide.withColumn("cname", F.lower(H.strip_dots(F.get("cname", F.lit(0)))))
     if "ptr" not in have:
         wide = wide.withColumn("ptr", F.create_map().cast("map<string,string>"))
     wide = conform(wide, {

@@ -415,3 +415,39 @@ def test_ranges_wider_than_the_largest_block(spark):
     found = range_matches(spark.createDataFrame([(p,) for p in points], "ip_int bigint"), ranges).collect()
     wanted = sorted((p, a, b) for p in points for a, b in spans if a <= p <= b)
     assert sorted((r.ip_int, r.start_int, r.end_int) for r in found) == wanted
+
+
+def test_service_records_in_scope(spark):
+    from zonelens.operators.resolve import attach_srv
+
+    rows = [
+        ("_sip._tcp.a.com", "SRV", "NOERROR", ["1 2 5060 Sip.a.com."], 1), ("_xmpp._tcp.A.com.", "SRV", "NOERROR", ["5 6 7 x.net"], 1),
+        ("_xmpp._tcp.a.com", "SRV", "SERVFAIL", [], 0), ("_xmpp._tcp.b.com", "SRV", "NODATA", None, 1),
+        ("_ldap._tcp.b.com", "SRV", "NOERROR", ["1 1 1 l.net"], 1), ("_sip._tcp.c.com", "SRV", "NOERROR", ["1 1 1 c.net"], 1),
+        (None, "SRV", "NOERROR", ["1 1 1 n.net"], 1),
+    ]
+    obs = spark.createDataFrame(rows, "name string, rtype string, rcode string, answers array<string>, seq long")
+    obs = obs.select("name", "rtype", "rcode", "answers", F.lit(60).alias("ttl"), F.timestamp_seconds("seq").alias("observed_ts"))
+    names = spark.createDataFrame([("a.com",), ("b.com",), ("c.com",), ("d.com",), (None,)], "domain string")
+    df = names.withColumn("errors", F.create_map(F.lit("A"), F.lit("TIMEOUT")))
+    changed = spark.createDataFrame([("a.com", True), ("b.com", True), ("c.com", False), ("d.com", True)], "domain string, changed boolean")
+
+    def found(*args, **more):
+        return {r["domain"]: (r["srv"], r["errors"].get("SRV")) for r in attach_srv(df, obs, *args, **more).collect()}
+
+    scoped = found(changed)
+    assert scoped["a.com"] == (["5 6 7 x.net", "1 2 5060 Sip.a.com"], None)
+    assert scoped["b.com"] == ([], "_xmpp._tcp:NODATA")
+    assert scoped["c.com"] == scoped["d.com"] == scoped[None] == ([], None) and len(scoped) == 5
+    assert found(None, mode="always")["c.com"] == (["1 1 1 c.net"], None)
+    assert all(v == ([], None) for v in found(None).values())
+    assert all(r["errors"]["A"] == "TIMEOUT" for r in attach_srv(df, obs, changed).collect())
+
+
+def test_profile_takes_the_first_alias(spark):
+    from zonelens.operators.rows import to_domain_profile
+
+    wide = spark.createDataFrame([("a.com", ["Cdn.Net.", "x.org"]), ("b.com", []), ("c.com", None)], "domain string, cname array<string>")
+    wide = wide.withColumn("registered_domain", F.col("domain"))
+    got = {r["domain"]: r["cname"] for r in to_domain_profile(wide).select("domain", "cname").collect()}
+    assert got == {"a.com": "cdn.net", "b.com": None, "c.com": None}

@@ -283,6 +283,10 @@ INPUTS: dict[str, str] = {
             FROM {zone_domains} WHERE k % 5 <> 0
         UNION ALL SELECT concat('mail.', domain), 'CNAME', 'NOERROR', concat('pop', cast(k % 3 AS string), '.net.'), 70
             FROM {zone_domains} WHERE k % 3 = 1
+        UNION ALL SELECT concat('_xmpp._tcp.', domain), 'SRV', CASE WHEN k % 5 = 0 THEN 'SERVFAIL' ELSE 'NOERROR' END,
+            concat('5 0 5222 chat.', domain, '.|6 0 5222 spare.net.'), 84 FROM {zone_domains} WHERE k % 2 = 0
+        UNION ALL SELECT concat('_sip._tcp.', domain), 'SRV', 'NOERROR', '1 10 5060 sip.voice.net', 85 FROM {zone_domains} WHERE k % 3 = 0
+        UNION ALL SELECT concat('_ldap._tcp.', domain), 'SRV', 'NOERROR', '1 10 389 ldap.net', 86 FROM {zone_domains}
         UNION ALL SELECT concat('_dmarc.', domain), 'TXT', 'NOERROR', 'v=DMARC1; p=reject', 71 FROM {zone_domains} WHERE k % 2 = 0
         UNION ALL SELECT concat('default._bimi.', domain), 'TXT', 'NOERROR', 'v=BIMI1; l=https', 72 FROM {zone_domains} WHERE k % 5 = 1
         UNION ALL SELECT concat('_mta-sts.', domain), 'TXT', CASE WHEN k % 3 = 0 THEN 'NODATA' ELSE 'NOERROR' END,

@@ -1,4 +1,4 @@
-"""The whole domain profile over observations of every record type: sub-hosts, aliases, PTR, policies."""
+"""The whole domain profile over observations of every record type: sub-hosts, aliases, PTR, policies, services."""
 
 from __future__ import annotations
 
@@ -59,6 +59,7 @@ _SQL = f"""
             lower(split_part(ns.t, '|', 1)) AS ns_host, h.host AS mx, h.pref, h.final, h.chain, h.regdom,
             split_part(wa.t, '|', 1) AS www_a, wc.t AS www_cname, split_part(ma.t, '|', 1) AS mail_a, mc.t AS mail_cname,
             dm.t AS dmarc, bi.t AS bimi, replace(st.t, '|', '') AS sts, tl.t AS rpt, pf.policy_text,
+            CASE WHEN z.k % 4 < 3 THEN concat_ws('|', nullif(replace(concat(xm.t, '|'), '.|', '|')[:-2], ''), si.t) ELSE '' END AS srv,
             coalesce(raw.ns_rcode, 'NODATA') = 'NXDOMAIN' AND soa_rcode = 'NXDOMAIN' AND a_rcode = 'NXDOMAIN' AS gone,
             ns.t IS NOT NULL OR soa.t IS NOT NULL OR a.t IS NOT NULL AS usable
         FROM zone_domains z LEFT JOIN raw ON raw.name = z.domain {_of('ns', 'z.domain', 'NS')} {_of('soa', 'z.domain', 'SOA')}
@@ -69,6 +70,7 @@ _SQL = f"""
         {_of('ma', "concat('mail.', z.domain)", 'A')} {_of('mc', "concat('mail.', z.domain)", 'CNAME')}
         {_of('dm', "concat('_dmarc.', z.domain)", 'TXT')} {_of('bi', "concat('default._bimi.', z.domain)", 'TXT')}
         {_of('st', "concat('_mta-sts.', z.domain)", 'TXT')} {_of('tl', "concat('_smtp._tls.', z.domain)", 'TXT')}
+        {_of('xm', "concat('_xmpp._tcp.', z.domain)", 'SRV')} {_of('si', "concat('_sip._tcp.', z.domain)", 'SRV')}
         LEFT JOIN policy_files pf ON pf.regdom = z.domain),
     x AS (SELECT w.*, CASE WHEN gone THEN 'dormant' WHEN usable THEN 'alive' ELSE 'needs_retry' END AS state,
             CASE WHEN txt IS NOT NULL THEN list_filter(string_split(txt, '|'), lambda s: contains(lower(s), 'v=spf1'))[1] END AS spf_text,
@@ -91,14 +93,16 @@ _SQL = f"""
         sts IS NOT NULL AS has_mta_sts, sts AS mta_sts_txt, CASE WHEN policy_text IS NOT NULL THEN 'enforce' END AS mta_sts_mode,
         cast(split_part(policy_text, 'max_age: ', 2) AS bigint) AS mta_sts_max_age, split_part(sts, 'id=', 2) AS mta_sts_id,
         split_part(rpt, 'rua=', 2) AS tlsrpt_rua, dnskey IS NOT NULL AS dnssec, cast(s[3] AS bigint) AS soa_serial,
-        cast(NULL AS varchar) AS refresh_date, nullif(caa, '') AS caa, nullif(naptr, '') AS naptr, cast(NULL AS varchar) AS srv,
+        cast(NULL AS varchar) AS refresh_date, nullif(caa, '') AS caa, nullif(naptr, '') AS naptr, nullif(replace(srv, '|', ','), '') AS srv,
         CASE WHEN soa IS NULL THEN '[]' ELSE concat('[{{"mname":"', rtrim(s[1], '.'), '","rname":"', rtrim(s[2], '.'), '","serial":', s[3],
             ',"refresh":', s[4], ',"retry":', s[5], ',"expire":', s[6], ',"minimum":', s[7], '}}]') END AS soa_records,
         CASE WHEN caa = '' THEN '[]' ELSE concat('[{{"flags":0,"tag":"issue","value":"', split_part(caa, '"', 2), '"}}]') END
             AS caa_records,
         CASE WHEN naptr = '' THEN '[]' ELSE concat('[{{"order":10,"preference":20,"flags":"s","services":"SIP+D2U","regexp":"",',
             '"replacement":"', rtrim(split_part(naptr, '" ', 4), '.'), '"}}]') END AS naptr_records,
-        '[]' AS srv_records, coalesce(aaaa_ttl, 0) AS aaaa_ttl, coalesce(mx_ttl, 0) AS mx_ttl, coalesce(txt_ttl, 0) AS txt_ttl,
+        concat('[', array_to_string(list_transform(list_filter(string_split(srv, '|'), lambda r: r <> ''), lambda r:
+            concat('{{"priority":', split_part(r, ' ', 1), ',"weight":', split_part(r, ' ', 2), ',"port":', split_part(r, ' ', 3),
+                ',"target":"', split_part(r, ' ', 4), '"}}')), ','), ']') AS srv_records, coalesce(aaaa_ttl, 0) AS aaaa_ttl, coalesce(mx_ttl, 0) AS mx_ttl, coalesce(txt_ttl, 0) AS txt_ttl,
         coalesce(caa_ttl, 0) AS caa_ttl, coalesce(naptr_ttl, 0) AS naptr_ttl,
         {", ".join(f"cast(NULL AS {'boolean' if k == 'boolean' else 'integer' if k == 'int' else 'varchar'}) AS {c}" for c, k in DOMAIN_PROFILE.items() if c in _PROBED)}
     FROM x {_ints('i', 'a1')} {_of('na', 'ns_host', 'A')} {_of('nq', 'ns_host', 'AAAA')} {_ints('ni', "split_part(na.t, '|', 1)")}
@@ -119,5 +123,6 @@ def _shown(name: str, kind: str):
 def domain_profile_whole(spark, sf):
     """All columns of the profile of every customer's zone."""
     obs, domains = seq_observations(spark, sf, "zone_facts"), load(spark, sf, "zone_domains")
-    wide = batch.domain_wide(domains.select("domain"), obs, suffixes(spark, sf), load(spark, sf, "policy_files"))
+    changed = domains.select("domain", (F.col("k") % 4 < 3).alias("changed"))
+    wide = batch.domain_wide(domains.select("domain"), obs, suffixes(spark, sf), load(spark, sf, "policy_files"), changed=changed)
     return rows.to_domain_profile(wide).select(*[_shown(c, k) for c, k in DOMAIN_PROFILE.items()])

@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from zonelens.functions import records as R
 from zonelens.functions.hosts import strip, strip_dots
 
 KEY = ("rtype", "name")
@@ -292,6 +293,29 @@ def srv_errors(srv: DataFrame) -> DataFrame:
     )
 
 
+def attach_srv(df: DataFrame, obs: DataFrame, changed: DataFrame | None, mode: str = "new_only") -> DataFrame:
+    """Texts of the watched services in their fixed order as the list ``srv``, failed services under ``SRV`` in ``errors``.
+
+    ``df`` has one row per ``domain`` and the map ``errors``.  A domain out of scope, or without SRV observations, has an
+    empty list and no error.  Without a scope nothing is joined.
+    """
+    none = F.array().cast("array<string>")
+    if mode != "always" and (mode != "new_only" or changed is None):
+        return df.withColumn("srv", none)
+    newest = latest_observation(obs.filter(F.col("rtype") == "SRV"))
+    scope = srv_scope(newest, changed, mode)
+    texts = F.when(is_positive(F.col("rcode"), _answers()), R.format_srv(R.parse_srv(_answers())))
+    # One newest row per service, so any value is the only one.
+    picks = [F.any_value(F.when(F.col("service") == s, texts), True).alias(f"__{i}") for i, s in enumerate(SRV_SERVICES)]
+    found = scope.groupBy("domain").agg(*picks)
+    lists = [F.coalesce(f"__{i}", none) for i in range(len(SRV_SERVICES))]
+    found = found.select("domain", F.concat(*lists).alias("srv"))
+    failed = srv_errors(scope).select("domain", F.create_map(F.lit("SRV"), "srv_error").alias("__failed"))
+    out = df.join(found, "domain", "left").join(failed, "domain", "left")
+    errors = F.when(F.col("__failed").isNotNull(), F.map_concat("errors", "__failed")).otherwise(F.col("errors"))
+    return out.withColumns({"srv": F.coalesce("srv", none), "errors": errors}).drop("__failed")
+
+
 def want_cert_probe(df: DataFrame) -> DataFrame:
     """Domains whose certificates are worth a look: own mail host, or a published mail policy."""
     has_mx = F.coalesce(F.col("mx_host_final"), F.lit("")) != ""

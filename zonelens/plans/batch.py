@@ -67,9 +67,18 @@ def domain_base(domains: DataFrame, obs: DataFrame, suffixes: DataFrame) -> Data
 
 
 def domain_wide(
-    domains: DataFrame, obs: DataFrame, suffixes: DataFrame, policies: DataFrame | None = None, max_hops: int = 8
+    domains: DataFrame,
+    obs: DataFrame,
+    suffixes: DataFrame,
+    policies: DataFrame | None = None,
+    max_hops: int = 8,
+    changed: DataFrame | None = None,
+    srv_mode: str = "new_only",
 ) -> DataFrame:
-    """Everything known about each domain, one wide row per domain."""
+    """Everything known about each domain, one wide row per domain.
+
+    ``changed`` (``domain``, ``changed``) tells whose service records are taken unless ``srv_mode`` is ``always``.
+    """
     base = cut_lineage(domain_base(domains, obs, suffixes))
     answers = topology.host_answers(obs)
     # Crowded keys of the joins below, counted in one pass over the base.
@@ -89,6 +98,7 @@ def domain_wide(
         out = topology.attach_subhost(out, answers, prefix, hot=hot["apex"])
     out = topology.mail_policies(out, obs, hot=hot["apex"])
     out = topology.mta_sts(out, obs, policies, hot=hot["apex"])
+    out = resolve.attach_srv(out, obs, changed, srv_mode)
     out = topology.attach_ptr(cut_lineage(out), obs, suffixes)
     return topology.mx_ownership(out).withColumn("soa_text", F.get("soa", F.lit(0)))
 
@@ -100,7 +110,7 @@ def _one(c: str) -> Column:
 
 def to_records(wide: DataFrame) -> DataFrame:
     """The record envelope: domain, status and the three maps."""
-    lists = ["ns", "soa", "a", "aaaa", "mx", "txt", "caa", "naptr", "cname", "mx_ips", "ns_ips", "mx_ptr",
+    lists = ["ns", "soa", "a", "aaaa", "mx", "txt", "caa", "naptr", "srv", "cname", "mx_ips", "ns_ips", "mx_ptr",
              "mx_ptr_regdom", "ns_ptr", "ns_ptr_regdom"]
     single = ["registered_domain", "mx_host_final", "mx_regdom_final", "ns_host_final", "ns_regdom_final", "www_a",
               "www_cname", "mail_a", "mail_cname", "spf", "dmarc", "bimi"]

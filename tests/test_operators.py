@@ -137,6 +137,51 @@ def test_range_lookup_has_no_nested_loop(spark, rows):
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
 
 
+def _range_tables(spark, rows):
+    facts = rows("domain string, ip_int bigint, mx_ip_int bigint", ("a", 5, 7), ("b", 70000, None), ("c", None, 9))
+    spans = [(s, s + w, i) for i, (s, w) in enumerate((a, b) for a in (0, 4, 69990) for b in (0, 3, 17, 300, 90000))]
+    table = spark.createDataFrame([(s, e, 32 - i % 4, i, "x", "de", 0.5) for s, e, i in spans],
+                                  "start_int bigint, end_int bigint, plen int, asn int, isp string, isp_country string, risk_bias double")
+    return facts, spans, table
+
+
+def test_written_out_blocks_are_never_broadcast(spark, rows):
+    facts, spans, table = _range_tables(spark, rows)
+    for pick in (None, "narrowest"):
+        plan = ranges.asn_range_join(facts, table, pick=pick)._jdf.queryExecution().sparkPlan().toString()
+        assert "SortMergeJoin [__level" in plan
+        assert not [line for line in plan.splitlines() if "BroadcastHashJoin" in line and "__level" in line]
+    got = sorted((r.domain, r.asn) for r in ranges.asn_range_join(facts, table).collect() if r.asn is not None)
+    points = {"a": 5, "b": 70000}
+    assert got == sorted((d, i) for d, p in points.items() for s, e, i in spans if s <= p <= e)
+
+
+def test_one_range_per_address_takes_the_best_of_every_block_first(spark, rows):
+    facts, spans, table = _range_tables(spark, rows)
+    out = ranges.ip_to_asn(facts, table)
+    assert "keys=[__level" in out._jdf.queryExecution().sparkPlan().toString()
+
+    def longest(p):
+        return min(((i % 4, i) for s, e, i in spans if p is not None and s <= p <= e), default=(0, None))[1]
+
+    got = {r.domain: (r.a_asn, r.mx_asn) for r in out.collect()}
+    assert got == {"a": (longest(5), longest(7)), "b": (longest(70000), None), "c": (None, longest(9))}
+
+
+def test_labels_are_looked_up_before_ranges_fan_out(spark, rows):
+    from zonelens.plans.scored import enrich_labels
+
+    facts, spans, table = _range_tables(spark, rows)
+    facts = facts.selectExpr("*", "domain AS registered_domain", "'mx' AS mx_host_norm", "'m.net' AS mx_regdom_norm", "'ns.x' AS ns")
+    mx = rows("key string, src string, provider_name string, category string, risk_bias double", ("m.net", "regdom", "p", "c", 1.0))
+    brands = rows("key_type string, key string, provider string, notes string, risk_bias double", ("ns_brand", "ns.x", "b", "n", 2.0))
+    out = enrich_labels(facts, mx, brands, table)
+    assert out.columns.index("ns_provider_key") < out.columns.index("asn")
+    got = out.filter("domain = 'a'").collect()
+    assert len(got) == sum(s <= 5 <= e for s, e, _ in spans)
+    assert {(r.mx_provider_key, r.ns_provider_key, r.ns_risk_bias) for r in got} == {("m.net", "ns.x", 2.0)}
+
+
 # --- catalogs ---------------------------------------------------------------------------------------------------
 
 

@@ -80,6 +80,23 @@ def test_late_rows_are_answered_and_state_shrinks(spark, tmp_path):
     assert sizes and max(totals) > 50 and totals[-1] < 5
 
 
+def test_keys_of_one_bucket_share_a_state_and_stay_apart(spark, tmp_path):
+    rng = random.Random(9)
+    rows = [(f"n{rng.randrange(20)}.com", "A", rng.choice(["NOERROR", "NODATA"]), [rng.choice("ab")], 5, at(rng.randrange(600))) for _ in range(200)]
+    late = sorted(rows, key=lambda r: r[5] + timedelta(seconds=rng.randrange(15)))
+    out = str(tmp_path / "out")
+    stream = files(spark, tmp_path / "in", [late[:100], late[100:], closing()])
+    query = (
+        ordered.changes(stream, "20 seconds", buckets=1).writeStream.format("parquet").option("path", out)
+        .option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    want = change.change_history(spark.createDataFrame(rows, S.OBSERVATIONS)).withColumn("ts_us", F.unix_micros("observed_ts"))
+    cols = ["rtype", "name", "ts_us", "rcode", "prev_rcode", "is_new"]
+    assert bag(spark.read.parquet(out).select(*cols)) == bag(want.select(*cols))
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]) == 1
+
+
 def sightings(spark, folder):
     rng = random.Random(3)
     batches = [[(f"D{rng.randrange(30)}.com", "A", "NOERROR", [f"10.0.0.{rng.randrange(9)}"], 1, at(rng.randrange(10**5))) for _ in range(40)] for _ in range(11)]

@@ -21,6 +21,10 @@ from zonelens.sources import readers
 from zonelens.streaming import jobs, ordered, sinks
 
 
+# A trigger brings rows of most keys here, so the state lies in few buckets.
+_BUCKETS = 1024
+
+
 def _drain(spark, df, purpose):
     base = shared_dir(spark, purpose)
     sinks.append_to(df, f"{base}/out", f"{base}/checkpoint")
@@ -79,20 +83,23 @@ def _disordered(spark, sf, purpose):
     rows = rows.withColumns({"name": name, "answers": listed("answers_txt"), "observed_ts": F.col("observed_ts").cast("timestamp")})
     rows = rows.withColumn("arrival", F.col("observed_ts") + late)
     ends = rows.agg(F.min("arrival").alias("first"), F.max("arrival").alias("last")).first()
-    path = f"{shared_dir(spark, purpose)}/in"
+    base = shared_dir(spark, purpose)
+    path, slots = f"{base}/in", f"{base}/slots"
     columns = ["name", "rtype", "rcode", "answers", "ttl", "observed_ts"]
     step = (ends["last"] - ends["first"]) / 8
+    # All tasks deal the rows to their files in one pass; a file is then one task's work, as files arrive in their order.
+    slot = sum((F.col("arrival") >= F.lit(ends["first"] + k * step)).cast("int") for k in range(1, 8))
+    rows.withColumn("slot", slot).select(*columns, "slot").write.partitionBy("slot").parquet(slots)
+    dealt = spark.read.parquet(slots)
     for k in range(8):
-        low, high = ends["first"] + k * step, ends["first"] + (k + 1) * step
-        inside = (F.col("arrival") >= F.lit(low)) & ((F.col("arrival") < F.lit(high)) if k < 7 else F.lit(True))
-        rows.filter(inside).select(*columns).coalesce(1).write.mode("append").parquet(path)
+        dealt.filter(F.col("slot") == k).select(*columns).coalesce(1).write.mode("append").parquet(path)
     ordered.closing_mark(spark, datetime(2100, 1, 1, tzinfo=timezone.utc)).select(*columns).coalesce(1).write.mode("append").parquet(path)
     return readers.read_observation_stream(spark, path, files_per_trigger=1)
 
 
 @query("stream_change_disorder", HISTORY_SQL, "obs")
 def stream_change_disorder(spark, sf):
-    return _drain(spark, ordered.changes(_disordered(spark, sf, "change-in"), "2 days"), "change")
+    return _drain(spark, ordered.changes(_disordered(spark, sf, "change-in"), "2 days", _BUCKETS), "change")
 
 
 @query("stream_dedupe_horizon", """
@@ -105,12 +112,12 @@ def stream_change_disorder(spark, sf):
     SELECT rtype, name, ts_us FROM s WHERE sent_us = ts_us""", "obs")
 def stream_dedupe_horizon(spark, sf):
     """A key is asked at most once in three days."""
-    return _drain(spark, ordered.first_lookups(_disordered(spark, sf, "dedupe-in"), 3 * 86400, "2 days"), "dedupe")
+    return _drain(spark, ordered.first_lookups(_disordered(spark, sf, "dedupe-in"), 3 * 86400, "2 days", _BUCKETS), "dedupe")
 
 
 @query("stream_ttl_expiry", _TTL_SQL, "obs")
 def stream_ttl_expiry(spark, sf):
-    out = _drain(spark, ordered.ttl_answers(_disordered(spark, sf, "ttl-in"), "2 days"), "ttl")
+    out = _drain(spark, ordered.ttl_answers(_disordered(spark, sf, "ttl-in"), "2 days", _BUCKETS), "ttl")
     n = F.size(F.from_json("answers_json", "array<string>")).alias("n_answers")
     return out.select("rtype", "name", "ts_us", "rcode", "from_cache", "age_us", n)
 

@@ -97,6 +97,20 @@ def test_keys_of_one_bucket_share_a_state_and_stay_apart(spark, tmp_path):
     assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]) == 1
 
 
+def test_streams_by_arrival_keep_one_state_a_bucket(spark, tmp_path):
+    rows = [(f"n{i % 12}.com", "A", "NOERROR", ["ab"[i % 5 % 2]], 5, at(i)) for i in range(60)]
+    out = str(tmp_path / "out")
+    query = (
+        jobs.change_detect(files(spark, tmp_path / "in", [rows[:30], rows[30:]]), buckets=1).writeStream.format("parquet")
+        .option("path", out).option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    want = change.change_history(spark.createDataFrame(rows, S.OBSERVATIONS)).withColumn("ts_us", F.unix_micros("observed_ts"))
+    cols = ["rtype", "name", "ts_us", "rcode", "prev_rcode", "is_new"]
+    assert bag(spark.read.parquet(out).select(*cols)) == bag(want.select(*cols))
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]) == 1
+
+
 def sightings(spark, folder):
     rng = random.Random(3)
     batches = [[(f"D{rng.randrange(30)}.com", "A", "NOERROR", [f"10.0.0.{rng.randrange(9)}"], 1, at(rng.randrange(10**5))) for _ in range(40)] for _ in range(11)]

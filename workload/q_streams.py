@@ -46,7 +46,7 @@ def stream_dedupe(spark, sf):
 
 @query("stream_change", HISTORY_SQL, "obs")
 def stream_change(spark, sf):
-    return _drain(spark, jobs.change_detect(observations(spark, sf, ("events",))), "change")
+    return _drain(spark, jobs.change_detect(observations(spark, sf, ("events",)), _BUCKETS), "change")
 
 
 _TTL_SQL = """
@@ -67,7 +67,7 @@ _TTL_SQL = """
 
 @query("stream_ttl", _TTL_SQL, "obs")
 def stream_ttl(spark, sf):
-    out = _drain(spark, jobs.ttl_state(observations(spark, sf, ("events",))), "ttl")
+    out = _drain(spark, jobs.ttl_state(observations(spark, sf, ("events",)), _BUCKETS), "ttl")
     n = F.size(F.from_json("answers_json", "array<string>")).alias("n_answers")
     return out.select("rtype", "name", "ts_us", "rcode", "from_cache", "age_us", n)
 

@@ -1,12 +1,14 @@
 """Streams of observations, records and probes.
 
 Stateful functions are defined inside their operator: they travel with the job, executors need no copy of this
-package.  One call sees the rows that one key brought in one trigger, so the trigger's file limit bounds it.
+package.  One call sees the rows that one key, or bucket of keys, brought in one trigger, so the trigger's file limit bounds it.
+Buckets: see :mod:`zonelens.streaming.ordered`.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import json
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +21,7 @@ from zonelens.operators.penalty import penalty_measures, penalty_verdict
 from zonelens.operators.resolve import KEY, normal_names, retry_parts
 from zonelens.plans.scored import scored_hosts
 from zonelens.sources.writers import append_activity_delta
+from zonelens.streaming.ordered import BUCKETS
 from zonelens.streaming.sinks import COMPACT_EVERY, each_batch, merge_batch, merged_table
 
 
@@ -40,68 +43,74 @@ def _compact(obs: DataFrame) -> DataFrame:
     )
 
 
-def ttl_state(obs: DataFrame) -> DataFrame:
+def _as_they_arrive(
+    obs: DataFrame, output: str, step: Callable[[list | None, list], tuple[list, tuple | None]], buckets: int,
+) -> DataFrame:
+    """Fold every key's rows in the order of their triggers, and by time within a trigger.
+
+    ``step`` takes the stored value (or None) and the next row (ts_us, rcode, ttl, answers_json) and gives the new value
+    and an output row (or None).
+    """
+    columns = [part.split()[0] for part in output.split(", ")]
+
+    def fold(bucket: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held = {(rtype, name): value for rtype, name, value in json.loads(state.get[0])} if state.exists else {}
+        rows = []
+        for part in chunks:
+            rows += zip(*[part[c].tolist() for c in ("ts_us", "rcode", "ttl", "answers_json", "rtype", "name")])
+        rows.sort(key=lambda row: row[:4])
+        out = []
+        for ts, rcode, ttl, answers, *key in rows:
+            key = tuple(key)
+            held[key], found = step(held.get(key), [int(ts), rcode, int(ttl), answers])
+            if found is not None:
+                out.append((*key, *found))
+        state.update((json.dumps([(*key, value) for key, value in held.items()]),))
+        if out:
+            yield pd.DataFrame(dict(zip(columns, map(list, zip(*out)))), columns=columns)
+
+    rows = _compact(obs).withColumn("bucket", F.pmod(F.xxhash64(*KEY), F.lit(buckets)))
+    return rows.groupBy("bucket").applyInPandasWithState(fold, output, "held string", "append", GroupStateTimeout.NoTimeout)
+
+
+def ttl_state(obs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """Answer lookups as they arrive from the last stored answer while that is valid, else store the new one.
 
     Output per observation that is not older than the state: the answer served, where it came from, and its age.
     :func:`zonelens.streaming.ordered.ttl_answers` waits for late rows instead and removes state that has expired.
     """
-    schema = "rtype string, name string, ts_us bigint, rcode string, answers_json string, from_cache boolean, age_us bigint"
-    state_schema = "rcode string, answers_json string, ttl bigint, ts_us bigint"
 
-    def serve(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(chunks)).sort_values(["ts_us", "rcode", "ttl", "answers_json"], kind="stable")
-        stored = tuple(state.get) if state.exists else None
-        out = []
-        for rcode, answers, ttl, ts in zip(rows.rcode, rows.answers_json, rows.ttl, rows.ts_us):
-            ts, ttl = int(ts), int(ttl)
-            if stored is not None and ts < stored[3]:
-                continue  # older than the state
-            valid = stored is not None and ts - stored[3] < stored[2] * 1_000_000
-            if not valid:
-                stored = (rcode, answers, ttl, ts)
-            out.append((*key, ts, stored[0], stored[1], valid, ts - stored[3]))
-        if stored is not None:
-            state.update(stored)
-        yield pd.DataFrame(out, columns=["rtype", "name", "ts_us", "rcode", "answers_json", "from_cache", "age_us"])
-
-    return (
-        _compact(obs)
-        .groupBy(*KEY)
-        .applyInPandasWithState(serve, schema, state_schema, "append", GroupStateTimeout.NoTimeout)
-    )
+    def serve(stored: list | None, row: list) -> tuple[list, tuple | None]:
+        ts = row[0]
+        if stored is not None and ts < stored[0]:
+            return stored, None  # older than the state
+        valid = stored is not None and ts - stored[0] < stored[2] * 1_000_000
+        kept = stored if valid else row
+        return kept, (ts, kept[1], kept[3], valid, ts - kept[0])
 
+    output = "rtype string, name string, ts_us bigint, rcode string, answers_json string, from_cache boolean, age_us bigint"
+    return _as_they_arrive(obs, output, serve, buckets)
 
-def change_detect(obs: DataFrame) -> DataFrame:
+
+def change_detect(obs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """Observations, in the order of their arrival, that differ from the one before for their key.
 
     :func:`zonelens.streaming.ordered.changes` puts late rows in their place instead.
     """
-    schema = "rtype string, name string, ts_us bigint, rcode string, prev_rcode string, is_new boolean"
-    state_schema = "rcode string, answers_json string, ts_us bigint"
 
-    def compare(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(chunks)).sort_values(["ts_us", "rcode", "ttl", "answers_json"], kind="stable")
-        last = tuple(state.get) if state.exists else None
-        out = []
-        for rcode, answers, ts in zip(rows.rcode, rows.answers_json, rows.ts_us):
-            ts = int(ts)
-            if last is not None and ts < last[2]:
-                continue  # older than the state
-            if last is None:
-                out.append((*key, ts, rcode, None, True))
-            elif (rcode, answers) != last[:2]:
-                out.append((*key, ts, rcode, last[0], False))
-            last = (rcode, answers, ts)
-        if last is not None:
-            state.update(last)
-        yield pd.DataFrame(out, columns=["rtype", "name", "ts_us", "rcode", "prev_rcode", "is_new"])
-
-    return (
-        _compact(obs)
-        .groupBy(*KEY)
-        .applyInPandasWithState(compare, schema, state_schema, "append", GroupStateTimeout.NoTimeout)
-    )
+    def compare(last: list | None, row: list) -> tuple[list, tuple | None]:
+        ts, rcode, _, answers = row
+        if last is not None and ts < last[2]:
+            return last, None  # older than the state
+        found = None
+        if last is None:
+            found = (ts, rcode, None, True)
+        elif [rcode, answers] != last[:2]:
+            found = (ts, rcode, last[0], False)
+        return [rcode, answers, ts], found
+
+    output = "rtype string, name string, ts_us bigint, rcode string, prev_rcode string, is_new boolean"
+    return _as_they_arrive(obs, output, compare, buckets)
 
 
 def activity(rows: DataFrame) -> DataFrame:

@@ -52,6 +52,25 @@ def test_hosts_against_idna(spark):
     assert got[0] == "xn--mnchen-3ya.de"
 
 
+def test_ascii_hosts_label_by_label(spark):
+    rng = random.Random(9)
+    hosts = ["", None, "...", "-", "a.-.b", "-a-..-b-.", "x" * 63 + "-" + "y.Z", "w" * 62 + "--q.c", "\x00a_b.\tc\n", "a\n", "é-ü.É-x"]
+    hosts += ["".join(rng.choices("aB9-._, \n\x7f", k=rng.randint(1, 12))) for _ in range(3000)]
+    hosts += [".".join("".join(rng.choices("aB9-_", k=rng.randint(55, 75))) for _ in range(2)) for _ in range(300)]
+
+    def plain(host):
+        kept = ["".join(c for c in x if c.isascii() and (c.isalnum() or c == "-")) for x in (host or "").split(".")]
+        return ".".join(filter(None, (x.strip("-")[:63].strip("-") for x in kept))).lower()
+
+    assert column(spark, hosts, H.ascii_host) == [plain(h) for h in hosts]
+
+
+def test_hosts_run_as_generated_code_without_lambdas(spark):
+    df = spark.createDataFrame([("A.b",)], "host string")
+    plan = normalize_hosts(df, ["host"])._jdf.queryExecution().toString()
+    assert "lambda" not in plan and "translate(" in plan
+
+
 def test_hosts_of_documents_against_idna(spark):
     import __spark_entry__ as entry
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column
@@ -45,46 +45,61 @@ def last_labels(c: Column, n: int) -> Column:
 
 
 def is_ascii(c: Column) -> Column:
-    return F.coalesce(c, F.lit("")).rlike(r"^[\x00-\x7F]*$")
+    """True where every character takes one byte; null counts as ''."""
+    return F.coalesce(F.octet_length(c) == F.length(c), F.lit(True))
+
+
+# A host that is in LDH form but for upper case, and the ASCII characters that no host in this form has.
+_LDH_LABEL = "[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?"
+_LDH_HOST = rf"\A{_LDH_LABEL}(?:\.{_LDH_LABEL})*\z"
+_NOT_LDH = "".join(chr(i) for i in range(1, 128) if not (chr(i).isalnum() or chr(i) in ".-"))
 
 
 def ascii_host(c: Column) -> Column:
     """Host of ASCII labels in LDH form: other characters dropped, hyphens trimmed, 63 characters at most (B2).
 
     An ASCII label that IDNA accepts is already in this form, so no lookup is needed; rows with other
-    characters go through :func:`idna_host` (see ``operators.normalize.normalize_hosts``).
+    characters go through :func:`idna_host` (see ``operators.normalize.normalize_hosts``).  Most hosts are in this
+    form, or once characters are dropped; replacements by pattern cost several times a test and are for the others.
     """
-
-    def ldh(label: Column) -> Column:
-        kept = F.trim(F.regexp_replace(label, "[^A-Za-z0-9-]", ""), F.lit("-"))
-        return F.trim(F.substring(kept, 1, 63), F.lit("-"))
-
-    host = F.trim(strip(F.coalesce(c, F.lit(""))), F.lit("."))
-    clean = F.filter(F.transform(F.split(host, r"\."), ldh), lambda x: x != "")
-    return F.lower(F.array_join(clean, "."))
+    dropped = F.translate(c, _NOT_LDH, "")
+    kept = F.regexp_replace(F.coalesce(c, F.lit("")), "[^A-Za-z0-9.-]+", "")
+    joined = F.trim(F.regexp_replace(kept, r"-*\.[.-]*", "."), F.lit(".-"))
+    cut = F.regexp_replace(F.regexp_replace(joined, r"([^.]{63})[^.]+", "$1"), r"-+(?=\.|\z)", "")
+    return F.lower(F.when(c.rlike(_LDH_HOST), c).when(dropped.rlike(_LDH_HOST), dropped).otherwise(cut))
 
 
 def idna_host(c: Column) -> Column:
     """Punycode form of hosts with non-ASCII labels; used on the rare rows that need it.
 
-    The helpers are nested so that they travel with the job and executors need no copy of this package.
+    A worker remembers the labels it met last, as labels recur.  The helpers are nested so that they travel with the
+    job and executors need no copy of this package.
     """
 
-    def encode_label(label: str) -> str:
+    def encode_hosts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        import re
+        from functools import lru_cache
+
         import idna  # a missing package must end the job: else hosts would differ from executor to executor
 
-        try:
-            return idna.encode(label, uts46=True, std3_rules=False).decode("ascii")
-        except UnicodeError:  # not encodable: keep the LDH characters
-            kept = "".join(ch for ch in label if ch.isascii() and (ch.isalnum() or ch == "-"))
-            return kept.strip("-")[:63].strip("-")
+        never = re.compile(r"[\x00-,./:-@\[-`{-\x7f]")
+
+        @lru_cache(maxsize=1 << 17)
+        def encode_label(label: str) -> str:
+            try:
+                if never.search(label):  # no mapping takes such a character away, so IDNA would refuse it
+                    raise UnicodeError
+                return idna.encode(label, uts46=True, std3_rules=False).decode("ascii")
+            except UnicodeError:  # not encodable: keep the LDH characters
+                kept = "".join(ch for ch in label if ch.isascii() and (ch.isalnum() or ch == "-"))
+                return kept.strip("-")[:63].strip("-")
 
-    def encode_hosts(hosts: pd.Series) -> pd.Series:
         def encode(host: str | None) -> str:
             parts = (host or "").strip().strip(".").split(".")
             return ".".join(filter(None, (encode_label(p) for p in parts if p))).lower()
 
-        return hosts.map(encode)
+        for hosts in batches:
+            yield hosts.map(encode)
 
     return F.pandas_udf(encode_hosts, T.StringType())(c)
 

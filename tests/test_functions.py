@@ -90,6 +90,23 @@ def test_hosts_of_documents_against_idna(spark):
         assert got[doc_id, at] == ".".join(x for x in labels if x).lower()
 
 
+def test_prefixes_mask_one_group_and_plain_ones_take_no_lambda(spark):
+    rng = random.Random(14)
+    given_, expected = [], []
+    for _ in range(1500):
+        bits = rng.choice([32, 128])
+        number = rng.getrandbits(bits) & rng.getrandbits(bits) & (rng.getrandbits(bits) << rng.randrange(bits))
+        plen = rng.randint(0, bits)
+        kind = ipaddress.IPv4Address if bits == 32 else ipaddress.IPv6Address
+        address = kind(number % 2**bits)
+        given_.append(f" {rng.choice([address.exploded.upper(), address.compressed])}/{plen}")
+        expected.append(ipaddress.ip_network(f"{address}/{plen}", strict=False).compressed)
+    assert column(spark, given_, I.canonical_prefix) == expected
+    df = spark.createDataFrame([("1.2.3.4/8",)], "c string").select(I.canonical_prefix(F.col("c")))
+    plan = df._jdf.queryExecution().toString()
+    assert "shiftleft" in plan and "exists(" not in plan
+
+
 def test_txt(spark):
     assert column(spark, ['"a"', ' "b" ', '"', '""', "C", None], H.normalize_txt) == ["a", "b", '"', "", "C", ""]
 

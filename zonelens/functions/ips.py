@@ -34,13 +34,12 @@ def _expand(text: Column) -> Column:
     """Groups of lower-case IPv6 text without leading zeros, '::' filled up to eight; null for a bad shape."""
     present = F.size(F.array_remove(F.split(text, ":"), ""))
     gap = F.contains(text, F.lit("::"))
-    shape = text.rlike("^[0-9a-f:]+$") & ~text.rlike(r":::|::.*::|^:[^:]|[^:]:$")
+    shape = text.rlike("^[0-9a-f:]+$") & ~text.rlike(r":::|::.*::|^:[^:]|[^:]:$|[0-9a-f]{5}")
     fill = F.concat(F.lit(":"), F.repeat(F.lit("0:"), F.greatest(F.lit(8) - present, F.lit(0))))
     full = F.trim(F.replace(text, F.lit("::"), fill), F.lit(":"))
-    groups = F.transform(F.split(full, ":"), lambda g: F.regexp_replace(g, "^0+(?=.)", ""))
-    long_groups = F.exists(F.split(text, ":"), lambda g: F.length(g) > 4)
-    counted = (gap & (present <= 7)) | (~gap & (present == 8))
-    return F.when(shape & counted & ~long_groups, groups)
+    groups = F.split(F.regexp_replace(full, r"\b0+(?=[0-9a-f])", ""), ":")
+    counted = F.when(gap, present <= 7).otherwise(present == 8)
+    return F.when(shape & counted, groups)
 
 
 def ipv6_groups(c: Column) -> Column:
@@ -78,12 +77,15 @@ def _compress(joined: Column) -> Column:
     """Replace the first longest run of two or more zero groups by '::'."""
 
     def shorten(text: Column) -> Column:
+        framed = F.concat(F.lit(":"), text, F.lit(":"))
         out = text
         for run in range(2, 9):  # the longest run is tried first because it becomes the outermost branch
-            pattern = rf"^(.*?)(?:^|:)0(?::0){{{run - 1}}}(?:$|:)(.*)$"
-            short = F.concat(F.regexp_extract(text, pattern, 1), F.lit("::"), F.regexp_extract(text, pattern, 2))
-            out = F.when(text.rlike(rf"(^|:)0(:0){{{run - 1}}}($|:)"), short).otherwise(out)
-        return F.when(text.rlike("(^|:)0:0($|:)"), out).otherwise(text)
+            zeros = ":" + "0:" * run
+            before = F.substring_index(framed, zeros, 1)
+            after = F.substring(framed, F.length(before) + F.lit(len(zeros) + 1), F.length(framed))
+            short = F.concat(F.trim(before, F.lit(":")), F.lit("::"), F.trim(after, F.lit(":")))
+            out = F.when(F.contains(framed, F.lit(zeros)), short).otherwise(out)
+        return F.when(F.contains(framed, F.lit(":0:0:")), out).otherwise(text)
 
     return let(joined, shorten)
 
@@ -118,8 +120,26 @@ def _block_start(number: Column, bits: Column) -> Column:
     return number - F.pmod(number, F.pow(F.lit(2.0), bits).cast("bigint"))
 
 
+_PREFIX4 = rf"\A{_OCTET}(\.{_OCTET}){{3}}/([12]?[0-9]|3[0-2])\z"
+
+
+def _network4(text: Column) -> Column:
+    """Network form of a plain IPv4 prefix, octet by octet."""
+    plen = F.substring_index(text, "/", -1).cast("int")
+
+    def masked(i: int) -> Column:
+        octet = F.substring_index(F.substring_index(F.substring_index(text, "/", 1), ".", i + 1), ".", -1).cast("int")
+        free = F.lit(8) - F.greatest(F.least(plen - 8 * i, F.lit(8)), F.lit(0))
+        return octet.bitwiseAND(F.call_function("shiftleft", F.lit(255), free)).cast("string")
+
+    return F.concat_ws("/", F.concat_ws(".", *[masked(i) for i in range(4)]), plen.cast("string"))
+
+
 def canonical_prefix(c: Column) -> Column:
-    """Network form of a CIDR text: host bits cleared; a bare address gets its full length."""
+    """Network form of a CIDR text: host bits cleared; a bare address gets its full length.
+
+    A plain IPv4 prefix, the usual text, takes generated code alone; everything else goes through lambdas.
+    """
     text = strip(c)
     pieces = F.split(text, "/", 2)
 
@@ -131,11 +151,15 @@ def canonical_prefix(c: Column) -> Column:
         len6 = F.when(bare, F.lit(128)).otherwise(plen)
 
         def v6(groups: Column) -> Column:
-            def masked(group: Column, i: Column) -> Column:
-                keep = F.greatest(F.least(len6 - i * 16, F.lit(16)), F.lit(0))
-                return F.lower(F.hex(_block_start(F.conv(group, 16, 10).cast("bigint"), 16 - keep)))
-
-            shown = F.concat_ws("/", _compress(F.array_join(F.transform(groups, masked), ":")), len6.cast("string"))
+            # Groups before the end of the prefix stay, the one it ends in is masked, the others are 0.
+            whole, rest = F.floor(len6 / 16).cast("int"), len6 % 16
+            edge = F.conv(F.get(groups, whole), 16, 10).cast("bigint")
+            ends = F.when(rest > 0, F.array(F.lower(F.hex(_block_start(edge, 16 - rest))))).otherwise(
+                F.array().cast("array<string>")
+            )
+            filled = F.concat(F.slice(groups, F.lit(1), whole), ends, F.array_repeat(F.lit("0"), F.lit(8)))
+            kept = F.array_join(F.slice(filled, 1, 8), ":")
+            shown = F.concat_ws("/", _compress(kept), len6.cast("string"))
             return F.when(groups.isNotNull() & len6.between(0, 128), shown)
 
         v4 = F.concat_ws("/", let(_block_start(ipv4_to_int(addr), 32 - len4), int_to_ipv4), len4.cast("string"))
@@ -143,4 +167,4 @@ def canonical_prefix(c: Column) -> Column:
             is_ipv4(addr) & len4.between(0, 32), v4
         )
 
-    return F.coalesce(let(pieces, network), text)
+    return F.when(text.rlike(_PREFIX4), _network4(text)).otherwise(F.coalesce(let(pieces, network), text))

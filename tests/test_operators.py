@@ -496,3 +496,21 @@ def test_profile_takes_the_first_alias(spark):
     wide = wide.withColumn("registered_domain", F.col("domain"))
     got = {r["domain"]: r["cname"] for r in to_domain_profile(wide).select("domain", "cname").collect()}
     assert got == {"a.com": "cdn.net", "b.com": None, "c.com": None}
+
+
+def test_ptr_tells_addresses_by_reverse_name_once_per_address(spark):
+    from zonelens.operators import topology
+
+    lists = ", ".join(f"{c} array<string>" for c in ("a", "aaaa", "mx_ips", "ns_ips"))
+    rows = [("d1", [" 1.2.3.4", "bad", "", None, "1.2.3.4"], ["2001:DB8::1"], ["1.2.3.4"], ["999.1.1.1"]), ("d2", None, [], ["x"], None)]
+    df = spark.createDataFrame(rows, f"domain string, {lists}")
+    v6 = ".".join("1" + "0" * 23 + "8bd01002") + ".ip6.arpa"
+    found = [("4.3.2.1.in-addr.arpa", ["h.net."]), (v6, ["v6.org"]), ("bad", ["no.org"]), ("", ["no.org"]), ("1.1.1.999.in-addr.arpa", ["no.org"])]
+    obs = spark.createDataFrame(found, "name string, answers array<string>").selectExpr(
+        "name", "'PTR' AS rtype", "'NOERROR' AS rcode", "answers", "60 AS ttl", "timestamp_seconds(1) AS observed_ts")
+    suffixes = spark.createDataFrame([("net", 1), ("org", 1)], "suffix string, n_labels int")
+    out = topology.attach_ptr(df, obs, suffixes)
+    got = {r.domain: (r.ptr, r.mx_ptr, r.mx_ptr_regdom, r.ns_ptr) for r in out.collect()}
+    assert got == {"d1": ({"1.2.3.4": "h.net", "2001:DB8::1": "v6.org"}, ["h.net"], ["h.net"], []), "d2": ({}, [], [], [])}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not [x for x in plan.splitlines() if "Generate explode" in x and "RLIKE" in x]

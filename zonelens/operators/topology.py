@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from zonelens.functions import hosts as H
 from zonelens.functions import policies as P
-from zonelens.functions.ips import reverse_pointer, valid_ips
+from zonelens.functions.ips import reverse_pointer
 from zonelens.operators.joins import Crowded, cut_lineage, hot_keys, hot_lists, spread_join
 from zonelens.operators.resolve import is_positive, latest_observation, newest_order, normal_names
 from zonelens.operators.suffixes import with_registered_domain
@@ -347,12 +347,14 @@ def attach_ptr(df: DataFrame, obs: DataFrame, suffixes: DataFrame, name: str = "
     """PTR map of all addresses, and PTR hosts and registered domains of the mail and name-server addresses.
 
     ``df`` has the lists ``a``, ``aaaa``, ``mx_ips`` and ``ns_ips``, and may have the sub-host addresses ``www_a`` and
-    ``mail_a``.  Pairs of domain and address are made
-    distinct before they are shuffled, then only the found hosts come back to the domain.
+    ``mail_a``.  Pairs of domain and address are made distinct before they are shuffled, then only the found hosts come
+    back to the domain.  The reverse name, taken once per distinct address, tells which texts are addresses: the others
+    have none and find nothing.
     """
     lists = [F.col(c) for c in ("a", "aaaa", "mx_ips", "ns_ips")]
     lists += [F.array_compact(F.array(c)) for c in ("www_a", "mail_a") if c in df.columns]
-    pairs = df.select(name, F.explode(valid_ips(all_ips(*lists))).alias("ip")).distinct()
+    pairs = df.select(name, F.explode(F.transform(all_ips(*lists), H.strip)).alias("ip")).filter("ip <> ''").distinct()
+    pairs = cut_lineage(pairs)  # read three times below
     table = ptr_results(pairs, obs).filter(F.col("ptr") != "").select("ip", "ptr")
     table = with_registered_domain(table, suffixes, host="ptr", regdom="ptr_regdom", tld=None)
     found = spread_join(pairs, table, ["ip"], [name], how="inner")

@@ -514,3 +514,26 @@ def test_ptr_tells_addresses_by_reverse_name_once_per_address(spark):
     assert got == {"d1": ({"1.2.3.4": "h.net", "2001:DB8::1": "v6.org"}, ["h.net"], ["h.net"], []), "d2": ({}, [], [], [])}
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert not [x for x in plan.splitlines() if "Generate explode" in x and "RLIKE" in x]
+
+
+def _plan_inputs():
+    from zonelens.plans import batch
+
+    obs = [("A.com.", "A", "NOERROR", ["10.0.0.1"], 60, at(i)) for i in range(40)]
+    obs += [("a.com", "A", "NOERROR", ["10.0.0.2"], 61, at(99)), ("a.com", "MX", "NOERROR", ["10:mx.b.net."], 5, at(1)),
+            ("a.com", "TXT", "NOERROR", ["v=spf1 a"], 5, at(1)), ("_dmarc.b.com", "TXT", "NOERROR", ["v=DMARC1; p=none"], 5, at(1)),
+            ("www.a.com", "A", "NOERROR", ["10.0.0.3"], 5, at(1)), ("www.a.com", "CNAME", "NOERROR", ["Cdn.net."], 5, at(1)),
+            ("mx.b.net", "CNAME", "NOERROR", ["Relay.org."], 5, at(1)), ("relay.org", "A", "NOERROR", ["10.0.0.9"], 5, at(1)),
+            ("9.0.0.10.in-addr.arpa", "PTR", "NOERROR", ["p.relay.org."], 5, at(1)), ("b.com", "A", "NXDOMAIN", [], 5, at(1))]
+    return batch, obs
+
+
+def test_observations_are_dealt_before_they_are_sorted(spark):
+    batch, obs = _plan_inputs()
+    wide = batch.wide_answers(spark.createDataFrame(obs, OBS))
+    got = {r.domain: (r.a_answers, r.a_ttl, r.mx_answers) for r in wide.collect()}
+    assert got["a.com"] == (["10.0.0.2"], 61, ["10:mx.b.net."]) and len(got) == 6
+    plan = wide._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    first = plan[plan.rindex("SortAggregate"):]
+    assert "REBALANCE_PARTITIONS_BY_COL" in first  # no scan's rows are sorted where they are read
+    assert plan.count("ENSURE_REQUIREMENTS") == 1  # the grouping does not count on the dealing, so crowded parts may be split

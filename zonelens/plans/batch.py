@@ -12,7 +12,7 @@ from zonelens.functions import records as R
 from zonelens.operators import change, crawl, graph, resolve, rows, topology
 from zonelens.operators.joins import cut_lineage, hot_lists
 from zonelens.operators.normalize import clean_domains, normalize_hosts
-from zonelens.operators.resolve import is_positive, newest_order, normal_names
+from zonelens.operators.resolve import dealt, is_positive, newest_order, normal_names
 from zonelens.operators.suffixes import with_registered_domain
 from zonelens.sources import writers
 
@@ -20,11 +20,15 @@ TYPES = ("NS", "SOA", "A", "AAAA", "MX", "TXT", "CAA", "NAPTR", "CNAME", "DNSKEY
 
 
 def wide_answers(obs: DataFrame) -> DataFrame:
-    """Newest answer of every record type side by side: one aggregation for all ten types."""
-    obs, order = normal_names(obs), newest_order()
+    """Newest answer of every record type side by side: one aggregation for all ten types.
+
+    A row of ten answers is far wider than an observation, so observations are dealt by name first: each name is then
+    one wide row, or few, before the shuffle of the aggregation.
+    """
+    obs, order = dealt(normal_names(obs).filter(F.col("rtype").isin(*TYPES))), newest_order()
     payload = F.struct("rcode", F.coalesce("answers", F.array().cast("array<string>")).alias("answers"), "ttl")
     picks = [F.max_by(payload, F.when(F.col("rtype") == t, order)).alias(f"__{t}") for t in TYPES]
-    wide = obs.filter(F.col("rtype").isin(*TYPES)).groupBy(F.col("name").alias("domain")).agg(*picks)
+    wide = obs.groupBy(F.col("name").alias("domain")).agg(*picks)
     out = [F.col("domain")]
     for t in TYPES:
         k = t.lower()
@@ -44,7 +48,9 @@ def _good(t: str) -> Column:
 
 def domain_base(domains: DataFrame, obs: DataFrame, suffixes: DataFrame) -> DataFrame:
     """One row per distinct domain: its newest answers, status, registered domain, mail and name-server host."""
-    names = normalize_hosts(clean_domains(domains.select("domain")), ["domain"]).filter("domain <> ''").distinct()
+    # Cut, because the optimizer would move the tests of names below the distinct, to every row.
+    asked = clean_domains(cut_lineage(domains.select("domain").distinct()))
+    names = normalize_hosts(asked, ["domain"]).filter("domain <> ''").distinct()
     wide = wide_answers(obs)
     fill = {}
     for t in TYPES:

@@ -537,3 +537,31 @@ def test_observations_are_dealt_before_they_are_sorted(spark):
     first = plan[plan.rindex("SortAggregate"):]
     assert "REBALANCE_PARTITIONS_BY_COL" in first  # no scan's rows are sorted where they are read
     assert plan.count("ENSURE_REQUIREMENTS") == 1  # the grouping does not count on the dealing, so crowded parts may be split
+
+
+def test_plan_groups_observations_once_and_names_once(spark, tmp_path, monkeypatch):
+    batch, obs = _plan_inputs()
+    plans = []
+
+    def cut(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        path = f"{tmp_path}/{len(plans)}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    monkeypatch.setattr(batch, "cut_lineage", cut)
+    monkeypatch.setattr(topology, "cut_lineage", cut)
+    spark.createDataFrame(obs, OBS).write.parquet(f"{tmp_path}/obs")
+    seen = spark.read.schema(OBS).parquet(f"{tmp_path}/obs")
+    domains = spark.createDataFrame([("A.com",), ("b.com.",), ("A.com",)], "domain string")
+    suffixes = spark.createDataFrame([("com", 1), ("net", 1), ("org", 1)], "suffix string, n_labels int")
+    out = batch.domain_wide(domains, seen, suffixes)
+    got = {r.domain: r for r in out.collect()}
+    a, b = got["a.com"], got["b.com"]
+    assert (a.a, a.mx_host_final, a.mx_ips, a.mx_ptr, a.www_a, a.www_cname, a.spf) == (
+        ["10.0.0.2"], "relay.org", ["10.0.0.9"], ["p.relay.org"], "10.0.0.3", "cdn.net", "v=spf1 a")
+    assert (b.a, b.mx_ips, b.www_a, b.dmarc, len(got)) == ([], [], "", "v=DMARC1; p=none", 2)
+    plans.append(out._jdf.queryExecution().optimizedPlan().toString())
+    scans = [x for p in plans for x in p.splitlines() if "Relation [" in x and "observed_ts" in x]
+    assert len(scans) == 2, scans  # one for the ten types, one for reverse names
+    assert any("Aggregate [domain#" in p and "RLIKE" not in p and p.count("\n") < 4 for p in plans)

@@ -53,10 +53,13 @@ def host_answers(obs: DataFrame) -> DataFrame:
     )
 
 
-def alias_edges(obs: DataFrame) -> DataFrame:
-    """name -> target of the first CNAME answer; self-loops and blanks end a chain and are left out."""
+def alias_edges(obs: DataFrame, cname: DataFrame | None = None) -> DataFrame:
+    """name -> target of the first CNAME answer; self-loops and blanks end a chain and are left out.
+
+    ``cname`` are the positive CNAME answers, where the caller has them.
+    """
     target = F.lower(H.strip_dots(F.get("answers", F.lit(0))))
-    edges = positive_answers(obs, "CNAME").select("name", target.alias("target"))
+    edges = (positive_answers(obs, "CNAME") if cname is None else cname).select("name", target.alias("target"))
     return edges.filter((F.col("target") != "") & (F.col("target") != F.col("name")))
 
 
@@ -178,12 +181,14 @@ def mail_policies(
     name: str = "domain",
     apex: str = "registered_domain",
     hot: Hot = None,
+    txt: DataFrame | None = None,
 ) -> DataFrame:
     """SPF, DMARC and BIMI texts.
 
-    A name with TXT answers of its own is searched there; other names ask the policy owner names.
+    A name with TXT answers of its own is searched there; other names ask the policy owner names.  ``txt`` are the
+    positive TXT answers, where the caller has them.
     """
-    txt = positive_answers(obs, "TXT")
+    txt = positive_answers(obs, "TXT") if txt is None else txt
     apex_names = df.select(F.col(apex)).distinct()
     # The owner names depend on the registered domain alone, so they are looked up once per domain.
     wide = apex_names
@@ -221,9 +226,10 @@ def mta_sts(
     name: str = "domain",
     apex: str = "registered_domain",
     hot: Hot = None,
+    txt: DataFrame | None = None,
 ) -> DataFrame:
-    """MTA-STS and TLS-RPT fields from policy owner names and stored policy files."""
-    txt = positive_answers(obs, "TXT")
+    """MTA-STS and TLS-RPT fields from policy owner names and stored policy files (B21-B23); ``txt`` as above."""
+    txt = positive_answers(obs, "TXT") if txt is None else txt
     apexes = df.select(apex).distinct()
     for prefix, column in (("_mta-sts.", "__sts"), ("_smtp._tls.", "__rpt")):
         side = txt.select(F.col("name").alias("__owner"), H.join_txt_records(F.col("answers")).alias(column))

@@ -46,12 +46,27 @@ def _good(t: str) -> Column:
     return F.when(hit, F.col(f"{k}_answers")).otherwise(F.array().cast("array<string>"))
 
 
-def domain_base(domains: DataFrame, obs: DataFrame, suffixes: DataFrame) -> DataFrame:
-    """One row per distinct domain: its newest answers, status, registered domain, mail and name-server host."""
+def _positive(wide: DataFrame, t: str) -> DataFrame:
+    """Positive answers of one type out of :func:`wide_answers`: name, answers, ttl."""
+    found = wide.select(F.col("domain").alias("name"), _good(t).alias("answers"), F.col(f"{t.lower()}_ttl").alias("ttl"))
+    return found.filter(F.size("answers") > 0)
+
+
+def _hosts(wide: DataFrame) -> DataFrame:
+    """:func:`topology.host_answers` out of :func:`wide_answers`, without names that have none."""
+    cname = F.coalesce(F.lower(H.strip_dots(F.get(_good("CNAME"), F.lit(0)))), F.lit(""))
+    found = wide.select(F.col("domain").alias("name"), _good("A").alias("a"), _good("AAAA").alias("aaaa"), cname.alias("cname"))
+    return found.filter((F.size("a") > 0) | (F.size("aaaa") > 0) | (F.col("cname") != ""))
+
+
+def domain_base(domains: DataFrame, wide: DataFrame, suffixes: DataFrame) -> DataFrame:
+    """One row per distinct domain: its newest answers, status, registered domain, mail and name-server host.
+
+    ``wide`` comes from :func:`wide_answers`.
+    """
     # Cut, because the optimizer would move the tests of names below the distinct, to every row.
     asked = clean_domains(cut_lineage(domains.select("domain").distinct()))
     names = normalize_hosts(asked, ["domain"]).filter("domain <> ''").distinct()
-    wide = wide_answers(obs)
     fill = {}
     for t in TYPES:
         k = t.lower()
@@ -84,15 +99,19 @@ def domain_wide(
     """Everything known about each domain, one wide row per domain.
 
     ``changed`` (``domain``, ``changed``) tells whose service records are taken unless ``srv_mode`` is ``always``.
+    Observations are grouped once for all ten types.  What hangs on hosts and zones is looked up for short rows of domain
+    and keys; the wide rows are shuffled once, by domain.
     """
-    base = cut_lineage(domain_base(domains, obs, suffixes))
-    answers = topology.host_answers(obs)
+    newest = cut_lineage(wide_answers(obs))
+    base = cut_lineage(domain_base(domains, newest, suffixes))
+    answers, txt = _hosts(newest), _positive(newest, "TXT")
     # Crowded keys of the joins below, counted in one pass over the base.
     mx_host = F.nullif("mx_host", F.lit(""))
     hot = hot_lists(base, {"mx": mx_host, "ns": F.col("ns_host_final"), "apex": F.col("registered_domain")})
-    out = topology.cname_chain(
-        base.withColumn("host", mx_host), topology.alias_edges(obs), "host", max_hops, hot=hot["mx"]
-    )
+    keys = ["registered_domain", "mx_host", "ns_host_final"]
+    edges = topology.alias_edges(obs, _positive(newest, "CNAME"))
+    asked = base.select("domain", *keys, mx_host.alias("host"))
+    out = topology.cname_chain(asked, edges, "host", max_hops, hot=hot["mx"])
     out = out.withColumnsRenamed({"final_host": "mx_host_final", "cname_chain": "mx_cname_chain"}).drop("host")
     out = with_registered_domain(out, suffixes, host="mx_host_final", regdom="mx_regdom_final", tld=None)
     # Many mail hosts can be aliases of one, so the final hosts are counted again.
@@ -102,10 +121,11 @@ def domain_wide(
     out = topology.attach_host_ips(out, answers, "ns_host_final", "ns_ips", hot=hot["ns"])
     for prefix in ("www", "mail"):
         out = topology.attach_subhost(out, answers, prefix, hot=hot["apex"])
-    out = topology.mail_policies(out, obs, hot=hot["apex"])
-    out = topology.mta_sts(out, obs, policies, hot=hot["apex"])
+    out = topology.mail_policies(out, obs, hot=hot["apex"], txt=txt)
+    out = topology.mta_sts(out, obs, policies, hot=hot["apex"], txt=txt)
+    out = base.join(cut_lineage(out.drop(*keys)), "domain", "left")
     out = resolve.attach_srv(out, obs, changed, srv_mode)
-    out = topology.attach_ptr(cut_lineage(out), obs, suffixes)
+    out = topology.attach_ptr(out, obs, suffixes)
     return topology.mx_ownership(out).withColumn("soa_text", F.get("soa", F.lit(0)))
 
 

@@ -139,3 +139,20 @@ def test_merged_tables_equal_the_batch_and_survive_replays(spark, tmp_path):
 
 def test_merged_table_of_nothing(spark, tmp_path):
     assert jobs.merged_nodes(spark, str(tmp_path / "none")).collect() == []
+
+
+def test_an_arrival_is_one_trigger_of_many_files(spark, tmp_path, monkeypatch):
+    from workload import q_streams
+
+    names = [(i, f"n{i % 40}.com", "A", "NOERROR", "1.1.1.1", 60, START.replace(tzinfo=None) + timedelta(hours=i if i < 90 else 700)) for i in range(100)]
+    obs = spark.createDataFrame(names, "event_id long, name string, rtype string, rcode string, answers_txt string, ttl int, observed_ts timestamp_ntz")
+    monkeypatch.setattr(q_streams, "load", lambda *_: obs)
+    monkeypatch.setattr(q_streams, "shared_dir", lambda _, purpose: f"{tmp_path}/{purpose}")
+    monkeypatch.setattr(q_streams, "_FILE_ROWS", 4, raising=False)
+    stream = q_streams._disordered(spark, "", "in")
+    assert len(list((tmp_path / "in" / "in").glob("part-*.parquet"))) == 8 * 4 + 1  # also where an arrival has few rows or none
+    times = []
+    sinks.each_batch(stream, lambda batch, n: times.append([r.observed_ts for r in batch.collect()]), f"{tmp_path}/c")
+    assert len(times) == 9 and sum(map(len, times)) == 101 and [] in times
+    full = [t for t in times[:8] if t]
+    assert all(min(later) > max(t) - timedelta(days=2) for t, later in zip(full, full[1:]))

@@ -6,6 +6,7 @@ holds.  Sinks and checkpoints lie in the shared folder that the cluster names.
 
 from __future__ import annotations
 
+import math
 from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
@@ -23,6 +24,8 @@ from zonelens.streaming import jobs, ordered, sinks
 
 # A trigger brings rows of most keys here, so the state lies in few buckets.
 _BUCKETS = 1024
+# Rows of one input file, on average: a task of a trigger takes a file or a few, whatever the size of the table.
+_FILE_ROWS = 100_000
 
 
 def _drain(spark, df, purpose):
@@ -73,28 +76,34 @@ def stream_ttl(spark, sf):
 
 
 def _disordered(spark, sf, purpose):
-    """The observations as a stream of eight files: a row arrives up to 36 hours after its time, and a mark closes the last file.
+    """The observations as a stream of eight arrivals: a row arrives up to 36 hours after its time, and a mark closes the last one.
 
-    Names come in other spellings, as resolvers give them.
+    An arrival is one trigger of equally many files, so that its rows are many tasks' work.  Names come in other spellings,
+    as resolvers give them.
     """
     rows = load(spark, sf, "obs")
     late = F.make_interval(hours=F.col("event_id") % 7 * 6)
     name = F.when(F.col("event_id") % 2 == 0, F.concat(F.upper("name"), F.lit("."))).otherwise(F.col("name"))
     rows = rows.withColumns({"name": name, "answers": listed("answers_txt"), "observed_ts": F.col("observed_ts").cast("timestamp")})
     rows = rows.withColumn("arrival", F.col("observed_ts") + late)
-    ends = rows.agg(F.min("arrival").alias("first"), F.max("arrival").alias("last")).first()
+    ends = rows.agg(F.min("arrival").alias("first"), F.max("arrival").alias("last"), F.count("*").alias("n")).first()
+    files = max(1, math.ceil(ends["n"] / 8 / _FILE_ROWS))
     base = shared_dir(spark, purpose)
     path, slots = f"{base}/in", f"{base}/slots"
     columns = ["name", "rtype", "rcode", "answers", "ttl", "observed_ts"]
     step = (ends["last"] - ends["first"]) / 8
-    # All tasks deal the rows to their files in one pass; a file is then one task's work, as files arrive in their order.
+    # All tasks deal the rows to their arrivals in one pass; these are then written one after the other, as files come in order.
     slot = sum((F.col("arrival") >= F.lit(ends["first"] + k * step)).cast("int") for k in range(1, 8))
     rows.withColumn("slot", slot).select(*columns, "slot").write.partitionBy("slot").parquet(slots)
     dealt = spark.read.parquet(slots)
     for k in range(8):
-        dealt.filter(F.col("slot") == k).select(*columns).coalesce(1).write.mode("append").parquet(path)
+        part = dealt.filter(F.col("slot") == k).select(*columns)
+        part.repartition(files, "name", "observed_ts").write.mode("append").parquet(path)
+        # A part without rows is no file; an empty one keeps the next arrival out of this trigger.
+        for _ in range(len(spark.read.schema(part.schema).parquet(path).inputFiles()), (k + 1) * files):
+            part.limit(0).coalesce(1).write.mode("append").parquet(path)
     ordered.closing_mark(spark, datetime(2100, 1, 1, tzinfo=timezone.utc)).select(*columns).coalesce(1).write.mode("append").parquet(path)
-    return readers.read_observation_stream(spark, path, files_per_trigger=1)
+    return readers.read_observation_stream(spark, path, files_per_trigger=files)
 
 
 @query("stream_change_disorder", HISTORY_SQL, "obs")

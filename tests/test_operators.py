@@ -565,3 +565,64 @@ def test_plan_groups_observations_once_and_names_once(spark, tmp_path, monkeypat
     scans = [x for p in plans for x in p.splitlines() if "Relation [" in x and "observed_ts" in x]
     assert len(scans) == 2, scans  # one for the ten types, one for reverse names
     assert any("Aggregate [domain#" in p and "RLIKE" not in p and p.count("\n") < 4 for p in plans)
+
+
+def test_owner_names_of_all_operators_in_one_join(rows):
+    from zonelens.operators import topology
+
+    said = [("a.com", "TXT", ["x", "V=SPF1 a"]), ("_dmarc.a.com", "TXT", ["no", "v=DMARC1"]), ("default._bimi.a.com", "TXT", ["v=BIMI1"]),
+            ("www.a.com", "A", ["1.1.1.1", "1.1.1.2"]), ("www.a.com", "AAAA", ["2001:db8::1"]), ("www.a.com", "CNAME", ["Cdn.net."]),
+            ("www.a.com", "TXT", ["v=spf1 www"]), ("mail.a.com", "AAAA", ["2001:db8::2"]), ("_mta-sts.a.com", "TXT", ["v=mta-sts: ", "id=7"]),
+            ("_smtp._tls.b.com", "TXT", ["v=TLSRPTv1; rua=x"]), ("mail.b.com", "A", ["1.1.1.3"]), ("", "TXT", ["v=spf1 none"]),
+            ("_dmarc.www.a.com", "TXT", ["v=DMARC1 www"]), ("www.mail.b.com", "A", ["1.1.1.4"]), ("www", "A", ["1.1.1.5"]), (None, "TXT", ["v=spf1"])]
+    obs = rows(OBS, *[(n, t, "NOERROR", v, 60, at(1)) for n, t, v in said])
+    pairs = [("a.com", "a.com"), ("x.a.com", "a.com"), ("www.a.com", "www.a.com"), ("b.com", "b.com"), ("mail.b.com", "mail.b.com"),
+             ("c.com", "c.com"), ("d", ""), ("e", None)]
+    df = rows("domain string, registered_domain string", *pairs)
+    files = rows("regdom string, policy_text string", ("a.com", "mode: Enforce\nmax_age: 5"), ("c.com", "mode: none"))
+    hosts, txt = topology.host_answers(obs), topology.positive_answers(obs, "TXT").select("name", F.col("answers").alias("txt"))
+    apart = topology.attach_subhost(topology.attach_subhost(df, hosts, "www"), hosts, "mail")
+    apart = topology.mta_sts(topology.mail_policies(apart, obs), obs, files)
+    none = F.array().cast("array<string>")
+    names = hosts.join(txt, "name", "full").select(
+        "name", F.coalesce("a", none).alias("a"), F.coalesce("aaaa", none).alias("aaaa"), F.coalesce("cname", F.lit("")).alias("cname"),
+        F.coalesce("txt", none).alias("txt"))
+    own = df.join(txt.withColumnRenamed("name", "domain"), "domain", "left").withColumn("txt", F.coalesce("txt", none))
+    once = topology.attach_owner_answers(own, topology.owner_answers(names), hot=["a.com"])
+    for prefix in ("www", "mail"):
+        once = topology.attach_subhost(once, None, prefix)
+    once = topology.mail_policies(topology.mta_sts(once, obs, files, joined=True), obs, own="txt")
+    assert sorted(once.columns) == sorted([*apart.columns, "txt"])
+    assert bag(once.select(*apart.columns)) == bag(apart) and once.count() == len(pairs)
+    got = {r.domain: r for r in once.collect()}
+    assert (got["x.a.com"].spf, got["x.a.com"].dmarc, got["d"].spf, got["www.a.com"].www_exists) == ("V=SPF1 a", "v=DMARC1", "v=spf1 none", False)
+
+
+def test_plan_stays_small_for_the_driver(spark, tmp_path, monkeypatch):
+    from zonelens.operators import joins as J
+    from zonelens.operators import resolve, suffixes
+
+    batch, obs = _plan_inputs()
+    plans = []
+
+    def cut(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        path = f"{tmp_path}/{len(plans)}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    for module in (batch, topology, resolve, suffixes, J):
+        if hasattr(module, "cut_lineage"):
+            monkeypatch.setattr(module, "cut_lineage", cut)
+    spark.createDataFrame(obs, OBS).write.parquet(f"{tmp_path}/obs")
+    rules = spark.createDataFrame([("com", 1), ("net", 1), ("org", 1), ("*.co.uk", 2)], "suffix string, n_labels int")
+    rules.write.parquet(f"{tmp_path}/rules")
+    seen, rules = spark.read.schema(OBS).parquet(f"{tmp_path}/obs"), spark.read.schema(rules.schema).parquet(f"{tmp_path}/rules")
+    domains = spark.createDataFrame([("A.com",), ("b.com.",)], "domain string")
+    changed = spark.createDataFrame([("a.com", True)], "domain string, changed boolean")
+    out = batch.domain_wide(domains, seen, rules, changed=changed)
+    plans.append(out._jdf.queryExecution().optimizedPlan().toString())
+    assert out.count() == 2
+    assert sum("Relation [" in x and "n_labels" in x or "Relation [suffix" in x for p in plans for x in p.splitlines()) == 2
+    assert max(p.count("Join ") for p in plans) <= 5, [p.count("Join ") for p in plans]
+    assert plans[-1].count("Join ") == 3 and plans[-1].count("Aggregate ") == 0  # wide rows meet finished tables

@@ -14,6 +14,7 @@ table with a broadcast hint in this package, and the copies of right rows, which
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,8 +49,11 @@ def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int | None = None) -> D
     return _hot_only(counted, counted.agg(F.sum("__rows")), hot_rows).select(*on, "__ways")
 
 
-def hot_key_table(df: DataFrame, columns: Mapping[str, Column], hot_rows: int | None = None) -> DataFrame:
-    """Hot keys of several columns in one pass: kind, key, rows and ways."""
+def hot_lists(df: DataFrame, columns: Mapping[str, Column], hot_rows: int | None = None) -> dict[str, Crowded]:
+    """Hot keys per column, all columns counted together; at most ``MOST_HOT`` keys per column come back.
+
+    Most frames have none, which one row per column tells; keys are collected only where a column has hot ones.
+    """
     pairs = [F.struct(F.lit(k).alias("kind"), c.cast("string").alias("key")) for k, c in columns.items()]
     counted = (
         df.select(F.inline(F.array(*pairs)))
@@ -57,15 +61,12 @@ def hot_key_table(df: DataFrame, columns: Mapping[str, Column], hot_rows: int |
         .groupBy("kind", "key")
         .agg(F.count("*").alias("__rows"))
     )
-    most = counted.groupBy("kind").agg(F.sum("__rows").alias("__rows")).agg(F.max("__rows"))
-    return _hot_only(counted, most, hot_rows)
-
-
-def hot_lists(df: DataFrame, columns: Mapping[str, Column], hot_rows: int | None = None) -> dict[str, Crowded]:
-    """Hot keys per column, counted in one pass; at most ``MOST_HOT`` keys per column come back."""
     found: dict[str, list] = {kind: [] for kind in columns}
-    for row in hot_key_table(df, columns, hot_rows).collect():
-        found[row["kind"]].append((-row["__rows"], row["key"], row["__ways"]))
+    sizes = counted.groupBy("kind").agg(F.max("__rows").alias("top"), F.sum("__rows").alias("all")).collect()
+    least = max([float(HOT_ROWS if hot_rows is None else hot_rows), *[r["all"] / MOST_HOT for r in sizes]])
+    if any(r["top"] >= least for r in sizes):
+        for row in counted.filter(F.col("__rows") >= least).collect():
+            found[row["kind"]].append((-row["__rows"], row["key"], max(2, ceil(row["__rows"] / least))))
     return {kind: Crowded((key, ways) for _, key, ways in sorted(rows)) for kind, rows in found.items()}
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from zonelens.functions import records as R
 from zonelens.functions.hosts import strip, strip_dots
+from zonelens.operators.joins import cut_lineage
 
 KEY = ("rtype", "name")
 BACKFILL_TYPES = ("NS", "SOA", "A", "AAAA", "TXT")
@@ -315,7 +316,7 @@ def attach_srv(df: DataFrame, obs: DataFrame, changed: DataFrame | None, mode: s
     if mode != "always" and (mode != "new_only" or changed is None):
         return df.withColumn("srv", none)
     newest = latest_observation(obs.filter(F.col("rtype") == "SRV"))
-    scope = srv_scope(newest, changed, mode)
+    scope = cut_lineage(srv_scope(newest, changed, mode))  # read twice below
     texts = F.when(is_positive(F.col("rcode"), _answers()), R.format_srv(R.parse_srv(_answers())))
     # One newest row per service, so any value is the only one.
     picks = [F.any_value(F.when(F.col("service") == s, texts), True).alias(f"__{i}") for i, s in enumerate(SRV_SERVICES)]
@@ -323,7 +324,8 @@ def attach_srv(df: DataFrame, obs: DataFrame, changed: DataFrame | None, mode: s
     lists = [F.coalesce(f"__{i}", none) for i in range(len(SRV_SERVICES))]
     found = found.select("domain", F.concat(*lists).alias("srv"))
     failed = srv_errors(scope).select("domain", F.create_map(F.lit("SRV"), "srv_error").alias("__failed"))
-    out = df.join(found, "domain", "left").join(failed, "domain", "left")
+    # A failed service is one of the scope's, so wide rows meet both in one join.
+    out = df.join(cut_lineage(found.join(failed, "domain", "left")), "domain", "left")
     errors = F.when(F.col("__failed").isNotNull(), F.map_concat("errors", "__failed")).otherwise(F.col("errors"))
     return out.withColumns({"srv": F.coalesce("srv", none), "errors": errors}).drop("__failed")
 

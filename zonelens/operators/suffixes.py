@@ -2,11 +2,23 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonelens.functions.hosts import strip_dots
 from zonelens.functions.ips import is_ipv4
+from zonelens.operators.joins import cut_lineage
+
+_FLAGS = ("plain", "wild", "except")
+
+
+class SuffixTables(NamedTuple):
+    """The two lookup tables of a suffix list: rules of one label, and lists of all others by their last two labels."""
+
+    single: DataFrame
+    longer: DataFrame
 
 
 def suffix_rules(suffixes: DataFrame) -> DataFrame:
@@ -22,8 +34,21 @@ def suffix_rules(suffixes: DataFrame) -> DataFrame:
     return rules.groupBy("body").agg(*[F.max(F.col("kind") == k).alias(k) for k in ("plain", "wild", "except")])
 
 
+def suffix_tables(suffixes: DataFrame) -> SuffixTables:
+    """The lookup tables of :func:`with_registered_domain`."""
+    rules = suffix_rules(suffixes).withColumn("n", F.size(F.split("body", r"\.")))
+    single = rules.filter("n = 1").select(F.col("body").alias("__one"), *[F.col(x).alias(f"__{x}") for x in _FLAGS])
+    longer = rules.filter("n > 1").groupBy(F.substring_index("body", ".", -2).alias("__two"))
+    return SuffixTables(single, longer.agg(F.collect_list(F.struct("body", "n", *_FLAGS)).alias("__rules")))
+
+
+def kept_suffix_tables(suffixes: DataFrame) -> SuffixTables:
+    """:func:`suffix_tables` worked out once, for plans that look up several hosts."""
+    return SuffixTables(*[cut_lineage(t) for t in suffix_tables(suffixes)])
+
+
 def with_registered_domain(
-    df: DataFrame, suffixes: DataFrame, host: str = "domain", regdom: str = "registered_domain", tld: str | None = "tld"
+    df: DataFrame, suffixes: DataFrame | SuffixTables, host: str = "domain", regdom: str = "registered_domain", tld: str | None = "tld"
 ) -> DataFrame:
     """Suffix plus one label, and the last label of the suffix.
 
@@ -31,12 +56,9 @@ def with_registered_domain(
     last label, all others by their last two labels, where they are lists of a few rules that end alike.  The rule with
     most labels wins, and an exception outranks every other rule.  A suffix list is small, so Catalyst turns the joins
     into hash probes and the hosts are never shuffled, however unevenly they spread over the suffixes.
+    A caller with several hosts passes the tables of the list, so that they are not planned for each.
     """
-    rules = suffix_rules(suffixes).withColumn("n", F.size(F.split("body", r"\.")))
-    flags = ("plain", "wild", "except")
-    single = rules.filter("n = 1").select(F.col("body").alias("__one"), *[F.col(x).alias(f"__{x}") for x in flags])
-    longer = rules.filter("n > 1").groupBy(F.substring_index("body", ".", -2).alias("__two"))
-    longer = longer.agg(F.collect_list(F.struct("body", "n", *flags)).alias("__rules"))
+    single, longer = suffixes if isinstance(suffixes, SuffixTables) else suffix_tables(suffixes)
     name = F.lower(F.ltrim(strip_dots(F.coalesce(F.col(host), F.lit(""))), F.lit(".")))
     out = df.withColumn("__h", name).withColumn("__n", F.size(F.split("__h", r"\.")))
     out = out.join(single, F.substring_index("__h", ".", -1) == F.col("__one"), "left")

@@ -16,7 +16,7 @@ from zonelens.functions import policies as P
 from zonelens.functions.ips import reverse_pointer
 from zonelens.operators.joins import Crowded, cut_lineage, hot_keys, hot_lists, spread_join
 from zonelens.operators.resolve import is_positive, latest_observation, newest_order, normal_names
-from zonelens.operators.suffixes import with_registered_domain
+from zonelens.operators.suffixes import SuffixTables, with_registered_domain
 
 # Crowded join keys: a frame of them, a short list, or None for "count them here".
 Hot = DataFrame | Sequence | None
@@ -175,6 +175,50 @@ def txt_apex_fallback(df: DataFrame, obs: DataFrame, name: str = "domain", apex:
 
 
 
+# Owner names below a registered domain whose texts are read, by the column they come in.
+_POLICY_OWNERS = {"__spf": "", "__dmarc": "_dmarc.", "__bimi": "default._bimi.", "__sts": "_mta-sts.", "__rpt": "_smtp._tls."}
+
+
+def _policy_text(column: str, answers: Column) -> Column:
+    """What is read of the TXT answers of an owner name."""
+    marks = {"__spf": "v=spf1", "__dmarc": "v=dmarc", "__bimi": "v=bimi"}
+    return P.first_containing(answers, marks[column]) if column in marks else H.join_txt_records(answers)
+
+
+def owner_answers(names: DataFrame, prefixes: Sequence[str] = ("www", "mail"), apex: str = "registered_domain") -> DataFrame:
+    """Answers of the sub-hosts and policy owner names of every domain that has some, side by side in one aggregation.
+
+    ``names`` has one row per name with the positive answers ``a``, ``aaaa``, ``cname`` (text, as in :func:`host_answers`)
+    and ``txt``.  A name says itself whose owner name it is, so one join brings all of them to the domains.
+    """
+    asked = []
+    for kind, prefix in {**{p: f"{p}." for p in prefixes}, **_POLICY_OWNERS}.items():
+        # A zone without a name has policy owners, but no sub-hosts.
+        says = (F.size("a") > 0) & (F.length("name") > len(prefix)) if kind in prefixes else F.size("txt") > 0
+        row = F.struct(F.lit(kind).alias("__kind"), F.substring("name", len(prefix) + 1, 2**31 - 1).alias(apex))
+        asked.append(F.when(says & F.startswith("name", F.lit(prefix)), row))
+    host = F.when(F.col("__kind").isin(*prefixes), F.struct("a", "aaaa", "cname"))
+    text = F.lit(None).cast("string")
+    for kind in _POLICY_OWNERS:
+        text = F.when(F.col("__kind") == kind, _policy_text(kind, F.col("txt"))).otherwise(text)
+    said = names.select("a", "aaaa", "cname", "txt", F.inline(F.array_compact(F.array(*asked))))
+    said = said.select(apex, "__kind", host.alias("__host"), text.alias("__text"))
+    # Each is one name's, so any value is the only one.
+    picks = [F.any_value(F.when(F.col("__kind") == p, F.col("__host")), True).alias(f"__{p}") for p in prefixes]
+    picks += [F.any_value(F.when(F.col("__kind") == k, F.col("__text")), True).alias(k) for k in _POLICY_OWNERS]
+    found = said.groupBy(apex).agg(*picks)
+    fields = {"a": "a_list", "aaaa": "aaaa_list", "cname": "cname"}
+    hosts = [F.col(f"__{p}.{field}").alias(f"{p}_{column}") for p in prefixes for field, column in fields.items()]
+    return found.select(apex, *hosts, *_POLICY_OWNERS)
+
+
+def attach_owner_answers(
+    df: DataFrame, owners: DataFrame, name: str = "domain", apex: str = "registered_domain", hot: Hot = None
+) -> DataFrame:
+    """Put :func:`owner_answers` on the domains, for :func:`attach_subhost`, :func:`mail_policies` and :func:`mta_sts`."""
+    return spread_join(df, owners, [apex], [name], hot=hot)
+
+
 def mail_policies(
     df: DataFrame,
     obs: DataFrame,
@@ -182,28 +226,31 @@ def mail_policies(
     apex: str = "registered_domain",
     hot: Hot = None,
     txt: DataFrame | None = None,
+    own: str | None = None,
 ) -> DataFrame:
     """SPF, DMARC and BIMI texts.
 
     A name with TXT answers of its own is searched there; other names ask the policy owner names.  ``txt`` are the
-    positive TXT answers, where the caller has them.
+    positive TXT answers, where the caller has them.  With ``own``, a column of the name's own TXT answers, ``df`` went
+    through :func:`attach_owner_answers` and nothing is joined.
     """
+    if own is not None:
+        return _mail_fields(df.withColumn("__txt", F.when(F.size(own) > 0, F.col(own))))
     txt = positive_answers(obs, "TXT") if txt is None else txt
     apex_names = df.select(F.col(apex)).distinct()
     # The owner names depend on the registered domain alone, so they are looked up once per domain.
     wide = apex_names
-    for prefix, column in (("", "__spf"), ("_dmarc.", "__dmarc"), ("default._bimi.", "__bimi")):
+    for column in ("__spf", "__dmarc", "__bimi"):
+        prefix = _POLICY_OWNERS[column]
         side = txt.select(F.col("name").alias("__owner"), F.col("answers").alias(column))
         wide = wide.withColumn("__owner", F.concat(F.lit(prefix), F.col(apex))).join(side, "__owner", "left")
         wide = wide.drop("__owner")
-    owners = wide.select(
-        apex,
-        P.first_containing(F.col("__spf"), "v=spf1").alias("__spf"),
-        P.first_containing(F.col("__dmarc"), "v=dmarc").alias("__dmarc"),
-        P.first_containing(F.col("__bimi"), "v=bimi").alias("__bimi"),
-    )
+    owners = wide.select(apex, *[_policy_text(c, F.col(c)).alias(c) for c in ("__spf", "__dmarc", "__bimi")])
     own = df.join(txt.select(F.col("name").alias(name), F.col("answers").alias("__txt")), name, "left")
-    out = spread_join(own, owners, [apex], [name], hot=hot_keys(df, [apex]) if hot is None else hot)
+    return _mail_fields(spread_join(own, owners, [apex], [name], hot=hot_keys(df, [apex]) if hot is None else hot))
+
+
+def _mail_fields(out: DataFrame) -> DataFrame:
     has_own = F.col("__txt").isNotNull()
 
     def pick(text: Column, fallback: str) -> Column:
@@ -227,34 +274,49 @@ def mta_sts(
     apex: str = "registered_domain",
     hot: Hot = None,
     txt: DataFrame | None = None,
+    joined: bool = False,
 ) -> DataFrame:
-    """MTA-STS and TLS-RPT fields from policy owner names and stored policy files (B21-B23); ``txt`` as above."""
+    """MTA-STS and TLS-RPT fields from policy owner names and stored policy files (B21-B23); ``txt`` as above.
+
+    ``joined``: ``df`` went through :func:`attach_owner_answers`, so only the policy files are joined.
+    """
+    if joined:
+        if policies is not None:
+            df = spread_join(df, policies.select(F.col("regdom").alias(apex), "policy_text"), [apex], [name], hot=hot)
+        else:
+            df = df.withColumn("policy_text", F.lit(None).cast("string"))
+        # As with the join below, rows without a zone have no fields.
+        fields = {c: F.when(F.col(apex).isNotNull(), field) for c, field in _mta_sts_fields(strict).items()}
+        return df.withColumns(fields).drop("__sts", "__rpt", "policy_text")
     txt = positive_answers(obs, "TXT") if txt is None else txt
     apexes = df.select(apex).distinct()
-    for prefix, column in (("_mta-sts.", "__sts"), ("_smtp._tls.", "__rpt")):
-        side = txt.select(F.col("name").alias("__owner"), H.join_txt_records(F.col("answers")).alias(column))
-        apexes = apexes.withColumn("__owner", F.concat(F.lit(prefix), F.col(apex))).join(side, "__owner", "left")
-        apexes = apexes.drop("__owner")
+    for column in ("__sts", "__rpt"):
+        side = txt.select(F.col("name").alias("__owner"), _policy_text(column, F.col("answers")).alias(column))
+        owner = F.concat(F.lit(_POLICY_OWNERS[column]), F.col(apex))
+        apexes = apexes.withColumn("__owner", owner).join(side, "__owner", "left").drop("__owner")
     if policies is not None:
         apexes = apexes.join(policies.select(F.col("regdom").alias(apex), "policy_text"), apex, "left")
     else:
         apexes = apexes.withColumn("policy_text", F.lit(None).cast("string"))
+    fields = [field.alias(c) for c, field in _mta_sts_fields(strict).items()]
+    return spread_join(df, apexes.select(apex, *fields), [apex], [name], hot=hot)
+
+
+def _mta_sts_fields(strict: bool) -> dict[str, Column]:
     text = F.coalesce("__sts", F.lit(""))
-    fields = apexes.select(
-        apex,
-        P.has_mta_sts(text).alias("has_mta_sts"),
-        text.alias("mta_sts_txt"),
-        P.mta_sts_id(text, strict).alias("mta_sts_id"),
-        P.mta_sts_mode(F.col("policy_text")).alias("mta_sts_mode"),
-        P.mta_sts_max_age(F.col("policy_text")).alias("mta_sts_max_age"),
-        P.tlsrpt_rua(F.col("__rpt"), strict).alias("tlsrpt_rua"),
-    )
-    return spread_join(df, fields, [apex], [name], hot=hot)
+    return {
+        "has_mta_sts": P.has_mta_sts(text),
+        "mta_sts_txt": text,
+        "mta_sts_id": P.mta_sts_id(text, strict),
+        "mta_sts_mode": P.mta_sts_mode(F.col("policy_text")),
+        "mta_sts_max_age": P.mta_sts_max_age(F.col("policy_text")),
+        "tlsrpt_rua": P.tlsrpt_rua(F.col("__rpt"), strict),
+    }
 
 
 def attach_subhost(
     df: DataFrame,
-    answers: DataFrame,
+    answers: DataFrame | None,
     prefix: str,
     name: str = "domain",
     apex: str = "registered_domain",
@@ -262,8 +324,11 @@ def attach_subhost(
 ) -> DataFrame:
     """Addresses and alias of ``prefix.registered_domain``, only where it has an A record.
 
-    ``answers`` comes from :func:`host_answers`; ``hot`` lists crowded registered domains.
+    ``answers`` comes from :func:`host_answers`, or is None where ``df`` went through :func:`attach_owner_answers`;
+    ``hot`` lists crowded registered domains.
     """
+    if answers is None:
+        return _subhost_fields(df, prefix)
     owner = f"__{prefix}"
     side = answers.filter(F.size("a") > 0).select(
         F.col("name").alias(owner),
@@ -280,14 +345,17 @@ def attach_subhost(
         crowded = Crowded((f"{prefix}.{value}", ways) for value, ways in hot.ways.items())
     else:
         crowded = [f"{prefix}.{value}" for value in hot]
-    out = spread_join(df.withColumn(owner, key), side, [owner], [name], hot=crowded)
+    return _subhost_fields(spread_join(df.withColumn(owner, key), side, [owner], [name], hot=crowded), prefix).drop(owner)
+
+
+def _subhost_fields(out: DataFrame, prefix: str) -> DataFrame:
     return out.withColumns(
         {
             f"{prefix}_a": F.coalesce(F.get(f"{prefix}_a_list", F.lit(0)), F.lit("")),
             f"{prefix}_cname": F.coalesce(f"{prefix}_cname", F.lit("")),
             f"{prefix}_exists": F.col(f"{prefix}_a_list").isNotNull(),
         }
-    ).drop(owner)
+    )
 
 
 def attach_host_ips(
@@ -349,7 +417,7 @@ def ptr_results(ips: DataFrame, obs: DataFrame, ip: str = "ip") -> DataFrame:
     )
 
 
-def attach_ptr(df: DataFrame, obs: DataFrame, suffixes: DataFrame, name: str = "domain") -> DataFrame:
+def attach_ptr(df: DataFrame, obs: DataFrame, suffixes: DataFrame | SuffixTables, name: str = "domain") -> DataFrame:
     """PTR map of all addresses, and PTR hosts and registered domains of the mail and name-server addresses.
 
     ``df`` has the lists ``a``, ``aaaa``, ``mx_ips`` and ``ns_ips``, and may have the sub-host addresses ``www_a`` and
@@ -363,11 +431,11 @@ def attach_ptr(df: DataFrame, obs: DataFrame, suffixes: DataFrame, name: str = "
     pairs = cut_lineage(pairs)  # read three times below
     table = ptr_results(pairs, obs).filter(F.col("ptr") != "").select("ip", "ptr")
     table = with_registered_domain(table, suffixes, host="ptr", regdom="ptr_regdom", tld=None)
-    found = spread_join(pairs, table, ["ip"], [name], how="inner")
+    found = spread_join(pairs, table, ["ip"], [name], how="inner", hot=hot_lists(pairs, {"ip": F.col("ip")})["ip"])
     per_domain = found.groupBy(name).agg(
         F.sort_array(F.collect_set(F.struct("ip", "ptr", "ptr_regdom"))).alias("__p")
     )
-    out = df.join(per_domain, name, "left")
+    out = df.join(cut_lineage(per_domain), name, "left")
     none = F.array().cast("array<struct<ip:string,ptr:string,ptr_regdom:string>>")
     known = F.coalesce(F.col("__p"), none)
 

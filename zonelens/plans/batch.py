@@ -13,7 +13,7 @@ from zonelens.operators import change, crawl, graph, resolve, rows, topology
 from zonelens.operators.joins import cut_lineage, hot_lists
 from zonelens.operators.normalize import clean_domains, normalize_hosts
 from zonelens.operators.resolve import dealt, is_positive, newest_order, normal_names
-from zonelens.operators.suffixes import with_registered_domain
+from zonelens.operators.suffixes import SuffixTables, kept_suffix_tables, with_registered_domain
 from zonelens.sources import writers
 
 TYPES = ("NS", "SOA", "A", "AAAA", "MX", "TXT", "CAA", "NAPTR", "CNAME", "DNSKEY")
@@ -59,7 +59,13 @@ def _hosts(wide: DataFrame) -> DataFrame:
     return found.filter((F.size("a") > 0) | (F.size("aaaa") > 0) | (F.col("cname") != ""))
 
 
-def domain_base(domains: DataFrame, wide: DataFrame, suffixes: DataFrame) -> DataFrame:
+def _owners(wide: DataFrame) -> DataFrame:
+    """Names with positive address or TXT answers out of :func:`wide_answers`, for :func:`topology.owner_answers`."""
+    cname = F.coalesce(F.lower(H.strip_dots(F.get(_good("CNAME"), F.lit(0)))), F.lit(""))
+    return wide.select(F.col("domain").alias("name"), _good("A").alias("a"), _good("AAAA").alias("aaaa"), cname.alias("cname"), _good("TXT").alias("txt"))
+
+
+def domain_base(domains: DataFrame, wide: DataFrame, suffixes: DataFrame | SuffixTables) -> DataFrame:
     """One row per distinct domain: its newest answers, status, registered domain, mail and name-server host.
 
     ``wide`` comes from :func:`wide_answers`.
@@ -100,11 +106,13 @@ def domain_wide(
 
     ``changed`` (``domain``, ``changed``) tells whose service records are taken unless ``srv_mode`` is ``always``.
     Observations are grouped once for all ten types.  What hangs on hosts and zones is looked up for short rows of domain
-    and keys; the wide rows are shuffled once, by domain.
+    and keys; the wide rows are shuffled once, by domain.  The driver holds every plan and its generated code, so owner
+    names take one join, suffix rules are planned once, and lookups end in tables before the wide rows meet them.
     """
+    suffixes = kept_suffix_tables(suffixes)
     newest = cut_lineage(wide_answers(obs))
     base = cut_lineage(domain_base(domains, newest, suffixes))
-    answers, txt = _hosts(newest), _positive(newest, "TXT")
+    answers = _hosts(newest)
     # Crowded keys of the joins below, counted in one pass over the base.
     mx_host = F.nullif("mx_host", F.lit(""))
     hot = hot_lists(base, {"mx": mx_host, "ns": F.col("ns_host_final"), "apex": F.col("registered_domain")})
@@ -119,11 +127,12 @@ def domain_wide(
     final = hot_lists(out, {"mx": F.nullif("mx_host_final", F.lit(""))})["mx"]
     out = topology.attach_host_ips(out, answers, "mx_host_final", "mx_ips", hot=final)
     out = topology.attach_host_ips(out, answers, "ns_host_final", "ns_ips", hot=hot["ns"])
+    out = topology.attach_owner_answers(out, topology.owner_answers(_owners(newest)), hot=hot["apex"])
     for prefix in ("www", "mail"):
-        out = topology.attach_subhost(out, answers, prefix, hot=hot["apex"])
-    out = topology.mail_policies(out, obs, hot=hot["apex"], txt=txt)
-    out = topology.mta_sts(out, obs, policies, hot=hot["apex"], txt=txt)
+        out = topology.attach_subhost(out, None, prefix)
+    out = topology.mta_sts(out, obs, policies, hot=hot["apex"], joined=True)
     out = base.join(cut_lineage(out.drop(*keys)), "domain", "left")
+    out = topology.mail_policies(out, obs, own="txt")
     out = resolve.attach_srv(out, obs, changed, srv_mode)
     out = topology.attach_ptr(out, obs, suffixes)
     return topology.mx_ownership(out).withColumn("soa_text", F.get("soa", F.lit(0)))

@@ -226,17 +226,18 @@ def mail_policies(
     apex: str = "registered_domain",
     hot: Hot = None,
     txt: DataFrame | None = None,
-    own: str | None = None,
+    joined: bool = False,
 ) -> DataFrame:
     """SPF, DMARC and BIMI texts.
 
     A name with TXT answers of its own is searched there; other names ask the policy owner names.  ``txt`` are the
-    positive TXT answers, where the caller has them.  With ``own``, a column of the name's own TXT answers, ``df`` went
-    through :func:`attach_owner_answers` and nothing is joined.
+    positive TXT answers, where the caller has them.  ``joined``: ``df`` went through :func:`attach_owner_answers`, so
+    only the name's own texts are joined.
     """
-    if own is not None:
-        return _mail_fields(df.withColumn("__txt", F.when(F.size(own) > 0, F.col(own))))
     txt = positive_answers(obs, "TXT") if txt is None else txt
+    own = df.join(txt.select(F.col("name").alias(name), F.col("answers").alias("__txt")), name, "left")
+    if joined:
+        return _mail_fields(own)
     apex_names = df.select(F.col(apex)).distinct()
     # The owner names depend on the registered domain alone, so they are looked up once per domain.
     wide = apex_names
@@ -246,7 +247,6 @@ def mail_policies(
         wide = wide.withColumn("__owner", F.concat(F.lit(prefix), F.col(apex))).join(side, "__owner", "left")
         wide = wide.drop("__owner")
     owners = wide.select(apex, *[_policy_text(c, F.col(c)).alias(c) for c in ("__spf", "__dmarc", "__bimi")])
-    own = df.join(txt.select(F.col("name").alias(name), F.col("answers").alias("__txt")), name, "left")
     return _mail_fields(spread_join(own, owners, [apex], [name], hot=hot_keys(df, [apex]) if hot is None else hot))
 
 

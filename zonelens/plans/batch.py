@@ -112,7 +112,7 @@ def domain_wide(
     suffixes = kept_suffix_tables(suffixes)
     newest = cut_lineage(wide_answers(obs))
     base = cut_lineage(domain_base(domains, newest, suffixes))
-    answers = _hosts(newest)
+    answers, txt = _hosts(newest), _positive(newest, "TXT")
     # Crowded keys of the joins below, counted in one pass over the base.
     mx_host = F.nullif("mx_host", F.lit(""))
     hot = hot_lists(base, {"mx": mx_host, "ns": F.col("ns_host_final"), "apex": F.col("registered_domain")})
@@ -130,9 +130,9 @@ def domain_wide(
     out = topology.attach_owner_answers(out, topology.owner_answers(_owners(newest)), hot=hot["apex"])
     for prefix in ("www", "mail"):
         out = topology.attach_subhost(out, None, prefix)
+    out = topology.mail_policies(out, obs, txt=txt, joined=True)
     out = topology.mta_sts(out, obs, policies, hot=hot["apex"], joined=True)
     out = base.join(cut_lineage(out.drop(*keys)), "domain", "left")
-    out = topology.mail_policies(out, obs, own="txt")
     out = resolve.attach_srv(out, obs, changed, srv_mode)
     out = topology.attach_ptr(out, obs, suffixes)
     return topology.mx_ownership(out).withColumn("soa_text", F.get("soa", F.lit(0)))
